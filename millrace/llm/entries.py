@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, toxicity
+from . import jaccard, language, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_toxicity": toxicity.query,
         "op7_language": language.query,
+        "op10_jaccard": jaccard.query,
     }
 
 
