@@ -6,14 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, language, toxicity
+from . import jaccard, language, mixing, packing, toxicity
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_packing": packing.query,
+        "op5_mixing": mixing.query,
         "op6_toxicity": toxicity.query,
         "op7_language": language.query,
         "op10_jaccard": jaccard.query,
+        "pipeline": _pipeline,
     }
 
 
