@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, language, mixing, packing, toxicity
+from . import chat, jaccard, language, mixing, packing, search, toxicity
 
 
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,10 +21,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_mixing": mixing.query,
         "op6_toxicity": toxicity.query,
         "op7_language": language.query,
+        "op8_chat": chat.query,
+        "op9_topk": search.query,
         "op10_jaccard": jaccard.query,
         "pipeline": _pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_chat": chat.SQL,
+        "op9_topk": search.SQL,
+    }
