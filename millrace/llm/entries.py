@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, jaccard, language, mixing, packing, search, toxicity
+from . import chat, fingerprint, jaccard, language, mixing, packing, search, toxicity
 
 
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,7 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprint": fingerprint.query,
         "op2_packing": packing.query,
         "op5_mixing": mixing.query,
         "op6_toxicity": toxicity.query,
