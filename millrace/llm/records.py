@@ -27,8 +27,10 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,11 @@ from pyspark.sql import functions as F
 from .common import key_buckets, partitions, shared_dir, ship_package, stored, table
 
 MASK = 0xA282EAD8
-MEMORY = 400_000
+MEMORY = 1_000_000
 END_ID = 0
 NULL_ID = -(2**63)
 CUT = re.compile(r"(?= \S)")
+ODD_SPACE = re.compile(r"[^\S \n]")
 _LENGTH = struct.Struct("<Q")
 _CRC = struct.Struct("<I")
 
@@ -77,7 +80,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {}
+        self.code = "H" if self.width == 2 else "I"
+        self.whole: dict[str, bytes] = {}  # ids of parts as they stand
+        self.behind: dict[str, bytes] = {}  # ids of a space and the part
         self.plain = self._cuttable()
 
     def _cuttable(self) -> bool:
@@ -88,17 +93,45 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         return spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
 
+    def _pieces(self, text: str):
+        """(store, parts) whose ids in a row are the text's."""
+        if not self.plain:
+            yield self.whole, [text]
+            return
+        parts = text.split(" ")
+        # Where no space meets other white space, each space begins a piece: the parts behind it are kept without it.
+        if "" in parts or " \n" in text or ODD_SPACE.search(text):
+            yield self.whole, CUT.split(text)
+        else:
+            yield self.whole, parts[:1]
+            yield self.behind, parts[1:]
+
+    def _learn(self, parts: dict, store: dict[str, bytes], lead: str) -> None:
+        fresh = list(parts)
+        for p, e in zip(fresh, self.tokenizer.encode_batch_fast([lead + p for p in fresh], add_special_tokens=False)):
+            ids = array(self.code, e.ids)
+            if sys.byteorder == "big":
+                ids.byteswap()
+            store[p] = ids.tobytes()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        split = [CUT.split(t) if self.plain and t else [t] if t else [] for t in texts]
-        fresh = {p for parts in split for p in parts} - self.known.keys()
-        if len(self.known) + len(fresh) > MEMORY:
-            self.known = {}
-            fresh = {p for parts in split for p in parts}
-        fresh = list(fresh)
-        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, kind).tobytes()
-        return [b"".join([self.known[p] for p in parts]) for parts in split]
+        for store in (self.whole, self.behind):
+            if len(store) > MEMORY:
+                store.clear()
+        done: list = [b""] * len(texts)
+        open_ = []
+        for i, t in enumerate(texts):
+            if t:
+                pieces = list(self._pieces(t))
+                try:
+                    done[i] = b"".join([b"".join(map(store.__getitem__, parts)) for store, parts in pieces])
+                except KeyError:
+                    open_.append((i, pieces))
+        for store, lead in ((self.whole, ""), (self.behind, " ")):
+            self._learn({p: None for _, pieces in open_ for s, parts in pieces if s is store for p in parts if p not in store}, store, lead)
+        for i, pieces in open_:
+            done[i] = b"".join([b"".join(map(store.__getitem__, parts)) for store, parts in pieces])
+        return done
 
 
 _encoders: dict[str, Encoder] = {}
