@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprint, jaccard, language, mixing, packing, records, search, toxicity
+from . import chat, fingerprint, jaccard, language, mixing, ngram, packing, records, search, toxicity
 
 
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprint": fingerprint.query,
         "op2_packing": packing.query,
+        "op3_ngram": ngram.query,
         "op4_records": records.query,
         "op5_mixing": mixing.query,
         "op6_toxicity": toxicity.query,
