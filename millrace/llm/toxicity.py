@@ -33,6 +33,7 @@ MIN_TEXTS, MAX_WORDS = 4, 8192
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
 EPOCHS, WARM_EPOCHS, BATCH, RATE = 9, 3, 128, 0.01
 BLOCK = 512  # windows at a time
+STRETCH = 150_000  # words projected at a time
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[128:] = np.arange(128, 256)
@@ -223,12 +224,26 @@ class Model:
         x = np.concatenate([self.p["words"][ids], chars], axis=1)
         return np.ascontiguousarray((x @ self.p["wx"] + self.p["bx"]).transpose(1, 0, 2))
 
+    def window_logits(self, hashes, grams, at, begin, size) -> np.ndarray:
+        """Logits of all windows, projecting about STRETCH words at a time."""
+        out = np.zeros(len(begin), np.float32)
+        ends = np.append(at[1:], len(grams))
+        lo = 0
+        while lo < len(begin):
+            hi = max(lo + 1, int(np.searchsorted(begin, begin[lo] + STRETCH)))
+            w0, w1 = int(begin[lo]), int((begin[lo:hi] + size[lo:hi]).max())
+            g0, g1 = (int(at[w0]), int(ends[w1 - 1])) if w1 > w0 else (0, 0)
+            part = self.inputs(hashes[w0:w1], grams[g0:g1], at[w0:w1] - g0)
+            out[lo:hi] = logits_of(self.p, part, begin[lo:hi] - w0, size[lo:hi])
+            lo = hi
+        return out
+
     def scores(self, arr: pa.Array) -> np.ndarray:
         if self.p is None or len(arr) == 0:
             return np.full(len(arr), self.constant)
         hashes, first, grams, at = letter_runs(arr)
         text, begin, size = windows(first)
-        logit = logits_of(self.p, self.inputs(hashes, grams, at), begin, size)
+        logit = self.window_logits(hashes, grams, at, begin, size)
         top = np.full(len(arr), -np.inf)
         np.maximum.at(top, text, logit)
         return _sigmoid(self.slope * top + self.shift)
@@ -246,15 +261,24 @@ def _calibrate(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[fl
     return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
 
 
+def _runs_in_chunks(texts: pa.Array):
+    """letter_runs of many texts, about a megabyte at a time."""
+    parts, words, grams = [], 0, 0
+    for c in chunks(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+        h, f, g, at = letter_runs(c.column("text"))
+        parts.append((h, f[:-1] + words, g, at + grams))
+        words, grams = words + len(h), grams + len(g)
+    h, f, g, at = (np.concatenate(x) for x in zip(*parts))
+    return h, np.append(f, words), g, at
+
+
 def train(texts: pa.Array, y: np.ndarray, share: float, seed: int = 7) -> Model:
     """Fit on texts with labels 0 and 1; ``share`` is that of label 1 among all labelled rows."""
     if len(y) == 0 or y.min() == y.max():
         return Model(None, np.zeros(0, np.uint64), 1, 0, constant=float(share))
     rng = np.random.default_rng(seed)
-    hashes, first, grams, at = letter_runs(texts)
-    doc = np.repeat(np.arange(len(y)), np.diff(first))
-    pairs = np.unique(np.stack([hashes, doc.astype(np.uint64)], axis=1), axis=0)
-    w, c = np.unique(pairs[:, 0], return_counts=True)
+    hashes, first, grams, at = _runs_in_chunks(texts)
+    w, c = np.unique(np.concatenate([np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:])]), return_counts=True)
     keep = np.flatnonzero(c >= MIN_TEXTS)
     vocab = np.sort(w[keep[np.argsort(-c[keep], kind="stable")][:MAX_WORDS]])
     uniq, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
@@ -270,7 +294,7 @@ def train(texts: pa.Array, y: np.ndarray, share: float, seed: int = 7) -> Model:
         if epoch < WARM_EPOCHS:
             pick = np.concatenate([rng.choice(v, min(len(v), 3), replace=False) for v in of])
         else:
-            logit = logits_of(p, model.inputs(hashes, grams, at), begin, size)
+            logit = model.window_logits(hashes, grams, at, begin, size)
             pick = np.concatenate([[v[logit[v].argmax()], *([] if y[i] else [rng.choice(v)])] for i, v in enumerate(of)])
         pick = rng.permutation(pick.astype(int))
         rate = RATE * (1 - epoch / EPOCHS)
@@ -292,7 +316,7 @@ def train(texts: pa.Array, y: np.ndarray, share: float, seed: int = 7) -> Model:
             np.add.at(d["words"], ids, per[:, :WORD_DIM])
             np.add.at(d["grams"], grams[flat], np.repeat(per[:, WORD_DIM:] / n[:, None], n, axis=0))
             adam.step(p, d, rate)
-    logit = logits_of(p, model.inputs(hashes, grams, at), begin, size)
+    logit = model.window_logits(hashes, grams, at, begin, size)
     top = np.full(len(y), -np.inf)
     np.maximum.at(top, text, logit)
     weight = np.where(y == 1, share / (y == 1).mean(), (1 - share) / (y == 0).mean())
