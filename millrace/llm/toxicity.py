@@ -31,7 +31,7 @@ HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 8, 8
 GRAM_BINS = 4096
 MIN_TEXTS, MAX_WORDS = 4, 8192
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
-EPOCHS, WARM_EPOCHS, BATCH, RATE = 9, 3, 128, 0.01
+EPOCHS, WARM_EPOCHS, MIN_STEPS, BATCH, RATE = 9, 3, 500, 128, 0.01
 BLOCK = 512  # windows at a time
 STRETCH = 150_000  # words projected at a time
 
@@ -290,14 +290,23 @@ def train(texts: pa.Array, y: np.ndarray, share: float, seed: int = 7) -> Model:
     text, begin, size = windows(first)
     of = np.split(np.arange(len(text)), np.cumsum(np.bincount(text, minlength=len(y)))[:-1])
     step = np.arange(WINDOW)[:, None]
-    for epoch in range(EPOCHS):
-        if epoch < WARM_EPOCHS:
-            pick = np.concatenate([rng.choice(v, min(len(v), 3), replace=False) for v in of])
+    # Small samples take more rounds, and the rarer class more turns in each.
+    epochs = max(EPOCHS, -(-MIN_STEPS * BATCH // (2 * len(y))))
+    warm = epochs * WARM_EPOCHS // EPOCHS
+    few = int((y == 1).sum() * 2 < len(y))
+    turns = max(1, round((y != few).sum() / (2 * max(1, (y == few).sum()))))
+    refresh = max(2, epochs // 12)
+    for epoch in range(epochs):
+        if epoch < warm:
+            pick = [rng.choice(v, min(len(v), 3), replace=False) for v in of]
         else:
-            logit = model.window_logits(hashes, grams, at, begin, size)
-            pick = np.concatenate([[v[logit[v].argmax()], *([] if y[i] else [rng.choice(v)])] for i, v in enumerate(of)])
-        pick = rng.permutation(pick.astype(int))
-        rate = RATE * (1 - epoch / EPOCHS)
+            if (epoch - warm) % refresh == 0:
+                logit = model.window_logits(hashes, grams, at, begin, size)
+                best = [v[logit[v].argmax()] for v in of]
+            pick = [[best[i], *([] if y[i] else [rng.choice(v)])] for i, v in enumerate(of)]
+        pick = np.concatenate([np.repeat(np.asarray(v, int), turns if y[i] == few else 1) for i, v in enumerate(pick)])
+        pick = rng.permutation(pick)
+        rate = RATE * (1 - epoch / epochs)
         for i in range(0, len(pick), BATCH):
             rows = pick[i : i + BATCH]
             mask = step < size[rows]
