@@ -5,15 +5,313 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.functions import api as A
+from millrace.functions import html as H
+from millrace.functions import text as T
+from millrace.operators import compare, offers, sampling, sequence
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return add
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved page for each part: a tariff card with a name, a speed and a monthly price."""
+    p = _t(spark, sf_dir, "part")
+    price = F.floor("p_retailprice").cast("bigint").cast("string")
+    page = F.concat(
+        F.lit("<html><body><div><h2>Тариф Дома "), F.col("p_partkey").cast("string"), F.lit("</h2><p>"), (F.col("p_size") * 10).cast("string"), F.lit(" Мбит/с</p><p>"), price, F.lit(" руб./мес.</p></div></body></html>"),
+    )
+    return p.select(F.col("p_partkey").alias("source_record_id"), page.alias("payload"))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tariff cards rendered from ``part``, read back as offers."""
+    found = offers.html_offers(part_pages(spark, sf_dir))
+    f = F.col("facts")
+    return found.select(F.col("source_record_id").alias("p_partkey"), f["name"].alias("name"), f["internet_speed_mbps"].cast("bigint").alias("speed"), f["price"].cast("bigint").alias("price"), f["price_period"].alias("price_period"))
+
+
+query("offer_roundtrip", "select p_partkey, 'Тариф Дома ' || p_partkey as name, cast(p_size * 10 as bigint) as speed, cast(floor(p_retailprice) as bigint) as price, 'месяц' as price_period from part")(flagship)
+
+
+@query(
+    "offer_old_price_roundtrip",
+    "select p_partkey, cast(floor(p_retailprice) as bigint) as price, cast(floor(p_retailprice) as bigint) + 100 + p_size as price_old, round(100.0 * (100 + p_size) / (floor(p_retailprice) + 100 + p_size), 1) as discount from part",
+)
+def offer_old_price(spark, d):
+    price = F.floor("p_retailprice").cast("bigint")
+    block = F.concat_ws("\n", F.lit("Тариф Дома"), F.lit("100 Мбит/с"), (price + 100 + F.col("p_size")).cast("string"), F.concat(price.cast("string"), F.lit(" ₽ в месяц")), F.lit("Скидка новым абонентам"))
+    p = _t(spark, d, "part").select("p_partkey", block.alias("block"))
+    p = p.withColumn("price", F.get(T.monthly_prices(F.col("block")), F.lit(0)))
+    p = p.withColumn("price_old", T.standalone_old_price(T.lines(F.col("block")), F.col("price")))
+    return p.select("p_partkey", F.col("price").cast("bigint").alias("price"), F.col("price_old").cast("bigint").alias("price_old"), T.discount_value(F.col("price_old"), F.col("price")).alias("discount"))
+
+
+@query(
+    "offer_services_canonical",
+    """select p_partkey, case p_size % 5 when 0 then 'internet,tv' when 1 then 'mobile,phone' when 2 then 'cinema' when 3 then 'gaming,other' else 'tv,internet' end as services from part""",
+)
+def offer_services(spark, d):
+    words = [["Домашний интернет", "ТВ", "интернет"], ["Мобильная связь", "Звонки"], ["Онлайн-кинотеатр", " CINEMA "], ["Игровые опции", "Подписка", ""], ["телевидение", "Internet"]]
+    lists = F.lit(words)
+    return _t(spark, d, "part").select("p_partkey", F.array_join(T.services(F.get(lists, (F.col("p_size") % 5).cast("int"))), ",").alias("services"))
+
+
+@query(
+    "api_slider_explode",
+    """select p_partkey, cast(o.id as varchar) as variant_id, cast(floor(p_retailprice) as bigint) + o.id as price, cast(p_size * o.id as bigint) as speed
+       from part cross join (values (7), (8), (9)) o(id)""",
+)
+def api_slider(spark, d):
+    option = lambda i: F.struct(F.lit(i).alias("id"), F.struct((F.floor("p_retailprice") + i).alias("value")).alias("totalPrice"), F.struct((F.col("p_size") * i).alias("numValue")).alias("internetSpeed"))
+    item = F.struct(F.col("p_name").alias("titleForCard"), F.struct(F.lit(1).alias("value")).alias("totalPrice"), F.array().cast("array<string>").alias("productFeatureGroups"), F.array(*map(option, (7, 8, 9))).alias("internetOptions"))
+    rows = _t(spark, d, "part").select("p_partkey", F.explode(A.variants(F.parse_json(F.to_json(item)))).alias("v"))
+    f = rows.select("p_partkey", A.slider_facts(F.col("v.item"), F.col("v.option")).alias("f"))
+    return f.select("p_partkey", "f.variant_id", F.col("f.price").cast("bigint").alias("price"), F.col("f.internet_speed_mbps").cast("bigint").alias("speed"))
+
+
+@query(
+    "api_catalog_items",
+    """select o_orderkey, o_orderpriority as name, cast(floor(o_totalprice) as bigint) as price, 'мес' as price_period, 'internet' as services from orders""",
+)
+def api_catalog(spark, d):
+    tariff = F.struct(
+        F.col("o_orderpriority").alias("tariffName"), F.lit("x").alias("tariffType"), F.struct(F.floor("o_totalprice").alias("fee"), F.lit(0).alias("oldFee"), F.lit("₽/мес").alias("feeUnit")).alias("price"),
+        F.array(F.struct(F.lit("speed").alias("name"), F.lit("300").alias("value"))).alias("parameters"),
+    )
+    body = F.struct(F.array(F.struct(F.lit("catalog").alias("alias"), F.struct(F.create_map(F.lit("g"), F.array(tariff)).alias("tariffs")).alias("data"))).alias("blocks"))
+    rows = _t(spark, d, "orders").select("o_orderkey", F.explode(A.items(F.parse_json(F.to_json(body)))).alias("i"))
+    f = rows.select("o_orderkey", A.parameter_facts(F.col("i")).alias("f"))
+    return f.select("o_orderkey", "f.name", F.col("f.price").cast("bigint").alias("price"), "f.price_period", F.array_join("f.services", ",").alias("services"))
+
+
+@query(
+    "embedded_price_algebra",
+    """with t as (select l_orderkey, l_linenumber, floor(l_extendedprice) as base, floor(l_quantity) as extra, cast(floor(l_tax * 100) as integer) as inc, floor(l_discount * 100) as pct, l_linenumber % 3 as k from lineitem)
+       select l_orderkey, l_linenumber, cast(case k when 0 then base when 1 then base + inc + extra else ceil(base + inc + extra - floor((base + inc + extra) * pct / 100 + 0.5)) end as bigint) as price, cast(base + inc as bigint) as price_old from t""",
+)
+def embedded_price(spark, d):
+    yes = F.lit(True)
+    row = _t(spark, d, "lineitem").withColumn("k", F.col("l_linenumber") % 3)
+    scope = F.when(F.col("k") == 0, "dominet").when(F.col("k") == 1, "").otherwise("city")
+    price, old = A.embedded_price(F.floor("l_extendedprice").cast("double"), F.floor("l_quantity").cast("double"), F.floor(F.col("l_tax") * 100).cast("double"), F.floor(F.col("l_discount") * 100).cast("double"), yes, ~yes, yes, scope, F.lit(0.0))
+    return row.select("l_orderkey", "l_linenumber", price.cast("bigint").alias("price"), old.cast("bigint").alias("price_old"))
+
+
+@query(
+    "page_title_shape",
+    r"""select page_id, substr(lower(trim(regexp_replace(regexp_replace(regexp_extract(html, '<title[^>]*>([\s\S]*?)</title', 1), '\s+', ' ', 'g'), '[0-9]+', '#', 'g'))), 1, 120) as title_shape,
+        cast(len(regexp_extract_all(html, '<h[1-3][^>]*>([\s\S]*?)</h[1-3]>')) as integer) as n_headings from pages""",
+)
+def page_title_shape(spark, d):
+    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title", 1)
+    return _t(spark, d, "pages").select("page_id", T.shape(title).alias("title_shape"), F.size(F.regexp_extract_all("html", F.lit(r"(?is)<h[1-3][^>]*>(.*?)</h[1-3]>"), F.lit(0))).alias("n_headings"))
+
+
+@query(
+    "page_path_normalized",
+    r"""with p as (select page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) as host, lower(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)) as path from pages),
+        q as (select page_id, host, regexp_replace(regexp_replace(regexp_replace(path, '/[0-9a-f-]{8,}', '/:id', 'g'), '/[0-9]+', '/:n', 'g'), '/+$', '') as path from p)
+        select page_id, case when path = '' then '/' else path end as path, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain from q""",
+)
+def page_path(spark, d):
+    return _t(spark, d, "pages").select("page_id", T.normalized_path(F.col("url")).alias("path"), T.domain(F.col("url")).alias("domain"))
+
+
+@query(
+    "record_ids",
+    """select page_id, substr(sha256('p' || chr(0) || '' || chr(0) || '' || chr(0) || url || chr(0) || '2024'), 1, 24) as record_id, cast(('0x' || substr(sha1(url), 1, 14)) as bigint) as card_id from pages""",
+)
+def record_ids(spark, d):
+    e = F.lit("")
+    return _t(spark, d, "pages").select("page_id", T.record_id(F.lit("p"), e, e, F.col("url"), F.lit("2024")).alias("record_id"), T.offer_number(F.col("url")).alias("card_id"))
+
+
+@query(
+    "provider_rollup",
+    """select event_type as provider, count(*) as records, count(*) filter (value > 10) as succeeded, count(*) filter (value <= 10) as failed, count(distinct user_id) as users,
+       count(*) filter (value > 10) / greatest(1.0, count(*)) as success_rate from events group by rollup (event_type)""",
+)
+def provider_rollup(spark, d):
+    r = _t(spark, d, "events").rollup(F.col("event_type").alias("provider")).agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col("value") > 10).alias("succeeded"), F.count_if(F.col("value") <= 10).alias("failed"), F.countDistinct("user_id").alias("users")
+    )
+    return r.withColumn("success_rate", F.col("succeeded") / F.greatest(F.lit(1), F.col("records")))
+
+
+@query(
+    "dedupe_keep_first",
+    "select user_id, event_type, event_id from (select *, row_number() over (partition by user_id, event_type order by ts, event_id) n from events) where n = 1",
+)
+def dedupe_keep_first(spark, d):
+    return compare.first_by(_t(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
+
+
+@query(
+    "snapshot_diff",
+    """with a as (select o_orderkey as k, o_orderstatus as s, o_orderpriority as p from orders where o_orderpriority <> '1-URGENT'),
+       b as (select o_orderkey as k, case when o_totalprice > 200000 then 'X' else o_orderstatus end as s, o_orderpriority as p from orders where o_orderpriority <> '5-LOW')
+       select coalesce(a.k, b.k) as o_orderkey, case when a.k is null then 'added' when b.k is null then 'removed' else 'changed' end as type,
+         case when a.k is null then null when b.k is null then 's=' || a.s || ';p=' || a.p else 's=' || a.s end as before,
+         case when b.k is null then null when a.k is null then 's=' || b.s || ';p=' || b.p else 's=' || b.s end as after
+       from a full outer join b on a.k = b.k where a.k is null or b.k is null or a.s is distinct from b.s or a.p is distinct from b.p""",
+)
+def snapshot_diff(spark, d):
+    o = _t(spark, d, "orders")
+    # Two snapshots: urgent orders come, low ones go, costly ones change.
+    old = o.where("o_orderpriority <> '1-URGENT'").select("o_orderkey", F.col("o_orderstatus").alias("s"), F.col("o_orderpriority").alias("p"))
+    new = o.where("o_orderpriority <> '5-LOW'").select("o_orderkey", F.when(F.col("o_totalprice") > 200000, "X").otherwise(F.col("o_orderstatus")).alias("s"), F.col("o_orderpriority").alias("p"))
+    shown = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return compare.changes(old, new, "o_orderkey", ["s", "p"]).select("o_orderkey", "type", shown("before").alias("before"), shown("after").alias("after"))
+
+
+@query("resume_antijoin", "select o_orderkey, o_custkey from orders o where not exists (select 1 from lineitem l where l.l_orderkey = o.o_orderkey and l.l_returnflag = 'R')")
+def resume_antijoin(spark, d):
+    done = _t(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return compare.resume(_t(spark, d, "orders"), done, "o_orderkey").select("o_orderkey", "o_custkey")
+
+
+@query(
+    "gold_compare",
+    """select coalesce(d.doc_id, l.doc_id) as doc_id, l.quality, case when d.doc_id is null then 'missing' when (d.n_chars >= 500) = (l.quality = 1) then 'match' else 'mismatch' end as verdict
+       from labels l left join documents d on d.doc_id = l.doc_id""",
+)
+def gold_compare(spark, d):
+    l, docs = _t(spark, d, "labels").select("doc_id", "quality"), _t(spark, d, "documents").select("doc_id", "n_chars")
+    verdict = F.when(F.col("n_chars").isNull(), "missing").when((F.col("n_chars") >= 500) == (F.col("quality") == 1), "match").otherwise("mismatch")
+    return l.join(docs, "doc_id", "left").select("doc_id", "quality", verdict.alias("verdict"))
+
+
+@query("locality_join", "select c_custkey, n_name as city, cast(n_nationkey as bigint) as locality_id from customer left join nation on c_nationkey = n_nationkey")
+def locality_join(spark, d):
+    n = _t(spark, d, "nation")
+    city = _t(spark, d, "customer").join(F.broadcast(n.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", F.col("n_name").alias("city"))
+    return compare.with_locality(city, n.select(F.lower("n_name").alias("city_key"), F.col("n_nationkey").cast("long").alias("locality_id")))
+
+
+@query(
+    "evidence_grounding",
+    """with w as (select doc_id, text, lower(split_part(text, ' ', 2)) as needle from documents)
+       select doc_id, needle, needle <> '' and contains(lower(text), needle) as grounded, cast(strpos(lower(text), needle) as integer) as place from w""",
+)
+def evidence_grounding(spark, d):
+    needle = F.lower(F.split_part("text", F.lit(" "), F.lit(2)))
+    rows = _t(spark, d, "documents").select("doc_id", "text", needle.alias("needle"))
+    return rows.select("doc_id", "needle", ((F.col("needle") != "") & F.contains(F.lower("text"), "needle")).alias("grounded"), F.position("needle", F.lower("text")).alias("place"))
+
+
+@query(
+    "numbers_in_text",
+    r"""with f as (select doc_id, unnest(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)?')) as x from documents)
+        select doc_id, count(*) as n, cast(sum(length(x)) as bigint) as chars from f group by doc_id""",
+)
+def numbers_in_text(spark, d):
+    found = F.regexp_extract_all("text", F.lit(r"[0-9]+(?:[.,][0-9]+)?"), F.lit(0))
+    rows = _t(spark, d, "documents").select("doc_id", F.explode(found).alias("x"))
+    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("x")).cast("bigint").alias("chars"))
+
+
+@query("props_json_number", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, cast(json_extract_string(props, '$.k') as bigint) * 2 as doubled from events")
+def props_json_number(spark, d):
+    v = A.parse(F.col("props"))
+    return _t(spark, d, "events").select("event_id", A.number_of(v, "$.k").cast("bigint").alias("k"), (A.number_of(v, "$.k") * 2).cast("bigint").alias("doubled"))
+
+
+@query(
+    "context_window_lines",
+    """select conv_id, turn, last_value(case when length(text) > 200 then turn end ignore nulls) over (partition by conv_id order by turn rows between 3 preceding and 1 preceding) as previous,
+       first_value(case when length(text) > 200 then turn end ignore nulls) over (partition by conv_id order by turn rows between 1 following and 3 following) as following from conversations""",
+)
+def context_window(spark, d):
+    c = _t(spark, d, "conversations")
+    return sequence.neighbours(c, ["conv_id"], "turn", F.when(F.length("text") > 200, F.col("turn")), 3, 3).select("conv_id", "turn", "previous", "following")
+
+
+@query("block_sessionize", "select conv_id, turn, cast(sum(case when role = 'user' then 1 else 0 end) over (partition by conv_id order by turn rows unbounded preceding) as bigint) as session from conversations")
+def block_sessionize(spark, d):
+    return sequence.sessions(_t(spark, d, "conversations"), ["conv_id"], "turn", F.col("role") == "user").select("conv_id", "turn", "session")
+
+
+@query("line_gaps", "select l_orderkey, l_linenumber, coalesce(l_linenumber - lag(l_linenumber) over (partition by l_orderkey order by l_linenumber) > 1, true) as gap from (select distinct l_orderkey, l_linenumber from lineitem where l_quantity > 10)")
+def line_gaps(spark, d):
+    rows = _t(spark, d, "lineitem").where("l_quantity > 10").select("l_orderkey", "l_linenumber").distinct()
+    return sequence.gaps(rows, ["l_orderkey"], "l_linenumber")
+
+
+@query("error_split_counts", "select event_type = 'error' as rejected, count(*) as n, min(event_id) as first_id, max(event_id) as last_id from events group by 1")
+def error_split(spark, d):
+    return _t(spark, d, "events").groupBy((F.col("event_type") == "error").alias("rejected")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+
+
+@query("bounded_errors", "select event_id, user_id from events where event_type = 'error' order by event_id limit 100")
+def bounded_errors(spark, d):
+    return _t(spark, d, "events").where("event_type = 'error'").orderBy("event_id").limit(100).select("event_id", "user_id")
+
+
+@query(
+    "line_budget_prefix",
+    """with l as (select doc_id, unnest(string_split(text, chr(10))) as x, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
+       c as (select doc_id, length(x) + 1 as n, sum(length(x) + 1) over (partition by doc_id order by i) as used from l)
+       select d.doc_id, cast(count(c.n) as integer) as kept, cast(coalesce(sum(c.n), 0) as integer) as kept_chars from documents d left join c on c.doc_id = d.doc_id and c.used <= 500 group by d.doc_id""",
+)
+def line_budget(spark, d):
+    return sequence.lines_within(_t(spark, d, "documents").select("doc_id", "text"), "text", 500).select("doc_id", "kept", "kept_chars")
+
+
+@query(
+    "stratified_sample",
+    """with g as (select page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) as h from pages),
+       r as (select *, row_number() over (partition by h order by page_id) as k, min(page_id) over (partition by h) as f from g),
+       s as (select * from r where k <= 9 and f in (select distinct f from r order by f limit 24)),
+       p as (select page_id, cast(row_number() over (order by k, f) as integer) as place from s)
+       select page_id, place, case when place <= 4 then 'train' when place <= 7 then 'holdout' else 'smoke' end as split from p where place <= 9""",
+)
+def stratified_sample(spark, d):
+    rows = _t(spark, d, "pages").select("page_id", T.host(F.col("url")).alias("h"))
+    return sampling.stratified(rows, "h", "page_id").select("page_id", "place", "split")
+
+
+@query("best_attempt", "select l_suppkey, arg_max(l_partkey, (l_extendedprice, -l_partkey)) as best from lineitem group by l_suppkey")
+def best_attempt(spark, d):
+    return _t(spark, d, "lineitem").groupBy("l_suppkey").agg(F.max_by("l_partkey", F.struct(F.col("l_extendedprice"), -F.col("l_partkey"))).alias("best"))
+
+
+@query("page_fingerprint_groups")
+def page_fingerprint_groups(spark, d):
+    r = _t(spark, d, "pages").select(F.lit("html").alias("payload_type"), "url", F.lit("").alias("city"), F.col("html").alias("payload"))
+    return sampling.fingerprint(r).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("html_visible_text")
+def html_visible_text(spark, d):
+    return H.with_visible_text(_t(spark, d, "pages").select("page_id", "html")).select("page_id", "visible")
+
+
+@query("html_reduced")
+def html_reduced(spark, d):
+    r = H.with_reduced(_t(spark, d, "pages").select("page_id", F.col("html").alias("payload"), F.lit("").alias("city")))
+    return r.select("page_id", "reduced.text", "reduced.original_chars", "reduced.reduced_chars", "reduced.candidate_blocks")
