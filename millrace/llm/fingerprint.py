@@ -53,7 +53,7 @@ def boundaries(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     roll = np.zeros(n, np.uint64)
     since = np.arange(n) - np.repeat(off[:-1], np.diff(off))  # bytes before this one in its text
     with np.errstate(over="ignore"):
-        for j in range(ROLL):
+        for j in range(min(ROLL, n)):
             part = code[: n - j] * weight[j + 1]
             part[since[j:] < j] = 0
             roll[j:] += part
