@@ -140,15 +140,15 @@ def utf8(arr: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return buf[off[0] : off[-1]], off - off[0]
 
 
-def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):
-    """Slices of the batch with about ``limit`` bytes of text each, one row at least."""
+def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES, rows: int = 1 << 30):
+    """Slices of the batch with about ``limit`` bytes of text and at most ``rows`` rows each, one row at least."""
     if batch.num_rows == 0:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.cumsum(sizes)
     at, done = 0, 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
+        to = max(at + 1, min(at + rows, int(np.searchsorted(ends, done + limit, "right"))))
         yield batch.slice(at, to - at)
         done, at = int(ends[to - 1]), to
 

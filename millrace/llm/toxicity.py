@@ -33,7 +33,7 @@ MIN_TEXTS, MAX_WORDS = 4, 8192
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
 EPOCHS, WARM_EPOCHS, MIN_STEPS, BATCH, RATE = 9, 3, 500, 128, 0.01
 BLOCK = 512  # windows at a time
-STRETCH = 150_000  # words projected at a time
+STRETCH = 40_000  # words projected at a time
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[128:] = np.arange(128, 256)
@@ -48,7 +48,7 @@ def letter_runs(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     starts, ends, first = word_spans(buf, off)
     hashes = span_hashes(buf, starts, ends)
     sizes = ends - starts
-    at = np.cumsum(sizes) - sizes
+    at = (np.cumsum(sizes) - sizes).astype(np.int32)
     solid = np.flatnonzero(buf != 32)
     wide = np.full(len(buf) + 2, 32, np.uint32)
     wide[1:-1] = buf
@@ -58,7 +58,7 @@ def letter_runs(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     after = np.where(edge[solid + 1], 32, wide[solid + 2])
     gram = ((before << np.uint32(16)) | (wide[solid + 1] << np.uint32(8)) | after).astype(np.uint32)
     gram = (gram * np.uint32(2654435769)) ^ (gram >> np.uint32(7))
-    return hashes, first, ((gram * np.uint32(0x85EBCA6B)) >> np.uint32(20)).astype(np.int32), at
+    return hashes, first, ((gram * np.uint32(0x85EBCA6B)) >> np.uint32(20)).astype(np.int16), at
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -264,24 +264,34 @@ def _calibrate(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[fl
 def _runs_in_chunks(texts: pa.Array):
     """letter_runs of many texts, about a megabyte at a time."""
     parts, words, grams = [], 0, 0
-    for c in chunks(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
-        h, f, g, at = letter_runs(c.column("text"))
-        parts.append((h, f[:-1] + words, g, at + grams))
-        words, grams = words + len(h), grams + len(g)
+    for part in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
+        for c in chunks(pa.RecordBatch.from_arrays([part], names=["text"]), "text"):
+            h, f, g, at = letter_runs(c.column("text"))
+            parts.append((h, f[:-1] + words, g, at + np.int32(grams)))
+            words, grams = words + len(h), grams + len(g)
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int16), np.zeros(0, np.int32)
     h, f, g, at = (np.concatenate(x) for x in zip(*parts))
     return h, np.append(f, words), g, at
 
 
 def train(texts: pa.Array, y: np.ndarray, share: float, seed: int = 7) -> Model:
     """Fit on texts with labels 0 and 1; ``share`` is that of label 1 among all labelled rows."""
+    return train_runs(_runs_in_chunks(texts), y, share, seed)
+
+
+def train_runs(runs, y: np.ndarray, share: float, seed: int = 7) -> Model:
+    """Fit on the letter runs of texts."""
     if len(y) == 0 or y.min() == y.max():
         return Model(None, np.zeros(0, np.uint64), 1, 0, constant=float(share))
+    hashes, first, grams, at = runs
     rng = np.random.default_rng(seed)
-    hashes, first, grams, at = _runs_in_chunks(texts)
     w, c = np.unique(np.concatenate([np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:])]), return_counts=True)
     keep = np.flatnonzero(c >= MIN_TEXTS)
     vocab = np.sort(w[keep[np.argsort(-c[keep], kind="stable")][:MAX_WORDS]])
-    uniq, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    uniq, where = np.unique(hashes, return_index=True)
+    where = where.astype(np.int32)
+    inverse = np.concatenate([np.searchsorted(uniq, hashes[i : i + STRETCH]).astype(np.int32) for i in range(0, len(hashes), STRETCH)] or [where])
     k = np.minimum(np.searchsorted(vocab, uniq), max(0, len(vocab) - 1))
     word = np.where(vocab[k] == uniq, k + 1, 0) if len(vocab) else np.zeros(len(uniq), int)
     ends = np.append(at[1:], len(grams))
@@ -349,7 +359,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC, sa
     # About sample_toxic + sample_clean ids: bounded by the parameters, so it may be broadcast.
     picked = F.broadcast(known.where(hashed < share * 1_000_000))
     got = docs.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "text", "__y").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    return train(got.column("text").combine_chunks(), got.column("__y").to_numpy(), sizes.get(1, 0) / sum(sizes.values()))
+    runs, y = _runs_in_chunks(got.column("text")), got.column("__y").to_numpy()
+    del got  # the texts aren't needed any more
+    return train_runs(runs, y, sizes.get(1, 0) / sum(sizes.values()))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
