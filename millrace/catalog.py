@@ -243,12 +243,14 @@ def props_json_number(spark, d):
 
 @query(
     "context_window_lines",
-    """select conv_id, turn, last_value(case when length(text) > 200 then turn end ignore nulls) over (partition by conv_id order by turn rows between 3 preceding and 1 preceding) as previous,
-       first_value(case when length(text) > 200 then turn end ignore nulls) over (partition by conv_id order by turn rows between 1 following and 3 following) as following from conversations""",
+    """select conv_id, turn, coalesce(last_value(case when length(text) > 200 then turn end ignore nulls) over (partition by conv_id order by turn rows between 3 preceding and 1 preceding), -1) as previous,
+       coalesce(first_value(case when length(text) > 200 then turn end ignore nulls) over (partition by conv_id order by turn rows between 1 following and 3 following), -1) as following from conversations""",
 )
 def context_window(spark, d):
     c = _t(spark, d, "conversations")
-    return sequence.neighbours(c, ["conv_id"], "turn", F.when(F.length("text") > 200, F.col("turn")), 3, 3).select("conv_id", "turn", "previous", "following")
+    return sequence.neighbours(c, ["conv_id"], "turn", F.when(F.length("text") > 200, F.col("turn")), 3, 3).select(
+        "conv_id", "turn", F.coalesce("previous", F.lit(-1)).alias("previous"), F.coalesce("following", F.lit(-1)).alias("following")
+    )
 
 
 @query("block_sessionize", "select conv_id, turn, cast(sum(case when role = 'user' then 1 else 0 end) over (partition by conv_id order by turn rows unbounded preceding) as bigint) as session from conversations")
