@@ -46,8 +46,10 @@ def partitions(spark: SparkSession) -> int:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable on executors, once for each context."""
+    """Make this package importable on executors, once for each context; keep Arrow batches of texts small."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     if getattr(sc, "_millrace_shipped", False):
         return
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -13,7 +13,7 @@ some partitions more than k + 1, which lets sets leave out their weak signatures
 no or one element): a pair still shares a strong one unless either set has more weak
 ones than spare partitions, and such a set leaves out none.
 
-Equal sets form classes first and are signed once for each task. Sets with a common
+Equal sets form classes first, and the least id of each signs for it. Sets with a common
 signature are compared with one of them, the one that shares most signatures (a star,
 not all pairs). What doesn't link with it is compared with the rest in blocks of
 bounded size: by the triangle inequality only with others outside the star, and with
@@ -34,7 +34,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, partitions, shared_dir, shingles, ship_package, splitmix, stored, table, words
@@ -185,21 +185,13 @@ def features(docs: DataFrame, scheme: Scheme, k: int) -> DataFrame:
 
 
 def signature_rows(docs: DataFrame, scheme: Scheme, k: int) -> DataFrame:
-    """(sig, doc) of all signatures; a set that a task has signed isn't signed by it again."""
+    """(sig, doc) of all signatures of the documents' sets."""
 
     def run(batches):
-        seen: set = set()
         for b in batches:
             for c in chunks(b, "text"):
-                sets = shingles(*words(c.column("text")), k)
+                row, sig = scheme.signatures(shingles(*words(c.column("text")), k))
                 ids = c.column("doc_id").to_numpy(zero_copy_only=False)
-                for i, s in enumerate(sets):
-                    with np.errstate(over="ignore"):
-                        key = (len(s), int(splitmix(s).sum(dtype=np.uint64)), int(splitmix(s ^ np.uint64(0xABCDEF12345)).sum(dtype=np.uint64)))
-                    if key in seen:
-                        sets[i] = s[:0]
-                    seen.add(key)
-                row, sig = scheme.signatures(sets)
                 yield pa.RecordBatch.from_arrays([_long(sig), pa.array(ids[row].astype(np.int64))], names=["sig", "doc"])
 
     source = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -357,16 +349,19 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, links: list
     same = nodes.where("n > 0 and doc_id is not null").join(classes, ["k1", "k2", "n"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
     same = stored(same, f"{work}/same")
 
-    signed = signature_rows(docs, scheme, k)
-    from pyspark.sql import Window
-
+    # The least id of each class signs for it; a document with several texts signs all of them.
+    signers = classes.select(F.col("rep").alias("doc_id")).distinct()
+    signed = signature_rows(chosen(docs, signers), scheme, k)
     w = Window.partitionBy("sig")
     shared = signed.select("sig", "doc", F.min("doc").over(w).alias("lo"), F.max("doc").over(w).alias("hi"), F.count("doc").over(w).alias("c"))
-    live = stored(shared.where("lo <> hi").select("sig", "doc", "c"), f"{work}/live")
+    # A group of two is one pair; its other row isn't needed.
+    live = stored(shared.where("lo <> hi and (c > 2 or doc = lo)").select("sig", "doc", "hi", "c"), f"{work}/live")
+    pairs = live.where("c = 2").select(F.col("doc").alias("a"), F.col("hi").alias("b"))
+    live = live.where("c > 2").select("sig", "doc", "c")
     popular = live.groupBy("doc").agg(F.sum("c").alias("p"))
     pivots = live.join(popular, "doc").groupBy("sig").agg(F.max_by("doc", "p").alias("pivot"))
-    live = stored(live.join(pivots, "sig").select("sig", "doc", "pivot").distinct(), f"{work}/stars")
-    edges = live.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
+    live = stored(live.join(pivots, "sig").select("sig", "doc", "pivot"), f"{work}/stars")
+    edges = live.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).union(pairs).distinct()
     sized = nodes.where("n > 0 and doc_id is not null")
     stars = near_pairs(edges, sized, scheme, f"{work}/near")
     first = verified(stars.where("state = 2"), docs, scheme, k, f"{work}/first")
