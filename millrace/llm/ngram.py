@@ -4,8 +4,9 @@ Tokens are the lower-cased (A-Z) words of a text and one end token; the end toke
 also stands before the first. Level 1 has every distinct training token: a 63-bit
 hash, by which tokens are found, and its exact count. A node of level k is a pair
 (context: node of level k-1, word: position in level 1) that occurs at least
-``MIN_COUNT`` times; its number is its position in the level. Only pairs whose context
-and suffix are nodes themselves can be that frequent, so no others are counted.
+``min_count`` times; its number is its position in the level. Only pairs whose context
+and suffix are nodes themselves can be that frequent, so no others are counted. The
+query asks for 1: every observed n-gram is a node.
 
 A level lies in files, each a range of the sorted pairs: distinct contexts and the
 start of each one's words (both monotone, Elias-Fano), and the words, made monotone by
@@ -43,7 +44,7 @@ from .common import chunks, crc_fold, shared_dir, ship_package, stored, table, w
 from .eliasfano import EliasFano, mapped, named, opened, pack
 
 ORDER = 3
-MIN_COUNT = 2
+MIN_COUNT = 2  # of train() by itself; the query keeps pairs seen once too
 DISCOUNT = 0.75
 FILE_ROWS = 1_000_000
 CHUNK = 2 << 20
@@ -285,8 +286,8 @@ def _summed(pairs: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(uniq.astype(np.int64)), pa.array(suffix[at].astype(np.int64)), pa.array(n.astype(np.int32))], names=["key", "suffix", "n"])
 
 
-def train(texts: DataFrame, order: int = ORDER) -> Trie:
-    """Build the trie from all rows of ``texts`` (text)."""
+def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> Trie:
+    """Build the trie from all rows of ``texts`` (text), with the pairs seen ``min_count`` times or more."""
     spark = texts.sparkSession
     ship_package(spark)
     folder = shared_dir(spark, "ngram")
@@ -316,12 +317,12 @@ def train(texts: DataFrame, order: int = ORDER) -> Trie:
     trie = Trie(total["n"], total["v"], _files(level1, Words, folder, "level1", ["key"], total["v"]))
     trie.end = int(trie.first.lookup(np.array([END], np.uint64))[0][0])
     for k in range(2, order + 1):
-        if not _add_level(trie, texts, folder, k):
+        if not _add_level(trie, texts, folder, k, min_count):
             break
     return trie
 
 
-def _add_level(trie: Trie, texts: DataFrame, folder: str, k: int) -> bool:
+def _add_level(trie: Trie, texts: DataFrame, folder: str, k: int, min_count: int) -> bool:
     def count(batches):
         held, size = [], 0
         for b in batches:
@@ -330,8 +331,8 @@ def _add_level(trie: Trie, texts: DataFrame, folder: str, k: int) -> bool:
                 ids, counts, _, nodes = trie.walk(h, start)
                 context = trie.before(nodes[-1], start, k - 2)
                 ok = (context >= 0) & (nodes[-1] >= 0)
-                if k == 2:  # a word seen once is in no pair seen twice
-                    often = counts >= MIN_COUNT
+                if k == 2 and min_count > 1:  # a rarer word is in no pair that frequent
+                    often = counts >= min_count
                     ok &= often & trie_before(often, start)
                 key = (context[ok].astype(np.uint64) << np.uint64(32)) | ids[ok].astype(np.uint64)
                 held.append((key, nodes[-1][ok]))
@@ -347,7 +348,9 @@ def _add_level(trie: Trie, texts: DataFrame, folder: str, k: int) -> bool:
         c[start[:-1]] = True
         return c
 
-    found = texts.mapInArrow(count, "key long, suffix long, n int").groupBy("key").agg(F.max("suffix").alias("suffix"), F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
+    found = texts.mapInArrow(count, "key long, suffix long, n int").groupBy("key").agg(F.max("suffix").alias("suffix"), F.sum("n").alias("n"))
+    if min_count > 1:
+        found = found.where(F.col("n") >= min_count)
     found = stored(found, f"{folder}/pairs{k}")
     rows = found.count()
     if not rows:
@@ -404,4 +407,4 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(crc_fold(F.col("doc_id"), 5) == 1, F.lit(False))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")
-    return score(docs, train(docs.where(~F.col("held_out"))))
+    return score(docs, train(docs.where(~F.col("held_out")), min_count=1))

@@ -174,6 +174,34 @@ def test_ngram_of_odd_tables(edges, empty):
     assert ngram.score(d.limit(0), ngram.train(d)).count() == 0
 
 
+def test_ngram_query_keeps_pairs_seen_once(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(["a b c d", "a b c e", "f g h", "b c d once", "f g h", "g h i a", "a b c d", "e f", "d once more"])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 1}
+    assert 0 < len(held) < len(rows)
+    n = [Counter() for _ in range(3)]  # by order
+    for i, t in rows:
+        s = ["\0", *split(t), "\0"]
+        if i not in held:
+            n[0].update(s[1:])
+            n[1].update(zip(s, s[1:]))
+            n[2].update(zip(s, s[1:], s[2:]))
+    after = [Counter(k[:-1] for k in c) for c in n[1:]]  # distinct words after each context
+    p1 = lambda w: (n[0][w] + 0.5) / (sum(n[0].values()) + 0.5 * (len(n[0]) + 1))
+
+    def p(*g):
+        if len(g) == 1:
+            return p1(g[0])
+        c, of = g[:-1], n[0][g[0]] if len(g) == 2 else n[1][g[:-1]]
+        kinds = after[len(g) - 2][c]
+        return (max(n[len(g) - 1][g] - 0.75, 0) + 0.75 * kinds * p(*g[1:])) / of if kinds else p(*g[1:])
+
+    got = {r.doc_id: r.score for r in ngram.query(spark, str(tmp_path)).collect()}
+    for i, t in rows:
+        s = ["\0", *split(t), "\0"]
+        assert got[i] == pytest.approx(sum(math.log10(p(*s[max(0, j - 2) : j + 1])) for j in range(1, len(s))), abs=1e-6)
+
+
 # -- 4 records -----------------------------------------------------------------------
 
 
