@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -353,6 +354,27 @@ def test_language_of_odd_tables(edges, empty, docs):
     assert {r.lang_pred for r in language.classify(edges.drop("score"), language.fit(empty)).collect()} == {"und"}
 
 
+FOREIGN = [
+    "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.",
+]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the driver's tables")
+def test_foreign_and_junk_texts_are_rejected(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    m = language.fit(language.training_rows(d))
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    dealt = lambda of: ["".join(rng.choice(of) for _ in range(600)) for _ in range(5)]
+    junk = ["a" * 600, *dealt(letters + "   "), *dealt(letters + letters.upper() + "0123456789+/")]
+    assert all(m.predict(pa.array(FOREIGN + junk))[2])
+    clean = language.classify(d.where((F.crc32(F.col("doc_id").cast("string")) % 3 == 1) & (F.length("text") > 40)), m).collect()
+    assert len(clean) > 200 and np.mean([r.rejected for r in clean]) < 0.08
+
+
 # -- 8 chat --------------------------------------------------------------------------
 
 TURNS = [
