@@ -1,9 +1,10 @@
 """Mixing sources to target weights by a temperature.
 
-Source shares of the corpus' length p_i become weights p_i**a / sum(p**a). The
+Source shares of the corpus' tokens p_i become weights p_i**a / sum(p**a). The
 exponent a in [0, 1] is bisected: it is the largest one whose weights reach the
 target entropy, lowered no further than the repetition limit allows (no source may
-be asked for more than ``max_epochs`` times its own length); a = 1 keeps the shares.
+be asked for more than ``max_epochs`` times its own length); a = 1 keeps the shares. Lengths are in
+tokens, the words of a text; ``mix`` by itself, without a ``measure``, takes characters.
 
 The weights are realised as budgeted block permutations. Each source's documents are
 hashed into blocks of about ``block_rows``; in each epoch a source's blocks, and the
@@ -24,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, ship_package, stored, table
+from .common import WORD_PATTERN, shared_dir, ship_package, stored, table
 
 TARGET_ENTROPY = 0.97  # of the logarithm of the number of sources
 MAX_EPOCHS = 4.0
@@ -69,19 +70,25 @@ def solve_exponent(sizes: dict, budget: float, target_entropy: float = TARGET_EN
     return 1.0 - bisect(lambda b: within(1.0 - b))
 
 
+def n_tokens(text: str) -> Column:
+    """Words of the text; null counts as empty."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+
+
 def _order(epoch: Column, *of: Column) -> Column:
     return F.xxhash64(F.lit(SEED), epoch, *of)
 
 
-def mix(docs: DataFrame, source: str = "source", text: str = "text", identity: tuple = ("doc_id",), budget: float | None = None, target_entropy: float = TARGET_ENTROPY, max_epochs: float = MAX_EPOCHS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def mix(docs: DataFrame, source: str = "source", text: str = "text", identity: tuple = ("doc_id",), budget: float | None = None, target_entropy: float = TARGET_ENTROPY, max_epochs: float = MAX_EPOCHS, block_rows: int = BLOCK_ROWS, measure: Column | None = None) -> DataFrame:
     """Rows of ``docs`` with ``mix_epoch`` and ``mix_block`` (position of the block in its source's epoch), one for each time a row is taken.
 
-    ``budget`` is a length in characters; without it, that of all documents.
+    ``measure`` is a document's length (characters without it). ``budget`` is such a
+    length; without it, that of all documents.
     """
     spark = docs.sparkSession
     ship_package(spark)
     work = shared_dir(spark, "mixing")
-    size = F.coalesce(F.length(text), F.lit(0)).cast("long")
+    size = F.coalesce(F.length(text) if measure is None else measure, F.lit(0)).cast("long")
     name = F.coalesce(F.col(source).cast("string"), F.lit("\x00null"))
     totals = {r["s"]: (r["rows"], r["size"]) for r in docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("size")).collect()}
     sizes = {k: v[1] for k, v in totals.items()}
@@ -126,9 +133,9 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", identity: t
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs).select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), "mix_epoch", "mix_block")
+    return mix(docs, measure=n_tokens("text")).select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), "mix_epoch", "mix_block")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them."""
-    return mix(docs).select(*docs.columns)
+    return mix(docs, measure=n_tokens("text")).select(*docs.columns)

@@ -280,6 +280,19 @@ def test_mixture_of_odd_tables(edges, empty):
     assert mixing.mix(edges.where("text is null or text = ''")).count() == 3
 
 
+def test_mixture_counts_tokens(spark, tmp_path):
+    rows = [(i, "a b " * 50, "short") for i in range(40)] + [(100 + i, "unwordlylongword " * 100, "long") for i in range(10)]
+    rows += [(200, None, "short"), (201, " \t ", "long")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    size = {"short": 4000, "long": 1000}
+    w = mixing.weights(size, mixing.solve_exponent(size, 5000))
+    for got in (mixing.query(spark, str(tmp_path)).collect(), mixing.stage(spark, d, str(tmp_path)).collect()):
+        n = Counter(r.source for r in got if r.doc_id < 200)
+        for s in size:  # a document has 100 tokens
+            assert w[s] * 5000 <= n[s] * 100 + 1e-6 and n[s] * 100 <= w[s] * 5000 + 100
+
+
 # -- 6 toxicity ----------------------------------------------------------------------
 
 
