@@ -120,7 +120,8 @@ def with_block_facts(df: DataFrame, block: str = "block") -> DataFrame:
 def html_offers(pages: DataFrame, key: str = "source_record_id", payload: str = "payload") -> DataFrame:
     """(key, block, at, facts): the offers of each page.
 
-    Known card families win. Otherwise headed blocks, else script fields; rows paired
+    Known card families win. Otherwise headed blocks, else the one tariff of a detail
+    page, else script fields; rows paired
     from speeds and prices replace a single or missing block if they are more; lines
     that name an internet speed replace what they are not fewer than. Of blocks with
     equal facts the first stays. ``key`` must be unique.
@@ -134,8 +135,8 @@ def html_offers(pages: DataFrame, key: str = "source_record_id", payload: str =
     page = Window.partitionBy(key)
     n = lambda t: F.count_if(F.col("fit") & (F.col("nth") == 1) & (F.col("tier") == t)).over(page)
     rows = rows.select("*", *[n(t).alias(f"n_{t}") for t in H.TIERS])
-    base = F.when(F.col("n_headed") > 0, "headed").when(F.col("n_script") > 0, "script")
-    base_n = F.when(base == "headed", F.col("n_headed")).when(base == "script", F.col("n_script")).otherwise(0)
+    base = F.when(F.col("n_headed") > 0, "headed").when(F.col("n_detail") > 0, "detail").when(F.col("n_script") > 0, "script")
+    base_n = F.when(base == "headed", F.col("n_headed")).when(base == "detail", F.col("n_detail")).when(base == "script", F.col("n_script")).otherwise(0)
     second = F.when((base_n <= 1) & (F.col("n_paired") > base_n), "paired").otherwise(base)
     second_n = F.when(second == "paired", F.col("n_paired")).otherwise(base_n)
     pick = F.when(F.col("n_dom") > 0, "dom").when((F.col("n_named") > 0) & (F.col("n_named") >= second_n), "named").otherwise(second)

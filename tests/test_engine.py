@@ -85,6 +85,29 @@ def test_embedded_data_becomes_items():
     assert S.embedded_items("nothing") is None
 
 
+def test_scripts_are_evidence():
+    offer = {"@type": "Product", "name": "Домашний интернет 300", "offers": {"price": 550, "priceCurrency": "RUB"}, "text": "до 300 Мбит/с за 550 руб в месяц"}
+    page = f'<script type="application/ld+json">{json.dumps(offer, ensure_ascii=False)}</script><script>var a = {{t: "тариф Старт", price: 400, скидка: 1}};</script><script>s={{speed: 100, price: 700}}</script><p>Пусто</p>'
+    text = H.reduced(page)["text"]
+    lines = text.split("[EMBEDDED DATA CANDIDATES]\n")[1].splitlines()
+    assert lines[0] == ": @type=Product; name=Домашний интернет 300; text=до 300 Мбит/с за 550 руб в месяц"  # the best first
+    assert "offers: price=550; priceCurrency=RUB" in lines and any("тариф Старт" in x for x in lines) and lines[-2:] == ["speed: 100", "price: 700"]
+    long = H.script_evidence([json.dumps({"a": "тариф " * 900})], ["type=application/json"], 3600)
+    assert [len(x) for x in long] == [1200]
+
+
+def test_detail_page_and_compound_block():
+    hero = ["Главная", "Домашний интернет", "Мегабыстрый Дома", "Для дома", "до 500 Мбит/с", "Роутер в аренду", "650 ₽/мес", "Подробные условия"]
+    (block,) = H.detail_block(hero)
+    assert block.splitlines()[0] == "Мегабыстрый Дома" and "650 ₽/мес" in block
+    assert H.detail_block(["Мобильная связь", "Тариф Старт", "650 ₽/мес"]) == []
+    two = "Домашний интернет\nТариф Старт\n100 Мбит/с\n400 ₽/мес\nПодробнее\nТариф Макс\n500 Мбит/с\n800 ₽/мес"
+    assert [x.splitlines()[-1] for x in H.split_block(two)] == ["400 ₽/мес", "800 ₽/мес"] and H.split_block(two)[1].startswith("Тариф Макс")
+    assert H.split_block("Тариф Старт\n100 Мбит/с\n400 ₽/мес") == ["Тариф Старт\n100 Мбит/с\n400 ₽/мес"]
+    page = "".join(f"<p>{x}</p>" for x in hero)
+    assert "detail" in {c["tier"] for c in H.candidates_of(page)}
+
+
 def test_changes(spark):
     old, new = (spark.createDataFrame(r, "id int, price int") for r in ([(1, 500), (2, 1), (4, 9)], [(1, 450), (3, 1), (4, 9)]))
     got = {r.id: (r.type, r.before, r.after) for r in compare.changes(old, new, "id", ["price"]).collect()}
