@@ -388,6 +388,19 @@ def test_foreign_and_junk_texts_are_rejected(spark):
     assert len(clean) > 200 and np.mean([r.rejected for r in clean]) < 0.08
 
 
+def test_language_samples_are_distinct_texts(spark, monkeypatch):
+    rng = random.Random(2)
+    texts = sorted({"".join(rng.choice("abcdefgh ") for _ in range(60)) for _ in range(400)})
+    at = {r.t: r.h for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", (F.pmod(F.xxhash64("t"), F.lit(1_000_000)) / 1_000_000).alias("h")).collect()}
+    low, high = min(texts, key=at.get), [t for t in texts if at[t] > 0.3][:2]
+    rows = [(t, "en") for t in texts] + [(low, "en")] * 8000 + [(t, "xx") for t in high for _ in range(5000)]
+    sizes, plain = [], language._kmeans
+    monkeypatch.setattr(language, "_kmeans", lambda x, k: sizes.append(len(x)) or plain(x, k))
+    m = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert m.languages == ["en", "xx"]
+    assert 200 < sizes[0] <= 400 and 1 <= sizes[1] <= 2
+
+
 # -- 8 chat --------------------------------------------------------------------------
 
 TURNS = [
