@@ -3,34 +3,43 @@
 A document's set holds the hashes of its distinct runs of k words. Two documents
 link when ``den`` * |intersection| >= ``num`` * |union|.
 
-Sizes fall into bands whose bounds grow by den/num; linked sets lie in one band or
-in neighbours, so each set is signed for its own band and the next. Within a band
-the symmetric difference of a linked pair is at most ``k``. The hashed feature
-domain is cut into n1 * n2 partitions; of each n1-part, subsets of its n2 partitions
-are enumerated, and a signature is the content of one subset. A linked pair shares a
-signature, for the differences can't touch all subsets. Large bands take n2 = 1 and
-some partitions more than k + 1, which lets sets leave out their weak signatures (of
-no or one element): a pair still shares a strong one unless either set has more weak
-ones than spare partitions, and such a set leaves out none.
-
-Equal sets form classes first, and the least id of each signs for it. Sets with a common
+Sizes fall into bands whose bounds grow by den/num. Band t's tag covers the pairs whose
+smaller set lies in it, so a set is signed under its own band and under the one below.
+The symmetric difference of such a pair is at most ``k``. The hashed feature domain is
+cut into n1 parts of n2 partitions each; a part in which a pair differs by at most k2
+elements has a subset of n2 - k2 partitions without difference, and a signature is the
+content of one such subset. Small k: one part, n2 = k + 2, k2 = k. Larger ones: n2 = 3,
+k2 = 1, and ``spare`` parts more than are needed, so a linked pair shares signatures in
+``spare`` + 1 parts at least.
+
+The spare parts are what each set may leave out. Subsets without an element are left out
+first: they say nothing and would be alike in all sets of a band. Then a set leaves out
+its most frequent signatures (by a count that all sets see alike) while they touch no more
+than the spare parts left: of the shared signatures the rarest is then left out by neither
+set. A set with empty subsets in more parts than are spare leaves out none but those, and is
+signed again under further hash functions until it has few enough; a pair meets under the
+first hash function that suits one of the two.
+
+Equal sets form classes first, and one text signs for each. Sets with a common
 signature are compared with one of them, the one that shares most signatures (a star,
 not all pairs). What doesn't link with it is compared with the rest in blocks of
 bounded size: by the triangle inequality only with others outside the star, and with
 the star's members where the distance to the centre allows it. The comparison uses
 parity sketches, whose distance never exceeds the true one; what remains is verified
-on the whole texts. Components come from repeated large-star and small-star steps.
+on the whole texts. Components come from repeated large-star and small-star steps. Joins
+by a star's centre or a copied text are salted.
 
 Defined results: null or empty text, or text without a word: the set is empty and the
 row is alone (``component_id`` is its own id). A null id gets a null component. Rows
-that repeat an id are one document with several texts; each returns. Extra columns
-are not read by the join; the stage passes them through.
+that repeat an id are one document with several texts; each returns, and all their links
+count. Extra columns are not read by the join; the stage passes them through.
 """
 
 from __future__ import annotations
 
 from functools import lru_cache
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +50,17 @@ from .common import chunks, partitions, shared_dir, shingles, ship_package, spli
 
 BLOCK = 128  # rows of a side in one comparison of the rest
 BROADCAST_IDS = 4_000_000  # ids (8 bytes each) that a broadcast may hold; beyond, the join shuffles
+FAN = 512  # rows of one key that a salted join gives a task
 SMALL_K = 4
-WEAK = 2  # a signature of fewer elements is weak
+ROUNDS = 8  # hash functions; sets that suit none of them keep their empty subsets
+PART_BITS = 15  # low bits of a signature that hold its part
+
+
+class Layout(NamedTuple):
+    parts: int
+    cells: int
+    differences: int  # that a part may hold
+    spare: int
 
 
 class Scheme:
@@ -69,15 +87,24 @@ class Scheme:
         return (self.den - self.num) * total // (self.den + self.num)
 
     @lru_cache(maxsize=None)
-    def layout(self, i: int) -> tuple[int, int, int]:
-        """(partitions, subset size, spare partitions) for band i; no partitions: only equal sets link."""
-        k = self.differences(2 * self.band(i)[1])
+    def layout(self, tag: int) -> Layout | None:
+        """Of the pairs whose smaller set lies in the band; None: only equal sets link."""
+        hi = self.band(tag)[1]
+        k = self.differences(hi + hi * self.den // self.num)
         if k == 0:
-            return 0, 0, 0
+            return None
         if k <= SMALL_K:
-            return k + 2, 2, 0
-        spare = 1 + (k + 1) // 8
-        return k + 1 + spare, 1, spare
+            return Layout(1, k + 2, k, 0)
+        n1 = (k + 2) // 2
+        spare = 1 + n1 // 4
+        return Layout(n1 + spare, 3, 1, spare)
+
+    def tags(self, size: int) -> list[int]:
+        """The bands under which a set of this size is signed."""
+        if not size:
+            return []
+        own = self.band_of(size)
+        return [own] + [t for t in (own - 1,) if t >= 0 and size * self.num <= self.band(t)[1] * self.den]
 
     def sketch_bits(self, size: int) -> int:
         k = max(1, self.differences(2 * size))
@@ -89,47 +116,62 @@ class Scheme:
         odd = np.bincount((s >> np.uint64(17)).astype(np.int64) & (bits - 1), minlength=bits) & 1
         return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
-    def signatures(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(row, signature) of all signatures of the sets."""
-        rows, sigs = [], []
-        sizes = np.array([len(s) for s in sets], np.int64)
-        own = np.array([self.band_of(n) if n else -1 for n in sizes.tolist()], np.int64)
-        for ahead in (0, 1):
-            tags = np.where(own >= 0, own + ahead, -1)
-            lay = np.array([self.layout(t) if t >= 0 else (0, 0, 0) for t in tags.tolist()], np.int64).reshape(-1, 3)
-            use = np.flatnonzero(lay[:, 0] > 0)
-            if not len(use):
-                continue
-            parts = lay[use, 0]
-            base = np.cumsum(parts) - parts
-            x = np.concatenate([sets[i] for i in use])
-            mixed = splitmix(x ^ np.uint64(0x5DEECE66D))
-            of = np.repeat(np.arange(len(use)), sizes[use])
-            slot = base[of] + (((mixed >> np.uint64(32)) * parts[of].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-            total = int(parts.sum())
-            value = splitmix(x)
-            low = np.bincount(slot, (value & np.uint64(0xFFFFFFFF)).astype(float), minlength=total).astype(np.uint64)
-            high = np.bincount(slot, (value >> np.uint64(32)).astype(float), minlength=total).astype(np.uint64)
-            content = low + (high << np.uint64(32))
-            held = np.bincount(slot, minlength=total)
-            row = np.repeat(np.arange(len(use)), parts)
-            index = np.arange(total) - base[row]
-            with np.errstate(over="ignore"):
-                tag = splitmix(tags[use].astype(np.uint64) * np.uint64(0x1F123BB5))
-                single = lay[use, 1][row] == 1
-                weak = (held < WEAK) & single
-                keep = single & (~weak | (np.bincount(row, weak, minlength=len(use)) > lay[use, 2])[row])
-                rows.append(use[row[keep]])
-                sigs.append(splitmix(content[keep] ^ splitmix(tag[row[keep]] + index[keep].astype(np.uint64))))
-                for j in np.flatnonzero(lay[use, 1] == 2):
-                    c = content[base[j] : base[j] + parts[j]]
-                    pairs = np.array(list(combinations(range(parts[j]), 2)), np.uint64)
-                    h = splitmix(c[pairs[:, 0].astype(int)] + np.uint64(3) * c[pairs[:, 1].astype(int)])
-                    sigs.append(splitmix(h ^ splitmix(tag[j] + pairs[:, 0] * np.uint64(64) + pairs[:, 1] + np.uint64(1 << 40))))
-                    rows.append(np.full(len(pairs), use[j]))
-        if not rows:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        return np.concatenate(rows), np.concatenate(sigs)
+    def signatures(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, signature, group) of all signatures of the sets.
+
+        A group holds a set's signatures of one tag and hash function: its low 19 bits
+        are the number of parts that the set may leave out, the others tell groups apart.
+        """
+        todo = [(i, t) for i, s in enumerate(sets) for t in self.tags(len(s)) if self.layout(t)]
+        out: list[tuple] = []
+        for r in range(ROUNDS):
+            again = []
+            shapes: dict = {}
+            for x in todo:
+                lay = self.layout(x[1])
+                shapes.setdefault((lay.cells, lay.differences), []).append(x)
+            for (cells, gone), jobs in shapes.items():
+                again += self._signed(sets, jobs, cells, gone, r, out)
+            todo = again
+        if not out:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def _signed(self, sets, jobs, cells: int, gone: int, r: int, out: list) -> list:
+        """Append the signatures of jobs (set, tag) of one shape; those that must be signed again."""
+        rows, tags = (np.array(x, np.int64) for x in zip(*jobs))
+        parts = np.array([self.layout(t).parts for _, t in jobs], np.int64)
+        spare = np.array([self.layout(t).spare for _, t in jobs], np.int64)
+        base = np.cumsum(parts) - parts
+        x = np.concatenate([sets[i] for i in rows])
+        of = np.repeat(np.arange(len(jobs)), [len(sets[i]) for i in rows])
+        mixed = splitmix(x ^ splitmix(np.uint64(0x5DEECE66D + r)))
+        part = base[of] + (((mixed >> np.uint64(32)) * parts[of].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        cell = part * cells + (((mixed & np.uint64(0xFFFFFFFF)) * np.uint64(cells)) >> np.uint64(32)).astype(np.int64)
+        total = int(parts.sum())
+        value = splitmix(x)
+        sums = [np.bincount(cell, v.astype(float), minlength=total * cells).astype(np.uint64) for v in (value & np.uint64(0xFFFFFFFF), value >> np.uint64(32))]
+        held = np.bincount(cell, minlength=total * cells).reshape(total, cells)
+        job = np.repeat(np.arange(len(jobs)), parts)
+        index = np.arange(total) - base[job]
+        picks = np.array(list(combinations(range(cells), cells - gone)))
+        with np.errstate(over="ignore"):
+            content = (sums[0] + (sums[1] << np.uint64(32))).reshape(total, cells)
+            inside = held[:, picks].sum(axis=2)
+            tag = splitmix(tags.astype(np.uint64) * np.uint64(0x1F123BB5) + np.uint64(r))
+            name = splitmix(tag[job] + index.astype(np.uint64))[:, None] + np.arange(len(picks)).astype(np.uint64)
+            sig = splitmix(content[:, picks].sum(axis=2, dtype=np.uint64) ^ splitmix(name))
+        low = np.uint64((1 << PART_BITS) - 1)
+        sig = (sig & ~low) | (index.astype(np.uint64)[:, None] & low)
+        empty = inside == 0
+        hollow = np.bincount(job, empty.any(axis=1), minlength=len(jobs)).astype(np.int64)
+        fine = hollow <= spare
+        keep = ~empty if r + 1 < ROUNDS else ~empty | ~fine[job][:, None]
+        may = np.where(fine & (parts <= 1 << PART_BITS), np.minimum(spare - hollow, (1 << 19) - 1), 0)
+        group = ((np.int64(r) << 20) | ((tags & 1) << 19)) | may
+        at = np.broadcast_to(job[:, None], keep.shape)[keep]
+        out.append((rows[at], sig[keep], group[at]))
+        return [jobs[i] for i in np.flatnonzero(~fine)]
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         if not len(a) or not len(b):
@@ -166,36 +208,54 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x, pa.int64())
 
 
-def features(docs: DataFrame, scheme: Scheme, k: int) -> DataFrame:
-    """doc_id, n (set size), two hashes of the whole set, sketch."""
+def set_keys(sets: list[np.ndarray], seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each whole set: the class number and a check of it."""
+    with np.errstate(over="ignore"):
+        sums = [np.array([splitmix(s ^ np.uint64(c)).sum(dtype=np.uint64) + np.uint64(len(s)) for s in sets], np.uint64) for c in (0, 0xABCDEF12345)]
+        return splitmix(sums[0] + splitmix(sums[1] + np.uint64(seed))), sums[1]
+
+
+def features(docs: DataFrame, scheme: Scheme, k: int, seed: int) -> DataFrame:
+    """doc_id, n (set size), cls (hash of the whole set), another hash of it, sketch."""
 
     def run(batches):
         for b in batches:
             for c in chunks(b, "text"):
                 sets = shingles(*words(c.column("text")), k)
-                with np.errstate(over="ignore"):
-                    k1 = np.array([splitmix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
-                    k2 = np.array([splitmix(s ^ np.uint64(0xABCDEF12345)).sum(dtype=np.uint64) for s in sets], np.uint64)
+                cls, check = set_keys(sets, seed)
                 yield pa.RecordBatch.from_arrays(
-                    [c.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _long(k1), _long(k2), pa.array([scheme.sketch(s) if len(s) else None for s in sets], pa.binary())],
-                    names=["doc_id", "n", "k1", "k2", "sketch"],
+                    [c.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _long(cls), _long(check), pa.array([scheme.sketch(s) if len(s) else None for s in sets], pa.binary())],
+                    names=["doc_id", "n", "cls", "proof", "sketch"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, k1 long, k2 long, sketch binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, cls long, proof long, sketch binary")
 
 
-def signature_rows(docs: DataFrame, scheme: Scheme, k: int) -> DataFrame:
-    """(sig, doc) of all signatures of the documents' sets."""
+def signature_rows(docs: DataFrame, scheme: Scheme, k: int, seed: int) -> DataFrame:
+    """(sig, cls, grp) of all signatures of the documents' sets."""
 
     def run(batches):
         for b in batches:
             for c in chunks(b, "text"):
-                row, sig = scheme.signatures(shingles(*words(c.column("text")), k))
-                ids = c.column("doc_id").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([_long(sig), pa.array(ids[row].astype(np.int64))], names=["sig", "doc"])
+                sets = shingles(*words(c.column("text")), k)
+                row, sig, group = scheme.signatures(sets)
+                cls, _ = set_keys(sets, seed)
+                yield pa.RecordBatch.from_arrays([_long(sig), _long(cls[row]), pa.array(group.astype(np.int32), pa.int32())], names=["sig", "cls", "grp"])
+
+    return docs.where(F.col("text").isNotNull()).select("text").mapInArrow(run, "sig long, cls long, grp int")
 
-    source = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInArrow(run, "sig long, doc long")
+
+def class_texts(docs: DataFrame, ids: DataFrame, classes: DataFrame, k: int, seed: int) -> DataFrame:
+    """(cls, text): a text (or equal ones) of each of the classes, given their documents' ids."""
+
+    def run(batches):
+        for b in batches:
+            for c in chunks(b, "text"):
+                cls, _ = set_keys(shingles(*words(c.column("text")), k), seed)
+                yield pa.RecordBatch.from_arrays([_long(cls), c.column("text")], names=["cls", "text"])
+
+    rows = chosen(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids).where(F.col("text").isNotNull())
+    return rows.select("text").mapInArrow(run, "cls long, text string").join(classes, "cls", "left_semi")
 
 
 def chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -204,29 +264,41 @@ def chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left_semi")
 
 
+def beside(pairs: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``pairs`` joined with ``right`` by ``key``, which may be hot.
+
+    ``pairs`` has ``many``, which bounds a key's rows or says how common it may be; the
+    rows of a hot key are dealt to many / FAN salted keys, for which ``right`` is copied.
+    """
+    other = next(c for c in ("a", "b") if c != key)
+    width = F.ceil(F.col("many") / FAN).cast("int")
+    salted = pairs.withColumn("__m", F.greatest(F.lit(1), width)).withColumn("__s", F.expr(f"cast(pmod(xxhash64(`{other}`), __m) as int)"))
+    wanted = salted.select(key, "__m", "__s").distinct()
+    return salted.join(wanted.join(right, key), [key, "__m", "__s"]).drop("__m", "__s")
+
+
 def near_pairs(pairs: DataFrame, nodes: DataFrame, scheme: Scheme, work: str) -> DataFrame:
-    """Pairs (a, b) with ``state``: 0 far, 1 too far to link but near, 2 may link, by sketches."""
-    a = nodes.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    b = nodes.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    """Pairs (a, b, many) with ``state``: 0 far, 1 too far to link but near, 2 may link, by sketches."""
+    a = nodes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    b = nodes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
 
     def run(batches):
         for t in batches:
             state = []
             for na, nb, sa, sb in zip(*(t.column(c).to_pylist() for c in ("na", "nb", "sa", "sb"))):
-                d = sketch_distance(sa, sb) if sa and sb else 1 << 60
+                d = sketch_distance(sa, sb)
                 fits = scheme.den * min(na, nb) >= scheme.num * max(na, nb)
                 state.append(2 if d <= scheme.limit(na, nb) and fits else 1 if d <= scheme.near_limit(na, nb) else 0)
-            yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b"), pa.array(state, pa.int32())], names=["a", "b", "state"])
+            yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b"), t.column("many"), pa.array(state, pa.int32())], names=["a", "b", "many", "state"])
 
-    got = pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long, state int")
-    return stored(got.groupBy("a", "b").agg(F.max("state").alias("state")), work)
+    got = beside(pairs.join(b, "b"), a, "a").select("a", "b", "many", "na", "nb", "sa", "sb")
+    return stored(got.mapInArrow(run, "a long, b long, many long, state int"), work)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, scheme: Scheme, k: int, work: str) -> DataFrame:
-    """The pairs (a, b) that link, by the sets of their whole texts."""
-    pairs = pairs.select("a", "b")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = chosen(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids)
+def verified(pairs: DataFrame, texts, scheme: Scheme, k: int, work: str) -> DataFrame:
+    """The pairs (a, b) of classes that link, by the sets of their whole texts."""
+    pairs = pairs.select("a", "b", "many")
+    texts = texts(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
 
     def run(batches):
         kept: tuple = (None, None)
@@ -239,22 +311,22 @@ def verified(pairs: DataFrame, docs: DataFrame, scheme: Scheme, k: int, work: st
                 ok.append(scheme.linked(kept[1], shingles(*words(pa.array([y], pa.string())), k)[0]))
             yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return stored(pairs.join(b, "b").join(a, "a").mapInArrow(run, "a long, b long").distinct(), work)
+    a = texts.select(F.col("cls").alias("a"), F.col("text").alias("ta"))
+    b = texts.select(F.col("cls").alias("b"), F.col("text").alias("tb"))
+    both = beside(pairs.join(b, "b"), a, "a").select("a", "b", "ta", "tb")
+    return stored(both.mapInArrow(run, "a long, b long").distinct(), work)
 
 
 def components(links: DataFrame, work: str) -> DataFrame:
     """(doc, root): the least id of each node's component, for all nodes of the links (a, b)."""
-    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{work}-links")
     last = None
     for step in range(1000):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), f"{work}-{step}")
+        large = _with_least(both, "v > u")
+        small = _with_least(large, "v <> m", itself=False)
+        low = large.groupBy("u").agg(F.min("v").alias("v"))
+        edges = stored(small.union(low).where("u <> v").distinct(), f"{work}-{step}")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == last:
             break
@@ -262,15 +334,48 @@ def components(links: DataFrame, work: str) -> DataFrame:
     return edges.select(F.col("u").alias("doc"), F.col("v").alias("root"))
 
 
+def _with_least(edges: DataFrame, where: str, itself: bool = True) -> DataFrame:
+    """Edges (v, m) for the edges (u, v) that pass, m being the least of u's neighbours (and u itself).
+
+    A hub's edges are dealt to salted keys, as in ``beside``.
+    """
+    sizes = edges.groupBy("u").agg(F.min("v").alias("m"), F.ceil(F.count(F.lit(1)) / FAN).alias("__m"))
+    if itself:
+        sizes = sizes.withColumn("m", F.least("u", "m"))
+    # Hubs have FAN edges or more, so there are at most edges / FAN of them.
+    hubs = sizes.where("__m > 1")
+    if hubs.isEmpty():
+        return edges.join(sizes, "u").where(where).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    hubs = F.broadcast(hubs) if hubs.count() <= BROADCAST_IDS // 4 else hubs
+    of_hubs = edges.join(hubs, "u").where(where)
+    others = edges.join(hubs.select("u"), "u", "left_anti").join(sizes.where("__m <= 1"), "u").where(where)
+    return of_hubs.select("v", "m").union(others.select("v", "m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+
 def _rooted(df: DataFrame, roots: DataFrame, key: str, out: str) -> DataFrame:
     r = roots.select(F.col("doc").alias(key), F.col("root").alias("__root"))
     return df.join(r, key, "left").withColumn(out, F.coalesce("__root", key)).drop("__root")
 
 
+def kept_signatures(live: DataFrame) -> DataFrame:
+    """(sig, cls) without the most frequent signatures that a group may leave out.
+
+    live (sig, cls, grp, c: the signature's rows). A group's signatures, from the most
+    frequent on, are left out while they touch no more parts than it may leave out.
+    """
+    part = F.col("sig").bitwiseAND((1 << PART_BITS) - 1)
+    heat = [F.desc("c"), F.desc("sig")]
+    first = F.row_number().over(Window.partitionBy("cls", "grp", "part").orderBy(*heat)) == 1
+    touched = F.sum("first").over(Window.partitionBy("cls", "grp").orderBy(*heat).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = live.withColumn("part", part).repartition(partitions(live.sparkSession), "cls", "grp")
+    rows = rows.withColumn("first", first.cast("int")).withColumn("touched", touched)
+    return rows.where(F.col("touched") > F.col("grp").bitwiseAND((1 << 19) - 1)).select("sig", "cls")
+
+
 def rest_pairs(live: DataFrame, stars: DataFrame, roots: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
     """Pairs within signature groups that the stars leave open and that sketches don't rule out.
 
-    live (sig, doc, pivot), stars (a: pivot, b: doc, state: 0 far, 1 near, 3 linked).
+    live (sig, doc, pivot), stars (a: pivot, b: doc, state: 0 far, 1 near, 3 linked); a doc is a class here.
     """
     seen = stars.select(F.col("a").alias("pivot"), F.col("b").alias("doc"), "state")
     rows = live.join(seen, ["pivot", "doc"], "left").withColumn("state", F.when(F.col("doc") == F.col("pivot"), 3).otherwise(F.coalesce("state", F.lit(0))))
@@ -283,8 +388,7 @@ def rest_pairs(live: DataFrame, stars: DataFrame, roots: DataFrame, nodes: DataF
     )
     groups = groups.where((F.col("out_lo") != F.col("out_hi")) | ((F.col("n_near") > 0) & (F.col("lo") != F.col("hi"))))
     rows = rows.join(groups.drop("lo", "hi", "out_lo", "out_hi"), "sig").where(out | (F.col("n_near") > 0))
-    nodes = nodes.where(F.col("n") > 0).groupBy("doc_id").agg(F.max_by(F.struct("n", "sketch"), "n").alias("s"))
-    rows = rows.join(nodes.select(F.col("doc_id").alias("doc"), "s.n", "s.sketch"), "doc")
+    rows = rows.join(nodes.select(F.col("cls").alias("doc"), "n", "sketch"), "doc")
     blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK)).cast("int")
     rows = rows.withColumn("bo", blocks("n_out")).withColumn("bs", blocks("n_star"))
     at = lambda n: F.expr(f"cast(pmod(xxhash64(doc), {n}) as int)")
@@ -338,42 +442,83 @@ def _pairs(found) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([int(x[0]) for x in found], pa.int64()), pa.array([int(x[1]) for x in found], pa.int64())], names=["a", "b"])
 
 
+def _classes(nodes: DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
+    """(classes: cls, doc (least id), n, sketch; members: doc_id, doc) of the rows with a set and an id.
+
+    Copies are grouped in salted shares first, so that a text copied very often is many groups.
+    """
+    salt = F.expr(f"cast(pmod(xxhash64(doc_id), {partitions(nodes.sparkSession)}) as int)")
+    rows = nodes.where("n > 0 and doc_id is not null").withColumn("salt", salt)
+    lead = F.min("doc_id").over(Window.partitionBy("cls", "salt"))
+    rows = stored(rows.select("doc_id", "cls", "proof", "salt", lead.alias("lead"), "n", F.when(lead == F.col("doc_id"), F.col("sketch")).alias("sketch")), f"{work}/salted")
+    leads = rows.where("lead = doc_id").dropDuplicates(["cls", "salt"])
+    least = F.min_by(F.struct("n", "sketch"), "doc_id").alias("s")
+    classes = leads.groupBy("cls").agg(F.min("doc_id").alias("doc"), least).select("cls", "doc", "s.n", "s.sketch")
+    classes = stored(classes, f"{work}/classes")
+    of = leads.join(classes.select("cls", "doc"), "cls").select("cls", "salt", "doc")
+    members = rows.select("doc_id", "cls", "salt").join(of, ["cls", "salt"]).select("doc_id", "cls", "doc")
+    return classes, members
+
+
 def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, links: list | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row for each row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
     scheme = Scheme(num, den)
     work = shared_dir(spark, "jaccard")
-    nodes = stored(features(docs, scheme, k), f"{work}/nodes")
-    classes = nodes.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
-    same = nodes.where("n > 0 and doc_id is not null").join(classes, ["k1", "k2", "n"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
-    same = stored(same, f"{work}/same")
-
-    # The least id of each class signs for it; a document with several texts signs all of them.
-    signers = classes.select(F.col("rep").alias("doc_id")).distinct()
-    signed = signature_rows(chosen(docs, signers), scheme, k)
+    for seed in range(100):
+        nodes = stored(features(docs, scheme, k, seed), f"{work}/nodes{seed}")
+        proofs = nodes.groupBy("cls").agg(F.min("proof").alias("lo"), F.max("proof").alias("hi"), F.min("n").alias("n"), F.max("n").alias("m"))
+        if proofs.where("lo <> hi or n <> m").isEmpty():  # else two sets have one class number
+            break
+    classes, members = _classes(nodes, work)
+    # A document of several texts joins their classes.
+    several = members.groupBy("doc_id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("doc_id")
+    several = stored(several.join(members, "doc_id").select(F.col("doc_id").alias("a"), F.col("doc").alias("b")), f"{work}/several")
+
+    ids = stored(classes.select(F.col("doc").alias("doc_id"), "cls"), f"{work}/ids")
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        wanted = wanted.select("cls")
+        return class_texts(docs, ids.join(wanted, "cls", "left_semi").select("doc_id").distinct(), wanted, k, seed)
+
+    signed = signature_rows(chosen(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids.select("doc_id").distinct()), scheme, k, seed)
     w = Window.partitionBy("sig")
-    shared = signed.select("sig", "doc", F.min("doc").over(w).alias("lo"), F.max("doc").over(w).alias("hi"), F.count("doc").over(w).alias("c"))
+    shared = signed.select("sig", "cls", "grp", F.min("cls").over(w).alias("lo"), F.max("cls").over(w).alias("hi"), F.count("cls").over(w).alias("c"))
+    live = stored(shared.where("lo <> hi").select("sig", "cls", "grp", "c").distinct(), f"{work}/live")
+    shared = kept_signatures(live).select("sig", "cls", F.min("cls").over(w).alias("lo"), F.max("cls").over(w).alias("hi"), F.count("cls").over(w).alias("c"))
     # A group of two is one pair; its other row isn't needed.
-    live = stored(shared.where("lo <> hi and (c > 2 or doc = lo)").select("sig", "doc", "hi", "c"), f"{work}/live")
-    pairs = live.where("c = 2").select(F.col("doc").alias("a"), F.col("hi").alias("b"))
+    live = stored(shared.where("lo <> hi and (c > 2 or cls = lo)").select("sig", F.col("cls").alias("doc"), "hi", "c").distinct(), f"{work}/kept")
+    pairs = live.where("c = 2").select(F.col("doc").alias("a"), F.col("hi").alias("b"), "c")
     live = live.where("c > 2").select("sig", "doc", "c")
     popular = live.groupBy("doc").agg(F.sum("c").alias("p"))
-    pivots = live.join(popular, "doc").groupBy("sig").agg(F.max_by("doc", "p").alias("pivot"))
-    live = stored(live.join(pivots, "sig").select("sig", "doc", "pivot"), f"{work}/stars")
-    edges = live.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).union(pairs).distinct()
-    sized = nodes.where("n > 0 and doc_id is not null")
-    stars = near_pairs(edges, sized, scheme, f"{work}/near")
-    first = verified(stars.where("state = 2"), docs, scheme, k, f"{work}/first")
-    roots = components(first.union(same), f"{work}/roots")
+    pivots = live.join(popular, "doc").groupBy("sig").agg(F.max_by("doc", F.struct("p", "doc")).alias("pivot"))
+    live = stored(live.join(pivots, "sig").select("sig", "doc", "pivot", "c"), f"{work}/stars")
+    edges = live.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "c").union(pairs)
+    edges = edges.groupBy("a", "b").agg(F.max("c").alias("many"))
+    stars = near_pairs(edges, classes, scheme, f"{work}/near")
+    first = verified(stars.where("state = 2"), texts, scheme, k, f"{work}/first")
+    roots = components(first, f"{work}/roots")
     mark = first.withColumn("yes", F.lit(True))
     stars = stars.join(mark, ["a", "b"], "left").select("a", "b", F.when(F.col("yes"), 3).when(F.col("state") == 2, 1).otherwise(F.col("state")).alias("state"))
-    rest = stored(rest_pairs(live, stars, roots, sized, scheme), f"{work}/rest")
-    second = verified(rest, docs, scheme, k, f"{work}/second")
-    roots = components(roots.select(F.col("doc").alias("a"), F.col("root").alias("b")).union(second), f"{work}/all")
+    rest = stored(rest_pairs(live, stars, roots, classes, scheme), f"{work}/rest")
+    second = verified(rest.withColumn("many", F.lit(FAN * 16).cast("long")), texts, scheme, k, f"{work}/second")
+    by = lambda c: ids.select(F.col("cls").alias(c), F.col("doc_id").alias(f"d{c}"))
+    found = beside(first.union(second).withColumn("many", F.lit(FAN * 16)).join(by("b"), "b"), by("a"), "a").select(F.col("da").alias("a"), F.col("db").alias("b"))
+    roots = components(found.union(several), f"{work}/all")
     if links is not None:
-        links += [first, second, same]
-    return _rooted(nodes.select("doc_id", F.col("n").alias("n_shingles")), roots, "doc_id", "component_id")
+        links += [first, second]
+    return _labelled(nodes, classes, roots, work)
+
+
+def _labelled(nodes: DataFrame, classes: DataFrame, roots: DataFrame, work: str) -> DataFrame:
+    """Every row with its component: that of its class's least document, by shares of copies."""
+    n = partitions(nodes.sparkSession)
+    salted = nodes.withColumn("salt", F.expr(f"cast(pmod(xxhash64(doc_id), {n}) as int)"))
+    ends = _rooted(classes.select("cls", "doc"), roots, "doc", "end").select("cls", "end")
+    shares = salted.where("n > 0 and doc_id is not null").select("cls", "salt").distinct().join(ends, "cls")
+    got = salted.join(shares, ["cls", "salt"], "left")
+    return got.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("end", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

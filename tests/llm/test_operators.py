@@ -531,8 +531,19 @@ def test_linked_sets_share_a_signature():
                 drop = rng.integers(0, s.differences(2 * n) + 1)
                 b = np.unique(np.concatenate([b[drop // 2 :], rng.integers(0, 1 << 63, drop - drop // 2).astype(np.uint64)]))
                 if s.linked(a, b) and not np.array_equal(a, b):
-                    row, sig = s.signatures([a, b])
+                    row, sig, group = s.signatures([a, b])
                     assert set(sig[row == 0]) & set(sig[row == 1]), (num, n, drop)
+                    # Whatever the order of frequency, what both may leave out never holds all that they share.
+                    heat = {x: rng.random() for x in sig}
+                    left = [set(), set()]
+                    for i in (0, 1):
+                        for g in set(group[row == i]):
+                            touched = set()
+                            for x in sorted(sig[(row == i) & (group == g)], key=heat.get, reverse=True):
+                                touched.add(int(x) & 0x7FFF)
+                                if len(touched) > (g & 0x7FFFF):
+                                    left[i].add(x)
+                    assert left[0] & left[1], (num, n, drop)
                     assert jaccard.sketch_distance(s.sketch(a), s.sketch(b)) <= len(np.setxor1d(a, b)) <= s.limit(len(a), len(b))
 
 
