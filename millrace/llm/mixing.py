@@ -15,7 +15,8 @@ and, in the one block at the edge, over documents, so a hot source is many block
 
 Defined results: null source is a source of its own, null or empty text has length 0
 and takes part (it goes wherever its block goes). Repeated rows are rows of their
-own. An empty table, or one without length, gives each row once. Extra columns pass.
+own. An empty table, or one without length, gives each row once. Extra columns pass, but
+for those named ``mix_epoch``, ``mix_block`` or ``mix_order``, which the results replace.
 """
 
 from __future__ import annotations
@@ -25,12 +26,13 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, shared_dir, ship_package, stored, table
+from .common import WORD_PATTERN, shared_dir, ship_package, stored, table, without
 
 TARGET_ENTROPY = 0.97  # of the logarithm of the number of sources
 MAX_EPOCHS = 4.0
 BLOCK_ROWS = 512
 SEED = 17
+RANGE_BITS = 10
 
 
 def weights(sizes: dict, exponent: float) -> dict:
@@ -79,8 +81,30 @@ def _order(epoch: Column, *of: Column) -> Column:
     return F.xxhash64(F.lit(SEED), epoch, *of)
 
 
+def _placed(rows: DataFrame, keys: list[str], order: Column, ties: list[str], length: Column, work: str) -> DataFrame:
+    """``rows`` with ``at`` (their rank within the keys by the order, from 0) and ``to`` (the lengths up to and with it).
+
+    Ranks and sums run over ranges of the order's values first, then within a range, so
+    the rows of one key are many small groups.
+    """
+    cut = F.shiftright(order, 64 - RANGE_BITS)
+    rows = rows.withColumn("__o", order).withColumn("__r", cut).withColumn("__l", length)
+    ranges = rows.groupBy(*keys, "__r").agg(F.count(F.lit(1)).alias("__n"), F.sum("__l").alias("__t"))
+    before = Window.partitionBy(*keys).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    ranges = ranges.select(*keys, "__r", F.coalesce(F.sum("__n").over(before), zero).alias("__n"), F.coalesce(F.sum("__t").over(before), zero).alias("__t"))
+    # At most 2**RANGE_BITS rows of a key.
+    ranges = stored(ranges, f"{work}-ranges")
+    inner = Window.partitionBy(*keys, "__r").orderBy("__o", *ties)
+    rows = rows.withColumn("at", F.row_number().over(inner) - 1).withColumn("to", F.sum("__l").over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = rows.join(ranges, [*keys, "__r"])
+    return rows.withColumn("at", (F.col("at") + F.col("__n")).cast("long")).withColumn("to", F.col("to") + F.col("__t")).drop("__o", "__r", "__l", "__n", "__t")
+
+
 def mix(docs: DataFrame, source: str = "source", text: str = "text", identity: tuple = ("doc_id",), budget: float | None = None, target_entropy: float = TARGET_ENTROPY, max_epochs: float = MAX_EPOCHS, block_rows: int = BLOCK_ROWS, measure: Column | None = None) -> DataFrame:
-    """Rows of ``docs`` with ``mix_epoch`` and ``mix_block`` (position of the block in its source's epoch), one for each time a row is taken.
+    """Rows of ``docs``, one for each time a row is taken, with their place in the permutation:
+    ``mix_epoch``, ``mix_block`` (rank of the block in its source's epoch, from 0) and ``mix_order``
+    (a hash that orders the rows of a block in that epoch; equal for repeated rows).
 
     ``measure`` is a document's length (characters without it). ``budget`` is such a
     length; without it, that of all documents.
@@ -88,54 +112,61 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", identity: t
     spark = docs.sparkSession
     ship_package(spark)
     work = shared_dir(spark, "mixing")
+    docs = without(docs, "mix_epoch", "mix_block", "mix_order")
+    columns = docs.columns
     size = F.coalesce(F.length(text) if measure is None else measure, F.lit(0)).cast("long")
     name = F.coalesce(F.col(source).cast("string"), F.lit("\x00null"))
-    totals = {r["s"]: (r["rows"], r["size"]) for r in docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("size")).collect()}
+    # Working columns have names of their own; what selects rows is written once, without texts.
+    own = lambda c: F.col(f"__mix_{c}")
+    key = F.xxhash64(*[F.col(c) for c in identity], F.length(text))
+    marked = docs.withColumn("__mix_s", name).withColumn("__mix_h", key)
+    thin = stored(marked.select(own("s").alias("s"), own("h").alias("h"), size.alias("n")), f"{work}/thin")
+    totals = {r["s"]: (r["rows"], r["size"]) for r in thin.groupBy("s").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("size")).collect()}
     sizes = {k: v[1] for k, v in totals.items()}
     budget = float(sum(sizes.values())) if budget is None else float(budget)
     a = solve_exponent(sizes, budget, target_entropy, max_epochs)
     w = weights(sizes, a)
+    none = F.lit(0).cast("long")
     if not sum(sizes.values()):
-        return docs.withColumn("mix_epoch", F.lit(0).cast("long")).withColumn("mix_block", F.lit(0).cast("long"))
+        return docs.withColumn("mix_epoch", none).withColumn("mix_block", none).withColumn("mix_order", _order(none, key))
     # One row for each source: its rows are on the driver already, as an aggregate.
     plan = spark.createDataFrame(
         [(k, max(1, -(-v[0] // block_rows)), int(v[1]), float(w[k] * budget), int(w[k] * budget // v[1]) if v[1] else 1) for k, v in totals.items()],
         "s string, blocks long, size long, budget double, whole long",
     )
     plan = F.broadcast(plan)
-    key = F.xxhash64(*[F.col(c) for c in identity], F.length(text))
-    # The columns that select rows; texts stay out of what follows.
-    marked = docs.withColumn("__s", name).withColumn("__n", size).withColumn("__h", key)
-    keyed = marked.join(plan.withColumnRenamed("s", "__s"), "__s").withColumn("__b", F.pmod(F.col("__h"), F.col("blocks")))
-    thin = keyed.select("__s", "__b", "__h", "__n", "size", "budget", "whole")
-    blocks = thin.groupBy("__s", "__b", "size", "budget", "whole").agg(F.sum("__n").alias("len"))
-    order = _order(F.col("whole"), F.col("__s"), F.col("__b"))
-    upto = Window.partitionBy("__s").orderBy(order, "__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_block = lambda h: F.pmod(h, F.col("blocks"))
+    thin = thin.join(plan, "s").withColumn("b", in_block(F.col("h")))
+    blocks = thin.groupBy("s", "b", "size", "budget", "whole").agg(F.sum("n").alias("len"))
+    # Every block in each whole epoch and in the last, partial one.
+    blocks = stored(blocks.withColumn("epoch", F.explode(F.sequence(none, F.col("whole")))), f"{work}/blocks")
+    placed = _placed(blocks, ["s", "epoch"], _order(F.col("epoch"), F.col("s"), F.col("b")), ["b"], F.col("len"), f"{work}/placed")
     left = F.col("budget") - F.col("whole") * F.col("size")
-    blocks = blocks.select("__s", "__b", "whole", F.row_number().over(Window.partitionBy("__s").orderBy(order, "__b")).cast("long").alias("at"), F.sum("len").over(upto).alias("to"), "len", left.alias("left"))
-    blocks = stored(blocks.select("__s", "__b", "at", (F.col("to") <= F.col("left")).alias("all"), ((F.col("to") > F.col("left")) & (F.col("to") - F.col("len") < F.col("left"))).alias("edge"), (F.col("left") - F.col("to") + F.col("len")).alias("room")), f"{work}/blocks")
-    edge = blocks.where("edge").select("__s", "__b", "room")
-    inner = Window.partitionBy("__s", "__b").orderBy(_order(F.col("whole"), F.col("__h")), "__h").rowsBetween(Window.unboundedPreceding, -1)
-    # The edge blocks: one for each source, about block_rows rows each.
-    cut = thin.join(F.broadcast(edge), ["__s", "__b"]).withColumn("before", F.coalesce(F.sum("__n").over(inner), F.lit(0)))
-    cut = cut.where(F.col("before") < F.col("room")).groupBy("__s", "__h").agg(F.max(F.lit(True)).alias("__in"))
-    # Whether the last, partial epoch takes a row: by its block, or in the edge block by itself.
-    taken = blocks.where("all or edge").select("__s", "__b", "all")
-    small = taken.count() * 64 <= 32 << 20
-    taken = F.broadcast(taken) if small else taken
-    rows = keyed.join(taken, ["__s", "__b"], "left").join(F.broadcast(cut), ["__s", "__h"], "left")
-    last = F.coalesce(F.col("all"), F.lit(False)) | (F.coalesce(~F.col("all"), F.lit(False)) & F.coalesce(F.col("__in"), F.lit(False)))
-    times = F.col("whole") + last.cast("long")
-    rows = rows.where(times > 0).withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)))
-    rank = F.pmod(_order(F.col("mix_epoch"), F.col("__s"), F.col("__b")), F.lit(1 << 40))
-    return rows.withColumn("mix_block", rank).select(*docs.columns, "mix_epoch", "mix_block")
+    last = F.col("epoch") == F.col("whole")
+    placed = placed.withColumn("all", ~last | (F.col("to") <= left)).withColumn("room", left - F.col("to") + F.col("len"))
+    placed = stored(placed.where(F.col("all") | (F.col("room") > 0)).select("s", "b", "epoch", "at", "all", "room"), f"{work}/taken")
+    # The edge blocks: at most one for each source, about block_rows rows each.
+    edge = placed.where("not all").select("s", "b", "room")
+    inner = Window.partitionBy("s", "b").orderBy(_order(F.col("whole"), F.col("h")), "h").rowsBetween(Window.unboundedPreceding, -1)
+    cut = thin.join(F.broadcast(edge), ["s", "b"]).withColumn("before", F.coalesce(F.sum("n").over(inner), none))
+    cut = cut.where(F.col("before") < F.col("room")).select(F.col("s").alias("__mix_s"), F.col("h").alias("__mix_h")).distinct().withColumn("__mix_in", F.lit(True))
+    epochs = placed.groupBy("s", "b").agg(F.collect_list(F.struct("epoch", "at", "all")).alias("times")).select(*[F.col(c).alias(f"__mix_{c}") for c in ("s", "b", "times")])
+    # A block of up to max_epochs + 1 times is about 200 bytes, its source's name aside.
+    small = placed.agg(F.coalesce(F.sum(F.length("s") + 64), none).alias("n")).first()["n"] <= 32 << 20
+    epochs = F.broadcast(epochs) if small else epochs
+    named = F.broadcast(plan.select(F.col("s").alias("__mix_s"), F.col("blocks").alias("__mix_blocks")))
+    rows = marked.join(named, "__mix_s").withColumn("__mix_b", F.pmod(own("h"), own("blocks")))
+    rows = rows.join(epochs, ["__mix_s", "__mix_b"]).join(F.broadcast(cut), ["__mix_s", "__mix_h"], "left")
+    rows = rows.withColumn("__mix_t", F.explode(F.filter(own("times"), lambda t: t["all"] | F.coalesce(own("in"), F.lit(False)))))
+    return rows.select(*[F.col(f"`{c}`") for c in columns], own("t")["epoch"].alias("mix_epoch"), own("t")["at"].alias("mix_block"), _order(own("t")["epoch"], own("h")).alias("mix_order"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs, measure=n_tokens("text")).select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), "mix_epoch", "mix_block")
+    return mix(docs, measure=n_tokens("text")).select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), "mix_epoch", "mix_block", "mix_order")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them."""
-    return mix(docs, measure=n_tokens("text")).select(*docs.columns)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return mix(docs, measure=n_tokens("text")).select(*columns)
