@@ -7,8 +7,10 @@ their seeds are fixed: equal inputs hash equally on every executor.
 
 from __future__ import annotations
 
+import atexit
 import math
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -27,12 +29,28 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """A new folder under ``spark.checkpoint.dir``, removed when the session's process ends.
+
+    Where that is unset, a temporary folder serves a local session; on a cluster it is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/millrace-{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/millrace-{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Best effort, at the end of the process: the session may be gone."""
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception as e:  # noqa: BLE001  nothing depends on it
+        print(f"left behind: {path}: {type(e).__name__}", file=sys.stderr)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
@@ -68,6 +86,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without the columns that are named like results (Spark tells names apart without case): the results replace them."""
+    taken = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
 def crc_fold(col: Column, modulus: int) -> Column:
     """crc32 of the value as text, modulo; null for null."""
     return F.crc32(F.encode(col.cast("string"), "UTF-8")) % F.lit(modulus)

@@ -7,16 +7,19 @@ and covering the whole text, pass through a GRU in both directions; attention
 pools the states to one logit. The largest logit of all windows is the text's,
 calibrated by logistic regression to the label shares of the training rows.
 
-Training (on the driver) uses at most about ``sample_toxic`` and ``sample_clean`` labelled texts of
-the two classes, chosen by hash, whole. Scoring covers every window of every text.
+Training (in one task) uses at most about ``sample_toxic`` and ``sample_clean`` labelled texts of
+the two classes, chosen by hash, whole, and about SAMPLE_BYTES of text in all. Scoring covers
+every window of every text.
 
 Defined results: null and empty texts are one window without words and get its
 score. Repeated rows are scored alike. Without labels, or with one class only, the
-score is the share of class 1 (0 without any). Extra columns pass through.
+score is the share of class 1 (0 without any). Extra columns pass through; a column that
+is named like the result is replaced by it.
 """
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, crc_fold, passing, ship_package, span_hashes, table, utf8, word_spans
+from .common import chunks, crc_fold, passing, ship_package, span_hashes, table, utf8, without, word_spans
 
 WINDOW, STRIDE = 64, 48
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 8, 8
 GRAM_BINS = 4096
 MIN_TEXTS, MAX_WORDS = 4, 8192
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
+SAMPLE_BYTES = 128 << 20
 EPOCHS, WARM_EPOCHS, MIN_STEPS, BATCH, RATE = 9, 3, 500, 128, 0.01
 BLOCK = 512  # windows at a time
 STRETCH = 40_000  # words projected at a time
@@ -358,15 +362,33 @@ def fit(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC, sa
     hashed = (F.xxhash64("doc_id") % 1_000_000 + 1_000_000) % 1_000_000
     # About sample_toxic + sample_clean ids: bounded by the parameters, so it may be broadcast.
     picked = F.broadcast(known.where(hashed < share * 1_000_000))
-    got = docs.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "text", "__y").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    runs, y = _runs_in_chunks(got.column("text")), got.column("__y").to_numpy()
-    del got  # the texts aren't needed any more
-    return train_runs(runs, y, sizes.get(1, 0) / sum(sizes.values()))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(picked.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
+    # Copies of a row teach nothing new; the order is that of ids and texts, so a task run again learns the same.
+    rows = rows.dropDuplicates(["doc_id", "text"]).select("doc_id", "text", "__y")
+    toxic = sizes.get(1, 0) / sum(sizes.values())
+
+    def learn(batches):
+        held, size = [], 0
+        for b in batches:
+            for c in chunks(b, "text"):
+                if size < SAMPLE_BYTES or not held:
+                    held.append(c)
+                    size += c.nbytes
+        if held:
+            t = pa.Table.from_batches(held)
+            model = train_runs(_runs_in_chunks(t.column("text")), t.column("__y").to_numpy(), toxic)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # One task trains, on an executor: the sample is bounded, and a lost executor repeats it.
+    order = F.xxhash64("doc_id", F.lit(3))
+    got = rows.repartition(1).sortWithinPartitions(order, "doc_id", "text").mapInArrow(learn, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else Model(None, np.zeros(0, np.uint64), 1, 0, constant=toxic)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the score of every whole text."""
     ship_package(docs.sparkSession)
+    docs = without(docs, out)
 
     def run(batches):
         for b in batches:
@@ -386,4 +408,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; the others go."""
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model, out="__toxic").where(F.col("__toxic") < 0.5).select(*docs.columns)
+    return score(docs, model, out="__llm_toxic").where(F.col("__llm_toxic") < 0.5).select(*docs.columns)

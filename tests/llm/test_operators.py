@@ -275,11 +275,48 @@ def test_mixture_follows_its_budget(docs):
 
 def test_mixture_of_odd_tables(edges, empty):
     got = mixing.mix(edges)
-    assert got.columns[:-2] == edges.columns and {r.doc_id for r in got.collect()} <= {r.doc_id for r in edges.collect()}
+    assert got.columns[:-3] == edges.columns and {r.doc_id for r in got.collect()} <= {r.doc_id for r in edges.collect()}
     assert mixing.mix(empty).count() == 0
     assert mixing.mix(edges.where("text is null or text = ''")).count() == 3
 
 
+def test_mixture_is_the_plain_permutation(spark, docs):
+    clash = docs.withColumn("size", F.lit(1)).withColumn("budget", F.lit(2)).withColumn("blocks", F.lit(3)).withColumn("whole", F.lit(4)).withColumn("mix_block", F.lit(5))
+    got = mixing.mix(clash, target_entropy=0.999, block_rows=4)
+    assert got.columns == [*[c for c in clash.columns if c != "mix_block"], "mix_epoch", "mix_block", "mix_order"]
+    size = {r.source: r.n for r in docs.groupBy("source").agg(F.sum(F.length("text")).alias("n")).collect()}
+    rows = {r.source: r["count"] for r in docs.groupBy("source").count().collect()}
+    total = sum(size.values())
+    w = mixing.weights(size, mixing.solve_exponent(size, total, 0.999))
+    key = F.xxhash64("doc_id", F.length("text"))
+    block = F.pmod(key, F.create_map(*[x for s, n in rows.items() for x in (F.lit(s), F.lit(-(-n // 4)))])[F.col("source")])
+    orders = [(mixing._order(F.lit(e).cast("long"), F.col("source"), block).alias(f"b{e}"), mixing._order(F.lit(e).cast("long"), key).alias(f"h{e}")) for e in range(6)]
+    plain = docs.select("doc_id", "source", F.length("text").alias("n"), key.alias("h"), block.alias("b"), *[c for x in orders for c in x]).collect()
+    want = Counter()
+    for s in rows:
+        mine = [r for r in plain if r.source == s]
+        left, epoch = w[s] * total, 0
+        while left > 0:
+            places = sorted({(r[f"b{epoch}"], r.b) for r in mine})
+            for at, (_, b) in enumerate(places):
+                held = sorted((r for r in mine if r.b == b), key=lambda r: (r[f"h{epoch}"], r.h))
+                if sum(r.n for r in mine) > left and sum(r.n for r in held) > left:
+                    room = left
+                    for r in held:
+                        if room > 0:
+                            want[r.doc_id, epoch, at] += 1
+                        room -= r.n
+                    left = 0
+                    break
+                for r in held:
+                    want[r.doc_id, epoch, at] += 1
+                left -= sum(r.n for r in held)
+                if left <= 0:
+                    break
+            epoch += 1
+    assert Counter((r.doc_id, r.mix_epoch, r.mix_block) for r in got.collect()) == want
+
+
 def test_mixture_counts_tokens(spark, tmp_path):
     rows = [(i, "a b " * 50, "short") for i in range(40)] + [(100 + i, "unwordlylongword " * 100, "long") for i in range(10)]
     rows += [(200, None, "short"), (201, " \t ", "long")]
@@ -330,10 +367,10 @@ def test_toxic_texts_are_learned():
 
 def test_toxicity_of_odd_tables(spark, edges, empty):
     labels = spark.createDataFrame([(6, 0, 1), (7, 0, 0), (8, 0, 1), (None, 0, 1), (9, 1, None)], "doc_id long, quality int, toxic int")
-    got = toxicity.score(edges.drop("score"), toxicity.fit(edges, labels)).collect()
+    got = toxicity.score(edges, toxicity.fit(edges, labels)).collect()
     assert len(got) == edges.count() and all(0 <= r.score <= 1 for r in got)
-    assert toxicity.score(empty.drop("score"), toxicity.fit(empty, labels.limit(0))).count() == 0
-    assert {r.score for r in toxicity.score(edges.drop("score"), toxicity.fit(edges, labels.limit(0))).collect()} == {0.0}
+    assert toxicity.score(empty, toxicity.fit(empty, labels.limit(0))).count() == 0
+    assert {r.score for r in toxicity.score(edges, toxicity.fit(edges, labels.limit(0))).collect()} == {0.0}
 
 
 def test_windows_cover_everything():
@@ -356,15 +393,15 @@ def test_language_held_out(docs):
 
 def test_language_of_odd_tables(edges, empty, docs):
     m = language.fit(docs)
-    got = language.classify(edges.drop("score"), m).collect()
+    got = language.classify(edges, m).collect()
     assert len(got) == edges.count()
     for r in got:
         if not re.search(r"[^\W\d_]", r.text or ""):
             assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
         else:
             assert r.lang_pred in ("en", "de") and 0 <= r.score <= 1
-    assert language.classify(empty.drop("score"), m).count() == 0
-    assert {r.lang_pred for r in language.classify(edges.drop("score"), language.fit(empty)).collect()} == {"und"}
+    assert language.classify(empty, m).count() == 0
+    assert {r.lang_pred for r in language.classify(edges, language.fit(empty)).collect()} == {"und"}
 
 
 FOREIGN = [
