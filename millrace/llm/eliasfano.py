@@ -8,6 +8,7 @@ import numpy as np
 
 U = np.uint64
 _ONE = U(1)
+_IN_BYTE = np.array([[([i for i in range(8) if x >> i & 1] + [0] * 8)[r] for r in range(8)] for x in range(256)], np.int64)
 
 
 class EliasFano:
@@ -58,15 +59,16 @@ class EliasFano:
 
     @staticmethod
     def _in_word(w: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """Position of the r-th (from 0) one bit of each word."""
-        at = np.zeros(len(w), np.int64)
-        for half in (32, 16, 8, 4, 2, 1):
-            c = np.bitwise_count(w & U((1 << half) - 1)).astype(np.int64)
-            up = r >= c
-            r = np.where(up, r - c, r)
-            at += up * half
-            w = np.where(up, w >> U(half), w)
-        return at
+        """Position of the r-th (from 0) one bit of each word: byte by prefix counts, then a table."""
+        with np.errstate(over="ignore"):
+            b = w - ((w >> _ONE) & U(0x5555555555555555))
+            b = (b & U(0x3333333333333333)) + ((b >> U(2)) & U(0x3333333333333333))
+            b = ((b + (b >> U(4))) & U(0x0F0F0F0F0F0F0F0F)) * U(0x0101010101010101)
+            r = r.astype(U)
+            full = (((r * U(0x0101010101010101)) | U(0x8080808080808080)) - b) & U(0x8080808080808080)
+        shift = np.bitwise_count(full).astype(U) * U(8)
+        r = r - (((b << U(8)) >> shift) & U(0xFF))
+        return shift.astype(np.int64) + _IN_BYTE[((w >> shift) & U(0xFF)).astype(np.intp), r.astype(np.intp) & 7]
 
     def _select(self, i: np.ndarray, zero: bool) -> np.ndarray:
         counts = self.zeros if zero else self.ones
@@ -74,6 +76,15 @@ class EliasFano:
         word = self.high[w]
         return w * 64 + self._in_word(~word if zero else word, i - counts[w])
 
+    def _run(self, p: np.ndarray) -> np.ndarray:
+        """How many one bits follow from position p on; 64 stands for 64 or more."""
+        word, shift = p >> 6, (p & 63).astype(U)
+        x = self.high[np.minimum(word, len(self.high) - 1)] >> shift
+        after = self.high[np.minimum(word + 1, len(self.high) - 1)]
+        x = np.where(shift > 0, x | (after << ((U(64) - shift) & U(63))), x)
+        with np.errstate(over="ignore"):
+            return np.bitwise_count(x & ~(x + _ONE)).astype(np.int64)
+
     def access(self, i: np.ndarray) -> np.ndarray:
         """Values at the positions."""
         i = np.asarray(i, np.int64)
@@ -91,8 +102,12 @@ class EliasFano:
         last = int(self.zeros[-1]) - 1
         ok = np.flatnonzero((h >= 0) & (h <= last))
         h = h[ok]
-        b = self._select(h, True) - h
-        a = np.where(h > 0, self._select(np.maximum(h - 1, 0), True) - (h - 1), 0)
+        begin = np.where(h > 0, self._select(np.maximum(h - 1, 0), True) + 1, 0)
+        a, run = begin - h, self._run(begin)
+        b = a + run
+        wide = np.flatnonzero(run >= 64)
+        if len(wide):
+            b[wide] = self._select(h[wide], True) - h[wide]
         b = np.minimum(b, self.n)
         if lo is not None:
             a, b = np.maximum(a, lo[ok]), np.minimum(b, hi[ok])

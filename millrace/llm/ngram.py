@@ -2,33 +2,35 @@
 
 Tokens are the lower-cased (A-Z) words of a text and one end token; the end token
 also stands before the first. Level 1 has every distinct training token: a 63-bit
-hash, by which tokens are found, and its exact count. A node of level k is a pair
-(context: node of level k-1, word: position in level 1) that occurs at least
-``min_count`` times; its number is its position in the level. Only pairs whose context
-and suffix are nodes themselves can be that frequent, so no others are counted. The
-query asks for 1: every observed n-gram is a node.
+hash, by which tokens are found, and its exact count. A node of level k is a context
+(a 64-bit hash of the k - 1 words before) and a word (40 bits of its hash, which tell
+the words of one context apart). Every observed n-gram is a node.
 
-A level lies in files, each a range of the sorted pairs: distinct contexts and the
-start of each one's words (both monotone, Elias-Fano), and the words, made monotone by
-adding the last value before the context's range. A query goes to its file, finds the
-context, then searches the word's successor within the context's range only.
+A level lies in files, each a range of the contexts' hashes; a context that alone has
+more than its share of a file is several files, by ranges of its words. A file has the
+distinct contexts (Elias-Fano), the start of each one's words (a monotone pointer,
+Elias-Fano), and the words, made monotone by the context's rank. A query goes to its
+file, finds the context, and searches the word's successor within the context's range.
 
 Probabilities are absolutely discounted and interpolated:
-p(w|c) = (n(cw) - D) / n(c) + rest(c) p(w|c'), with rest(c) the mass that c's kept
-words leave, and p(w) = (n(w) + 0.5) / (N + 0.5 (V + 1)). They and the rests are kept
-as one byte each, an index into 256 values of the file.
+p(w|c) = (n(cw) - D) / n(c) + D kinds(c) / n(c) p(w|c'), kinds(c) being the number of c's
+distinct words, and p(w) = (n(w) + 0.5) / (N + 0.5 (V + 1)). A node keeps n(cw) - D, a
+context n(c) and the weight of the lower order, as one byte each: an index into 256
+values of the file.
 
-Files are written under another name and renamed (a task run again leaves the same
-file) in the shared folder, and mapped by each executor, not loaded.
+Counting: a task sums the n-grams of a few million tokens, then sends each file's range
+one compressed block of sorted contexts, words and counts, so the shuffle has few rows.
+Files are named anew by each task and listed in a table once written (a task run again
+leaves an unlisted file), in the shared folder, and mapped by each executor, not loaded.
 
 Defined results: null or empty text has the end token only. A null id is not held out
 and is learned from. Repeated rows count and are scored each. An empty training set
-gives every token log10(0.5 / 0.5) = 0. Extra columns are not read. Levels hold up to
-2**31 nodes; beyond, building raises an error.
+gives every token log10(0.5 / 0.5) = 0. Extra columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -40,16 +42,16 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, crc_fold, shared_dir, ship_package, stored, table, words
+from .common import chunks, crc_fold, partitions, shared_dir, ship_package, splitmix, stored, table, words
 from .eliasfano import EliasFano, mapped, named, opened, pack
 
 ORDER = 3
-MIN_COUNT = 2  # of train() by itself; the query keeps pairs seen once too
 DISCOUNT = 0.75
-FILE_ROWS = 1_000_000
+FILE_ROWS = 1_000_000  # n-grams, about, that a file holds
 CHUNK = 2 << 20
 END = (1 << 63) - 1
-COUNT_ROWS = 2_000_000  # pairs that a task gathers before it sums them
+COUNT_ROWS = 2_000_000  # n-grams that a task gathers before it sums them
+WORD_BITS = 40
 
 
 def tokens(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -79,23 +81,30 @@ def local_path(uri: str) -> str:
     return out
 
 
-def write_file(folder: str, name: str, data: bytes) -> None:
+def write_file(folder: str, name: str, data: bytes) -> str:
+    """Write under a name of its own, which is returned."""
     store, base = pafs.FileSystem.from_uri(folder)
     store.create_dir(base, recursive=True)
-    part = f"{base}/.{uuid.uuid4().hex}"
-    with store.open_output_stream(part) as f:
+    name = f"{name}-{uuid.uuid4().hex}"
+    with store.open_output_stream(f"{base}/{name}") as f:
         f.write(data)
-    store.move(part, f"{base}/{name}")
+    return name
 
 
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, values): 256 values at most, means of stretches of equal frequency."""
-    if not len(x):
-        return np.zeros(0, np.uint8), np.zeros(1, np.float64)
-    edges = np.unique(np.quantile(x, np.linspace(0, 1, 257)[1:-1]))
-    code = np.searchsorted(edges, x, "right").astype(np.uint8)
-    size = np.bincount(code, minlength=len(edges) + 1)
-    return code, np.bincount(code, x, minlength=len(edges) + 1) / np.maximum(size, 1)
+    """(codes, values) of positive numbers: the 128 most frequent as they are, means of equal stretches of the logarithm for the others."""
+    u, at, size = np.unique(x, return_inverse=True, return_counts=True)
+    if len(u) <= 256:
+        return at.astype(np.uint8), u.astype(np.float64)
+    often = np.argsort(-size, kind="stable")[:128]
+    other = np.setdiff1d(np.arange(len(u)), often)
+    edges = np.linspace(math.log(u[other[0]]), math.log(u[other[-1]]), 129)[1:-1]
+    code = np.zeros(len(u), np.int64)
+    code[often] = np.arange(128)
+    code[other] = 128 + np.searchsorted(edges, np.log(u[other]), "right")
+    weight = np.bincount(code, size, minlength=256)
+    values = np.bincount(code, size * u, minlength=256) / np.maximum(weight, 1)
+    return code[at].astype(np.uint8), values
 
 
 class Words:
@@ -115,179 +124,223 @@ class Words:
         return self.hashes.find(key)
 
 
-class Rests:
-    """Contexts of a level with the mass that their words leave (log10)."""
-
-    def __init__(self, path: str):
-        a, m = mapped(path)
-        self.contexts, self.codes, self.values = opened("contexts", a, m), a["codes"], a["values"]
-
-    @staticmethod
-    def data(key: np.ndarray, rest: np.ndarray) -> bytes:
-        code, values = quantised(np.log10(np.maximum(rest, 1e-12)))
-        arrays, meta = {"codes": code, "values": values}, {}
-        named("contexts", EliasFano.build(key), arrays, meta)
-        return pack(arrays, meta)
-
-    def find(self, key: np.ndarray) -> np.ndarray:
-        return self.contexts.find(key)
-
-
 class Grams:
     """A file of a level from 2 on."""
 
     def __init__(self, path: str):
         a, m = mapped(path)
         self.contexts, self.starts, self.words = (opened(k, a, m) for k in ("contexts", "starts", "words"))
-        self.codes, self.values, self.counts = a["codes"], a["values"], a["counts"]
+        self.counts, self.totals, self.rests = ((a[f"{k}.codes"], a[f"{k}.values"]) for k in ("counts", "totals", "rests"))
 
     @staticmethod
-    def data(key: np.ndarray, logp: np.ndarray, n: np.ndarray) -> bytes:
-        c, w = key >> np.uint64(32), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        begin = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, np.int64)
-        last = np.append(begin[1:], len(c)) - 1
-        base = np.concatenate([[0], np.cumsum(w[last])])[:-1] if len(c) else np.zeros(0, np.int64)
-        shifted = w + np.repeat(base, np.diff(np.append(begin, len(c))))
-        code, values = quantised(logp)
-        arrays, meta = {"codes": code, "values": values, "counts": n.astype(np.uint32)}, {}
-        named("contexts", EliasFano.build(c[begin]), arrays, meta)
-        named("starts", EliasFano.build(np.append(begin, len(c))), arrays, meta)
-        named("words", EliasFano.build(shifted), arrays, meta)
-        return pack(arrays, meta)
-
-    def find(self, key: np.ndarray) -> np.ndarray:
-        out = np.full(len(key), -1, np.int64)
-        j = self.contexts.find(key >> np.uint64(32))
-        ok = np.flatnonzero(j >= 0)
-        lo, hi = (self.starts.access(j[ok] + d).astype(np.int64) for d in (0, 1))
-        base = np.where(lo > 0, self.words.access(np.maximum(lo - 1, 0)), 0).astype(np.uint64)
-        out[ok] = self.words.find(base + (key[ok] & np.uint64(0xFFFFFFFF)), lo, hi)
-        return out
+    def data(context: np.ndarray, word: np.ndarray, n: np.ndarray, whole: tuple[int, int] | None = None) -> tuple[bytes, int]:
+        """The file of sorted n-grams, and its number of contexts; ``whole``: count and kinds of its one context in all files."""
+        begin = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        kinds = np.diff(np.append(begin, len(context)))
+        total = np.add.reduceat(n, begin).astype(float)
+        if whole:
+            total, known = np.array([float(whole[0])]), np.array([float(whole[1])])
+        else:
+            known = kinds.astype(float)
+        arrays, meta = {}, {}
+        for name, x in (("counts", n - DISCOUNT), ("totals", total), ("rests", DISCOUNT * known / total)):
+            arrays[f"{name}.codes"], arrays[f"{name}.values"] = quantised(x.astype(float))
+        rank = np.repeat(np.arange(len(begin), dtype=np.uint64), kinds)
+        named("contexts", EliasFano.build(context[begin]), arrays, meta)
+        named("starts", EliasFano.build(np.append(begin, len(context))), arrays, meta)
+        named("words", EliasFano.build((rank << np.uint64(WORD_BITS)) | word), arrays, meta)
+        return pack(arrays, meta), len(begin)
+
+    def look(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(share, rest) for queries sorted by context: the node's share of its context (0 if absent), the weight of the lower order (1 if the context is absent)."""
+        share, rest = np.zeros(len(context)), np.ones(len(context))
+        new = np.concatenate([[True], context[1:] != context[:-1]])
+        j = self.contexts.find(context[new])
+        lo = np.zeros(len(j), np.int64)
+        hi = lo.copy()
+        there = np.flatnonzero(j >= 0)
+        lo[there], hi[there] = (self.starts.access(j[there] + d).astype(np.int64) for d in (0, 1))
+        at = np.cumsum(new) - 1
+        ok = np.flatnonzero(j[at] >= 0)
+        of = j[at[ok]]
+        pos = self.words.find((of.astype(np.uint64) << np.uint64(WORD_BITS)) | word[ok], lo[at[ok]], hi[at[ok]])
+        rest[ok] = self.rests[1][self.rests[0][of]]
+        hit = pos >= 0
+        share[ok[hit]] = self.counts[1][self.counts[0][pos[hit]]] / self.totals[1][self.totals[0][of[hit]]]
+        return share, rest
 
 
 class Level:
-    """All files of one kind, in the order of their keys."""
+    """All files of level 1, in the order of their keys."""
 
-    def __init__(self, kind, folder: str, files: list[tuple[int, str, int]]):
-        self.kind, self.folder, self.files = kind, folder, files  # (least key, name, entries)
+    def __init__(self, folder: str, files: list[tuple[int, str, int]]):
+        self.folder, self.files = folder, files  # (least key, name, entries)
         self.least = np.array([f[0] for f in files], np.uint64)
-        self.base = np.concatenate([[0], np.cumsum([f[2] for f in files])]).astype(np.int64)
-        self.open: dict[int, object] = {}
-
-    def __getstate__(self):
-        return (self.kind, self.folder, self.files)
+        self.open: dict[int, Words] = {}
 
-    def __setstate__(self, state):
-        self.__init__(*state)
+    def __reduce__(self):
+        return Level, (self.folder, self.files)
 
-    def file(self, i: int):
-        if i not in self.open:
-            self.open[i] = self.kind(local_path(f"{self.folder}/{self.files[i][1]}"))
-        return self.open[i]
-
-    def lookup(self, keys: np.ndarray, *fields: str) -> list[np.ndarray]:
-        """[positions (-1: absent), fields' numbers]; a field of codes comes through its values."""
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        """Counts of the tokens; 0 where unknown."""
         uniq, back = np.unique(keys, return_inverse=True)
-        got = [np.full(len(uniq), -1, np.int64)] + [np.zeros(len(uniq)) for _ in fields]
-        at = np.searchsorted(uniq, self.least)
-        for i in range(len(self.files)):
-            lo, hi = (int(at[i]), int(at[i + 1]) if i + 1 < len(at) else len(uniq))
-            if lo < hi:
-                f = self.file(i)
-                j = f.find(uniq[lo:hi])
-                ok = np.flatnonzero(j >= 0)
-                got[0][lo + ok] = self.base[i] + j[ok]
-                for out, name in zip(got[1:], fields):
-                    x = getattr(f, name)[j[ok]]
-                    out[lo + ok] = f.values[x] if name == "codes" else x
-        return [g[back] for g in got]
-
-    def at(self, positions: np.ndarray, field: str) -> np.ndarray:
-        """A field by position."""
-        out = np.zeros(len(positions))
-        of = np.searchsorted(self.base, positions, "right") - 1
-        for i in np.unique(of):
-            rows = np.flatnonzero(of == i)
-            f = self.file(int(i))
-            x = getattr(f, field)[positions[rows] - self.base[i]]
-            out[rows] = f.values[x] if field == "codes" else x
+        got = np.zeros(len(uniq))
+        at = np.append(np.searchsorted(uniq, self.least), len(uniq))
+        for i in np.flatnonzero(np.diff(at) > 0):
+            if i not in self.open:
+                self.open[i] = Words(local_path(f"{self.folder}/{self.files[i][1]}"))
+            j = self.open[i].find(uniq[at[i] : at[i + 1]])
+            ok = np.flatnonzero(j >= 0)
+            got[at[i] + ok] = self.open[i].counts[j[ok]]
+        return got[back]
+
+
+class Ranges:
+    """Where the n-grams of a level lie: ranges of contexts, and of words for contexts that are common."""
+
+    def __init__(self, ranges: int, hot: list[tuple[int, int, int]]):
+        """``hot``: (context, count, distinct words or 0 if not known) of contexts with more than a file's share."""
+        hot = sorted(hot)
+        self.ranges, self.hot = ranges, hot
+        self.context = np.array([h[0] for h in hot], np.uint64)
+        self.width = np.array([-(-h[1] // FILE_ROWS) for h in hot], np.int64)
+        self.first = ranges + np.cumsum(self.width) - self.width
+
+    def files(self) -> int:
+        return self.ranges + int(self.width.sum())
+
+    def of(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        out = (((context >> np.uint64(32)) * np.uint64(self.ranges)) >> np.uint64(32)).astype(np.int64)
+        if len(self.context):
+            k = np.minimum(np.searchsorted(self.context, context), len(self.context) - 1)
+            at = np.flatnonzero(self.context[k] == context)
+            k = k[at]
+            out[at] = self.first[k] + ((word[at] * self.width[k].astype(np.uint64)) >> np.uint64(WORD_BITS)).astype(np.int64)
         return out
 
 
+class Nodes:
+    """All files of a level from 2 on."""
+
+    def __init__(self, folder: str, ranges: Ranges, names: dict[int, str]):
+        self.folder, self.ranges, self.names = folder, ranges, names
+        self.open: dict[int, Grams] = {}
+
+    def __reduce__(self):
+        return Nodes, (self.folder, self.ranges, self.names)
+
+    def look(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(share, rest) of each query, as in Grams."""
+        share, rest = np.zeros(len(context)), np.ones(len(context))
+        order = np.argsort(context)
+        of = self.ranges.of(context[order], word[order])
+        if len(self.ranges.hot):
+            again = np.argsort(of, kind="stable")
+            order, of = order[again], of[again]
+        cuts = np.flatnonzero(np.diff(of)) + 1
+        for at in np.split(np.arange(len(of)), cuts) if len(of) else []:
+            i = int(of[at[0]])
+            if i in self.names:
+                if i not in self.open:
+                    self.open[i] = Grams(local_path(f"{self.folder}/{self.names[i]}"))
+                rows = order[at]
+                share[rows], rest[rows] = self.open[i].look(context[rows], word[rows])
+        return share, rest
+
+
 # -- the model -------------------------------------------------------------------
 
 
+def below(h: np.ndarray) -> np.ndarray:
+    """The bits by which the words of one context are told apart."""
+    return h >> np.uint64(63 - WORD_BITS)
+
+
+def contexts(h: np.ndarray, start: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(context hashes of level k, tokens that have one), the end token standing before each text."""
+    padded = np.empty(len(h), np.uint64)
+    padded[1:] = h[:-1]
+    padded[start[:-1]] = END
+    c = splitmix(padded)
+    at = np.arange(len(h))
+    inside = at - np.repeat(start[:-1], np.diff(start))
+    with np.errstate(over="ignore"):
+        for depth in range(2, k):  # a context is the one before its last word, and that word
+            longer = np.zeros(len(h), np.uint64)
+            longer[1:] = c[:-1]
+            c = splitmix(longer * np.uint64(0x9FB21C651E98DF25) + below(padded) + np.uint64(depth))
+    return c, np.flatnonzero(inside >= k - 2)
+
+
 class Trie:
     def __init__(self, n_tokens: int, n_distinct: int, first: Level | None):
         self.n, self.v, self.first = n_tokens, n_distinct, first
-        self.rests: list[Level] = []
-        self.grams: list[Level] = []
-        self.end = -1
+        self.levels: list[Nodes] = []
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 0.5) / (self.n + 0.5 * (self.v + 1)))
-
-    def walk(self, h: np.ndarray, start: np.ndarray):
-        """(ids, counts, log10 probabilities, nodes by level): ids and nodes are -1 where absent.
-
-        ``nodes[k]`` are those of level k + 1 that end at each token, before[k] those at the token before.
-        """
-        if self.first is None:
-            none = np.full(len(h), -1, np.int64)
-            return none, np.zeros(len(h)), self.unigram(np.zeros(len(h))), [none]
-        ids, counts = self.first.lookup(h, "counts")
-        logp, nodes = self.unigram(counts), [ids]
-        for k, (rests, grams) in enumerate(zip(self.rests, self.grams)):
-            c = self.before(nodes[k], start, k)
-            ok = np.flatnonzero(c >= 0)
-            at, rest = rests.lookup(c[ok].astype(np.uint64), "codes")
-            logp = logp.copy()
-            logp[ok] += np.where(at >= 0, rest, 0)
-            ok = ok[(at >= 0) & (ids[ok] >= 0)]
-            node = np.full(len(h), -1, np.int64)
-            node[ok], p = grams.lookup((c[ok].astype(np.uint64) << np.uint64(32)) | ids[ok].astype(np.uint64), "codes")
-            hit = node[ok] >= 0
-            logp[ok[hit]] = p[hit]
-            nodes.append(node)
-        return ids, counts, logp, nodes
-
-    def before(self, node: np.ndarray, start: np.ndarray, k: int) -> np.ndarray:
-        c = np.concatenate([[-1], node[:-1]]) if len(node) else node
-        c[start[:-1]] = self.end if k == 0 else -1
-        return c
-
-
-def _files(df: DataFrame, kind, folder: str, name: str, order: list[str], rows: int) -> Level:
-    """Write sorted rows (key and what ``kind.data`` takes) as files of about FILE_ROWS."""
-    cols = df.columns
+        return (counts + 0.5) / (self.n + 0.5 * (self.v + 1))
+
+    def walk(self, h: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(counts, probabilities) of all tokens."""
+        counts = self.first.counts(h) if self.first else np.zeros(len(h))
+        p = self.unigram(counts)
+        word = below(h)
+        for k, nodes in enumerate(self.levels, 2):
+            context, ok = contexts(h, start, k)
+            share, rest = nodes.look(context[ok], word[ok])
+            p[ok] = share + rest * p[ok]
+        return counts, p
+
+
+def _words_files(df: DataFrame, folder: str, rows: int) -> Level:
+    """Write the sorted words of level 1 as files of about FILE_ROWS."""
     n = max(1, -(-rows // FILE_ROWS))
 
     def run(batches):
         got = [b for b in batches if b.num_rows]
         if got:
             t = pa.Table.from_batches(got)
-            x = [t.column(c).to_numpy() for c in cols]
-            least = int(x[0][0])
-            file = f"{name}-{least:020d}"
-            write_file(folder, file, kind.data(x[0].astype(np.uint64), *x[1:]))
-            yield pa.RecordBatch.from_arrays([pa.array([least], pa.int64()), pa.array([file]), pa.array([len(t)], pa.int64())], names=["least", "file", "n"])
+            key, count = (t.column(c).to_numpy() for c in ("key", "n"))
+            name = write_file(folder, "level1", Words.data(key.astype(np.uint64), count))
+            yield pa.RecordBatch.from_arrays([pa.array([int(key[0])], pa.int64()), pa.array([name]), pa.array([len(t)], pa.int64())], names=["least", "file", "n"])
+
+    out = stored(df.select("key", "n").repartitionByRange(n, "key").sortWithinPartitions("key").mapInArrow(run, "least long, file string, n long"), f"{folder}/list1")
+    return Level(folder, sorted((r["least"], r["file"], r["n"]) for r in out.collect()))
+
+
+def _summed(context: np.ndarray, word: np.ndarray, n: np.ndarray):
+    """Sorted distinct (context, word) with their counts."""
+    order = np.lexsort((word, context))
+    context, word = context[order], word[order]
+    begin = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])])) if len(order) else np.zeros(0, np.int64)
+    return context[begin], word[begin], np.add.reduceat(n[order], begin) if len(order) else n
+
+
+_CODEC = "zstd"
 
-    out = stored(df.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(run, "least long, file string, n long"), f"{folder}/{name}-list")
-    files = sorted((r["least"], r["file"], r["n"]) for r in out.collect())
-    if sum(f[2] for f in files) >= 1 << 31:
-        raise ValueError(f"{name}: more than 2**31 nodes")
-    return Level(kind, folder, files)
 
+def _block(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted n-grams as compressed byte planes: differences of contexts, words, counts."""
+    step = np.diff(context, prepend=np.uint64(0))
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T[:w]).tobytes() for x, w in ((step, 8), (word, WORD_BITS // 8), (n.astype(np.uint64), 8))]
+    return len(n).to_bytes(8, "little") + pa.Codec(_CODEC, 1).compress(b"".join(planes), asbytes=True)
 
-def _summed(pairs: list[np.ndarray]) -> pa.RecordBatch:
-    key = np.concatenate([p[0] for p in pairs])
-    suffix = np.concatenate([p[1] for p in pairs])
-    uniq, at, n = np.unique(key, return_index=True, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(uniq.astype(np.int64)), pa.array(suffix[at].astype(np.int64)), pa.array(n.astype(np.int32))], names=["key", "suffix", "n"])
 
+def _unblock(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    m = int.from_bytes(raw[:8], "little")
+    widths = (8, WORD_BITS // 8, 8)
+    x = np.frombuffer(pa.Codec(_CODEC).decompress(raw[8:], m * sum(widths), asbytes=True), np.uint8)
+    out, at = [], 0
+    for w in widths:
+        full = np.zeros((m, 8), np.uint8)
+        full[:, :w] = x[at : at + w * m].reshape(w, m).T
+        out.append(full.reshape(-1).view(np.uint64))
+        at += w * m
+    return np.cumsum(out[0], dtype=np.uint64), out[1], out[2].astype(np.int64)
 
-def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> Trie:
-    """Build the trie from all rows of ``texts`` (text), with the pairs seen ``min_count`` times or more."""
+
+def train(texts: DataFrame, order: int = ORDER) -> Trie:
+    """Build the trie from all rows of ``texts`` (text)."""
     spark = texts.sparkSession
     ship_package(spark)
     folder = shared_dir(spark, "ngram")
@@ -314,75 +367,114 @@ def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> T
     total = level1.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     if not total["v"]:
         return Trie(0, 0, None)
-    trie = Trie(total["n"], total["v"], _files(level1, Words, folder, "level1", ["key"], total["v"]))
-    trie.end = int(trie.first.lookup(np.array([END], np.uint64))[0][0])
+    trie = Trie(total["n"], total["v"], _words_files(level1, folder, total["v"]))
+    # At most total / FILE_ROWS words can be that frequent.
+    hot = [(int(splitmix(np.uint64(r["key"]))), r["n"], 0) for r in level1.where(F.col("n") > FILE_ROWS).collect()]
     for k in range(2, order + 1):
-        if not _add_level(trie, texts, folder, k, min_count):
-            break
+        nodes, hot = _add_level(texts, folder, k, total["n"], hot)
+        trie.levels.append(nodes)
     return trie
 
 
-def _add_level(trie: Trie, texts: DataFrame, folder: str, k: int, min_count: int) -> bool:
+def _add_level(texts: DataFrame, folder: str, k: int, n_tokens: int, hot: list) -> tuple[Nodes, list]:
+    """The nodes of level k, and the contexts of the next level with more than a file's share."""
+    ranges = Ranges(max(1, -(-n_tokens // FILE_ROWS)), hot)
+
     def count(batches):
         held, size = [], 0
+
+        def out():
+            context, word, n = _summed(*(np.concatenate(x) for x in zip(*held)))
+            of = ranges.of(context, word)
+            by = np.argsort(of, kind="stable")
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(of[by])) + 1, [len(by)]])
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                rows = by[lo:hi]
+                if len(rows):
+                    yield pa.RecordBatch.from_arrays([pa.array([int(of[rows[0]])], pa.int64()), pa.array([_block(context[rows], word[rows], n[rows])], pa.binary())], names=["file", "block"])
+
         for b in batches:
             for c in chunks(b, "text", CHUNK):
                 h, start = tokens(c.column("text"))
-                ids, counts, _, nodes = trie.walk(h, start)
-                context = trie.before(nodes[-1], start, k - 2)
-                ok = (context >= 0) & (nodes[-1] >= 0)
-                if k == 2 and min_count > 1:  # a rarer word is in no pair that frequent
-                    often = counts >= min_count
-                    ok &= often & trie_before(often, start)
-                key = (context[ok].astype(np.uint64) << np.uint64(32)) | ids[ok].astype(np.uint64)
-                held.append((key, nodes[-1][ok]))
-                size += len(key)
+                context, ok = contexts(h, start, k)
+                held.append((context[ok], below(h)[ok], np.ones(len(ok), np.int64)))
+                size += len(ok)
                 if size > COUNT_ROWS:
-                    yield _summed(held)
+                    yield from out()
                     held, size = [], 0
         if held:
-            yield _summed(held)
-
-    def trie_before(often, start):
-        c = np.concatenate([[True], often[:-1]]) if len(often) else often
-        c[start[:-1]] = True
-        return c
-
-    found = texts.mapInArrow(count, "key long, suffix long, n int").groupBy("key").agg(F.max("suffix").alias("suffix"), F.sum("n").alias("n"))
-    if min_count > 1:
-        found = found.where(F.col("n") >= min_count)
-    found = stored(found, f"{folder}/pairs{k}")
-    rows = found.count()
-    if not rows:
-        return False
-    below = trie.first if k == 2 else trie.grams[-1]
-
-    def context_mass(batches):
-        """kept mass and count of each context"""
-        for b in batches:
-            c = b.column("c").to_numpy()
-            n = below.at(c, "counts")
-            rest = np.maximum(1e-9, 1 - b.column("kept").to_numpy() / np.maximum(n, 1))
-            yield pa.RecordBatch.from_arrays([b.column("c"), pa.array(rest), pa.array(n)], names=["c", "rest", "total"])
+            yield from out()
 
-    by = found.groupBy(F.shiftright("key", 32).alias("c")).agg(F.sum(F.col("n") - DISCOUNT).alias("kept"))
-    contexts = stored(by.mapInArrow(context_mass, "c long, rest double, total double"), f"{folder}/contexts{k}")
-    trie_rests = _files(contexts.select("c", "rest"), Rests, folder, f"rests{k}", ["c"], contexts.count())
-    lower = Trie(trie.n, trie.v, trie.first)
+    def merged(batches):
+        """(file, context, word, n) of each file of the partition, whose blocks stand together."""
+        file, held, size = None, [], 0
+        for b in batches:
+            for f, raw in zip(b.column("file").to_pylist(), b.column("block")):
+                if f != file:
+                    if held:
+                        yield file, *_summed(*(np.concatenate(x) for x in zip(*held)))
+                    file, held, size = f, [], 0
+                held.append(_unblock(raw.as_py()))
+                size += len(held[-1][0])
+                if size > 4 * FILE_ROWS and len(held) > 1:  # blocks of many tasks repeat n-grams
+                    held = [_summed(*(np.concatenate(x) for x in zip(*held)))]
+                    size = len(held[0][0]) // 2
+        if held:
+            yield file, *_summed(*(np.concatenate(x) for x in zip(*held)))
+
+    def build(batches):
+        for file, context, word, n in merged(batches):
+            if not len(n):
+                continue
+            whole = file >= ranges.ranges
+            if whole:  # the context lies in several files: its sums come with the second pass
+                name = write_file(folder, f"part{k}-{file:08d}", _block(context, word, n))
+            else:
+                name = write_file(folder, f"level{k}-{file:08d}", Grams.data(context, word, n)[0])
+            big = np.flatnonzero(n > FILE_ROWS)
+            ahead = splitmix(context[big] * np.uint64(0x9FB21C651E98DF25) + word[big] + np.uint64(k))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([file], pa.int64()), pa.array([name]), pa.array([int(n.sum())], pa.int64()), pa.array([len(n)], pa.int64()), pa.array([ahead.view(np.int64).tolist()], pa.list_(pa.int64())), pa.array([n[big].tolist()], pa.list_(pa.int64()))],
+                names=["file", "name", "total", "kinds", "ahead", "count"],
+            )
 
-    def probabilities(batches):
+    spark = texts.sparkSession
+    blocks = texts.mapInArrow(count, "file long, block binary")
+    width = min(max(1, ranges.files()), partitions(spark))
+    dealt = blocks.repartition(width, "file").sortWithinPartitions("file")
+    done = stored(dealt.mapInArrow(build, "file long, name string, total long, kinds long, ahead array<long>, count array<long>"), f"{folder}/list{k}").collect()
+    names = {r["file"]: r["name"] for r in done}
+    if ranges.hot:
+        names |= _whole_contexts(spark, folder, k, ranges, [r for r in done if r["file"] >= ranges.ranges])
+    ahead = [(int(np.int64(c).astype(np.uint64)), n, 0) for r in done for c, n in zip(r["ahead"], r["count"])]
+    return Nodes(folder, ranges, names), ahead
+
+
+def _whole_contexts(spark: SparkSession, folder: str, k: int, ranges: Ranges, parts: list) -> dict[int, str]:
+    """Files of the contexts that lie in several, given what each holds of them."""
+    sums: dict[int, list[int]] = {}
+    owner = {}
+    for r in parts:
+        i = int(np.searchsorted(ranges.first, r["file"], "right")) - 1
+        owner[r["file"]] = i
+        s = sums.setdefault(i, [0, 0])
+        s[0] += r["total"]
+        s[1] += r["kinds"]
+
+    def build(batches):
         for b in batches:
-            n, total, rest = (b.column(x).to_numpy().astype(float) for x in ("n", "total", "rest"))
-            suffix = b.column("suffix").to_numpy()
-            under = lower.unigram(below.at(suffix, "counts")) if k == 2 else below.at(suffix, "codes")
-            p = np.maximum(n - DISCOUNT, 0) / np.maximum(total, 1) + rest * 10**under
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(np.log10(np.minimum(p, 1))), b.column("n")], names=["key", "logp", "n"])
+            for file, name, total, kinds in zip(*(b.column(c).to_pylist() for c in ("file", "name", "total", "kinds"))):
+                store, base = pafs.FileSystem.from_uri(folder)
+                with store.open_input_stream(f"{base}/{name}") as f:
+                    rows = _unblock(f.read())
+                out = write_file(folder, f"level{k}-{file:08d}", Grams.data(*rows, whole=(total, kinds))[0])
+                yield pa.RecordBatch.from_arrays([pa.array([file], pa.int64()), pa.array([out])], names=["file", "name"])
 
-    full = found.withColumn("c", F.shiftright("key", 32)).join(contexts, "c").select("key", "suffix", "n", "total", "rest")
-    grams = full.mapInArrow(probabilities, "key long, logp double, n long")
-    trie.grams.append(_files(grams, Grams, folder, f"level{k}", ["key"], rows))
-    trie.rests.append(trie_rests)
-    return True
+    if not parts:
+        return {}
+    todo = spark.createDataFrame([(r["file"], r["name"], *sums[owner[r["file"]]]) for r in parts], "file long, name string, total long, kinds long")
+    done = stored(todo.repartition(min(len(parts), partitions(spark)), "file").mapInArrow(build, "file long, name string"), f"{folder}/whole{k}")
+    return {r["file"]: r["name"] for r in done.collect()}
 
 
 def score(docs: DataFrame, trie: Trie) -> DataFrame:
@@ -393,11 +485,11 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
         for b in batches:
             for c in chunks(b, "text", CHUNK):
                 h, start = tokens(c.column("text"))
-                ids, counts, logp, _ = trie.walk(h, start)
+                counts, p = trie.walk(h, start)
                 total = lambda x: np.add.reduceat(x, start[:-1])  # noqa: E731  every text has a token
                 n = c.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [c.column("doc_id"), c.column("held_out"), pa.array(np.diff(start)), pa.array(total((ids >= 0).astype(np.int64))), pa.array(np.full(n, trie.n, np.int64)), pa.array(total(trie.unigram(counts))), pa.array(total(logp))],
+                    [c.column("doc_id"), c.column("held_out"), pa.array(np.diff(start)), pa.array(total((counts > 0).astype(np.int64))), pa.array(np.full(n, trie.n, np.int64)), pa.array(total(np.log10(trie.unigram(counts)))), pa.array(total(np.log10(p)))],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
@@ -407,4 +499,4 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(crc_fold(F.col("doc_id"), 5) == 1, F.lit(False))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")
-    return score(docs, train(docs.where(~F.col("held_out")), min_count=1))
+    return score(docs, train(docs.where(~F.col("held_out"))))
