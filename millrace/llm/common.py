@@ -8,10 +8,12 @@ their seeds are fixed: equal inputs hash equally on every executor.
 from __future__ import annotations
 
 import atexit
+import gc
 import math
 import os
 import sys
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -59,6 +61,14 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished jobs now, not when the driver happens to collect its garbage."""
+    for _ in range(2):  # what the first round frees may hold others
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -92,6 +92,23 @@ class EliasFano:
             return np.zeros(0, U)
         return ((self._select(i, False) - i).astype(U) << U(self.l)) | self._low(i)
 
+    def pair(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values at the positions and at those after them."""
+        if not len(i):
+            return np.zeros(0, U), np.zeros(0, U)
+        p = self._select(i, False)
+        word, shift = (p + 1) >> 6, ((p + 1) & 63).astype(U)
+        x = self.high[np.minimum(word, len(self.high) - 1)] >> shift
+        after = self.high[np.minimum(word + 1, len(self.high) - 1)]
+        x = np.where(shift > 0, x | (after << ((U(64) - shift) & U(63))), x)
+        with np.errstate(over="ignore"):
+            q = p + 1 + np.bitwise_count(~x & (x - _ONE)).astype(np.int64)
+        far = np.flatnonzero(x == 0)
+        if len(far):
+            q[far] = self._select(i[far] + 1, False)
+        l = U(self.l)
+        return ((p - i).astype(U) << l) | self._low(i), ((q - i - 1).astype(U) << l) | self._low(i + 1)
+
     def find(self, x: np.ndarray, lo=None, hi=None) -> np.ndarray:
         """Positions of x within [lo, hi) by successor search; -1 where absent."""
         x = np.asarray(x, U)

@@ -42,13 +42,14 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, crc_fold, partitions, shared_dir, ship_package, splitmix, stored, table, words
+from .common import chunks, crc_fold, partitions, release, shared_dir, ship_package, splitmix, stored, table, words
 from .eliasfano import EliasFano, mapped, named, opened, pack
 
 ORDER = 3
 DISCOUNT = 0.75
 FILE_ROWS = 1_000_000  # n-grams, about, that a file holds
 CHUNK = 2 << 20
+SCORED = 6 << 20  # bytes of text that are scored together
 END = (1 << 63) - 1
 COUNT_ROWS = 2_000_000  # n-grams that a task gathers before it sums them
 WORD_BITS = 40
@@ -130,6 +131,7 @@ class Grams:
     def __init__(self, path: str):
         a, m = mapped(path)
         self.contexts, self.starts, self.words = (opened(k, a, m) for k in ("contexts", "starts", "words"))
+        self.least = np.uint64(m["least"])
         self.counts, self.totals, self.rests = ((a[f"{k}.codes"], a[f"{k}.values"]) for k in ("counts", "totals", "rests"))
 
     @staticmethod
@@ -146,7 +148,9 @@ class Grams:
         for name, x in (("counts", n - DISCOUNT), ("totals", total), ("rests", DISCOUNT * known / total)):
             arrays[f"{name}.codes"], arrays[f"{name}.values"] = quantised(x.astype(float))
         rank = np.repeat(np.arange(len(begin), dtype=np.uint64), kinds)
-        named("contexts", EliasFano.build(context[begin]), arrays, meta)
+        # A file's contexts lie in one range: the distance from the least needs fewer bits.
+        meta["least"] = int(context[0])
+        named("contexts", EliasFano.build(context[begin] - context[0]), arrays, meta)
         named("starts", EliasFano.build(np.append(begin, len(context))), arrays, meta)
         named("words", EliasFano.build((rank << np.uint64(WORD_BITS)) | word), arrays, meta)
         return pack(arrays, meta), len(begin)
@@ -155,11 +159,14 @@ class Grams:
         """(share, rest) for queries sorted by context: the node's share of its context (0 if absent), the weight of the lower order (1 if the context is absent)."""
         share, rest = np.zeros(len(context)), np.ones(len(context))
         new = np.concatenate([[True], context[1:] != context[:-1]])
-        j = self.contexts.find(context[new])
+        context = context[new]
+        j = np.full(len(context), -1, np.int64)
+        above = np.flatnonzero(context >= self.least)
+        j[above] = self.contexts.find(context[above] - self.least)
         lo = np.zeros(len(j), np.int64)
         hi = lo.copy()
         there = np.flatnonzero(j >= 0)
-        lo[there], hi[there] = (self.starts.access(j[there] + d).astype(np.int64) for d in (0, 1))
+        lo[there], hi[there] = (v.astype(np.int64) for v in self.starts.pair(j[there]))
         at = np.cumsum(new) - 1
         ok = np.flatnonzero(j[at] >= 0)
         of = j[at[ok]]
@@ -256,20 +263,26 @@ def below(h: np.ndarray) -> np.ndarray:
     return h >> np.uint64(63 - WORD_BITS)
 
 
-def contexts(h: np.ndarray, start: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(context hashes of level k, tokens that have one), the end token standing before each text."""
+def contexts(h: np.ndarray, start: np.ndarray, order: int):
+    """(context hashes, tokens that have one) of level 2, 3 and so on, the end token standing before each text."""
     padded = np.empty(len(h), np.uint64)
     padded[1:] = h[:-1]
     padded[start[:-1]] = END
+    last = below(padded)
+    inside = np.arange(len(h)) - np.repeat(start[:-1], np.diff(start))
     c = splitmix(padded)
-    at = np.arange(len(h))
-    inside = at - np.repeat(start[:-1], np.diff(start))
+    yield c, np.arange(len(h))
+    for k in range(3, order + 1):  # a context is the one before its last word, and that word
+        longer = np.zeros(len(h), np.uint64)
+        longer[1:] = c[:-1]
+        c = longer_context(longer, last, k)
+        yield c, np.flatnonzero(inside >= k - 2)
+
+
+def longer_context(context: np.ndarray, word: np.ndarray, k: int) -> np.ndarray:
+    """The hash of a context of level k, from that of level k - 1 and the bits of its last word."""
     with np.errstate(over="ignore"):
-        for depth in range(2, k):  # a context is the one before its last word, and that word
-            longer = np.zeros(len(h), np.uint64)
-            longer[1:] = c[:-1]
-            c = splitmix(longer * np.uint64(0x9FB21C651E98DF25) + below(padded) + np.uint64(depth))
-    return c, np.flatnonzero(inside >= k - 2)
+        return splitmix(context * np.uint64(0x9FB21C651E98DF25) + word + np.uint64(k))
 
 
 class Trie:
@@ -285,8 +298,7 @@ class Trie:
         counts = self.first.counts(h) if self.first else np.zeros(len(h))
         p = self.unigram(counts)
         word = below(h)
-        for k, nodes in enumerate(self.levels, 2):
-            context, ok = contexts(h, start, k)
+        for nodes, (context, ok) in zip(self.levels, contexts(h, start, len(self.levels) + 1)):
             share, rest = nodes.look(context[ok], word[ok])
             p[ok] = share + rest * p[ok]
         return counts, p
@@ -373,6 +385,7 @@ def train(texts: DataFrame, order: int = ORDER) -> Trie:
     for k in range(2, order + 1):
         nodes, hot = _add_level(texts, folder, k, total["n"], hot)
         trie.levels.append(nodes)
+        release(spark)
     return trie
 
 
@@ -396,7 +409,7 @@ def _add_level(texts: DataFrame, folder: str, k: int, n_tokens: int, hot: list)
         for b in batches:
             for c in chunks(b, "text", CHUNK):
                 h, start = tokens(c.column("text"))
-                context, ok = contexts(h, start, k)
+                *_, (context, ok) = contexts(h, start, k)
                 held.append((context[ok], below(h)[ok], np.ones(len(ok), np.int64)))
                 size += len(ok)
                 if size > COUNT_ROWS:
@@ -432,7 +445,7 @@ def _add_level(texts: DataFrame, folder: str, k: int, n_tokens: int, hot: list)
             else:
                 name = write_file(folder, f"level{k}-{file:08d}", Grams.data(context, word, n)[0])
             big = np.flatnonzero(n > FILE_ROWS)
-            ahead = splitmix(context[big] * np.uint64(0x9FB21C651E98DF25) + word[big] + np.uint64(k))
+            ahead = longer_context(context[big], word[big], k + 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([file], pa.int64()), pa.array([name]), pa.array([int(n.sum())], pa.int64()), pa.array([len(n)], pa.int64()), pa.array([ahead.view(np.int64).tolist()], pa.list_(pa.int64())), pa.array([n[big].tolist()], pa.list_(pa.int64()))],
                 names=["file", "name", "total", "kinds", "ahead", "count"],
@@ -481,17 +494,27 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for rows (doc_id, held_out, text)."""
     ship_package(docs.sparkSession)
 
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def scored(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        c = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        h, start = tokens(c.column("text"))
+        counts, p = trie.walk(h, start)
+        total = lambda x: np.add.reduceat(x, start[:-1])  # noqa: E731  every text has a token
+        sums = [np.diff(start), total((counts > 0).astype(np.int64)), np.full(c.num_rows, trie.n, np.int64), total(np.log10(trie.unigram(counts))), total(np.log10(p))]
+        return pa.RecordBatch.from_arrays([c.column("doc_id"), c.column("held_out"), *map(pa.array, sums)], names=names)
+
     def run(batches):
+        held, size = [], 0
         for b in batches:
             for c in chunks(b, "text", CHUNK):
-                h, start = tokens(c.column("text"))
-                counts, p = trie.walk(h, start)
-                total = lambda x: np.add.reduceat(x, start[:-1])  # noqa: E731  every text has a token
-                n = c.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [c.column("doc_id"), c.column("held_out"), pa.array(np.diff(start)), pa.array(total((counts > 0).astype(np.int64))), pa.array(np.full(n, trie.n, np.int64)), pa.array(total(np.log10(trie.unigram(counts)))), pa.array(total(np.log10(p)))],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+                held.append(c)
+                size += c.nbytes
+                if size > SCORED:  # the more queries at a time, the fewer visits to each file
+                    yield scored(held)
+                    held, size = [], 0
+        if held:
+            yield scored(held)
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 

@@ -127,6 +127,8 @@ def test_elias_fano(n, top):
     v = np.sort(rng.integers(0, top, n)).astype(np.uint64)
     e = eliasfano.EliasFano(*eliasfano.EliasFano.build(v))
     assert (e.access(np.arange(n)) == v).all()
+    a, b = e.pair(np.arange(max(0, n - 1)))
+    assert (a == v[:-1]).all() and (b == v[1:]).all()
     q = np.concatenate([v, rng.integers(0, top, 200).astype(np.uint64)])
     for x, i in zip(q, e.find(q)):
         assert (i >= 0) == (x in v) and (i < 0 or v[i] == x)
@@ -172,7 +174,7 @@ def test_ngram_files_of_common_contexts(docs, monkeypatch):
     want = {r.doc_id: r.score for r in whole}
     add = ngram._add_level
     assert len(ngram.train(d).levels[0].names) == 1
-    context = lambda *w: int(ngram.contexts(*ngram.tokens(pa.array([" ".join(w) + " x"])), len(w) + 1)[0][len(w)])
+    context = lambda *w: int([*ngram.contexts(*ngram.tokens(pa.array([" ".join(w) + " x"])), len(w) + 1)][-1][0][len(w)])
     hot = {2: [(context("the"), 5 * ngram.FILE_ROWS, 0)], 3: [(context("same", "the"), 3 * ngram.FILE_ROWS, 0)]}
     monkeypatch.setattr(ngram, "_add_level", lambda texts, folder, k, n, _: add(texts, folder, k, 3 * ngram.FILE_ROWS, hot[k]))
     trie = ngram.train(d)
