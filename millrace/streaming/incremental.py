@@ -29,16 +29,18 @@ def run(spark: SparkSession, folder: str, schema: str, output: str, checkpoint:
     """Read all files that came since the last run; append their offers, errors and outcomes."""
 
     def batch(df: DataFrame, number: int) -> None:
-        got = normalize(records(df, folder, provider), completed=done())
-        # A batch that is run again overwrites its own folder.
+        # A batch that is run again overwrites its own folder, and what its first try wrote isn't done.
+        got = normalize(records(df, folder, provider), completed=done(number))
         for name, part in (("offers", got.offers), ("errors", got.errors), ("records", got.records.select("source_record_id", "provider", "ok", "skipped", "n_offers"))):
-            part.withColumn("batch", F.lit(number)).drop("raw_offer").write.mode("overwrite").parquet(f"{output}/{name}/run={number}")
+            if name == "offers":
+                part = part.withColumn("raw_offer", F.to_json("raw_offer"))
+            part.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{output}/{name}/run={number}")
 
-    def done() -> DataFrame | None:
+    def done(number: int) -> DataFrame | None:
         from pyspark.errors import AnalysisException
 
         try:
-            return spark.read.parquet(f"{output}/records").select("source_record_id")
+            return spark.read.parquet(f"{output}/records").where(F.col("run") != number).select("source_record_id")
         except AnalysisException:  # the first batch
             return None
 

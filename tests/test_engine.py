@@ -72,17 +72,76 @@ def test_plan_splits_records(spark):
     assert (total.records, total.skipped, total.succeeded, total.failed, total.offers) == (5, 1, 2, 2, 2)
 
 
-def test_cards_of_a_family():
-    card = '<div class="card__wrapper"><p class="card-title">Мой дом</p><p>300 Мбит/с</p><p class="price-sale">900</p><p class="price-main">500 ₽/мес</p></div>'
-    (block,) = H.dom_cards(card)
-    assert block.splitlines()[:5] == ["[DOM CARD TITLE]", "Мой дом", "Акционный тариф", "900", "500 ₽/мес"]
-
-
-def test_embedded_data_becomes_items():
-    inner = json.dumps({"initialTariffs": {"t1": {"price": 500, "di_options": {"300_1": 100, "bad": 1}, "isOwnHouse": "true", "di_speedOwnHouse": 50}}})
-    page = f"<script>self.__next_f.push([1,{json.dumps(inner[:20])}])</script><script>self.__next_f.push([1,{json.dumps(inner[20:])}])</script>"
-    assert [(x["house_type"], x["speed_option"]) for x in json.loads(S.embedded_items(page))] == [("flat", "300_1"), ("house", "50")]
-    assert S.embedded_items("nothing") is None
+# A card of each kind of page, and its text.
+FAMILIES = {
+    "rates": (
+        '<div class="rates-list-internet__item"><b class="rates-list-internet__item-title">Дом</b><p>до 300 Мбит/с</p><i class="rates-list-internet__item-price">500 ₽ / мес</i><u class="rates-list-internet__item-proposal">аренда роутера 100 ₽</u></div>',
+        "[DOM CARD TITLE]\nДом\n500 ₽ / мес\nДом\nдо 300 Мбит/с\n500 ₽ / месаренда роутера 100 ₽\nМожно добавить: аренда роутера 100 ₽",
+    ),
+    "wrapper": (
+        '<div class="card__wrapper"><p class="card-title">Мой дом</p><p>300 Мбит/с</p><p class="price-sale">900</p><p class="price-main">500 ₽/мес</p><div class="m-tariff__options">Кино</div>'
+        '<div class="universal-regulator__label"><i class="mm-web-radio__marker"></i>500 минут</div><div class="universal-regulator__label"><i class="mm-web-radio__marker mm-web-radio__marker_selected"></i>300 минут</div></div>',
+        "[DOM CARD TITLE]\nМой дом\nАкционный тариф\n900\n500 ₽/мес\nМой дом\n300 Мбит/с\n900\n500 ₽/мес\n300 минут",
+    ),
+    "catalog": (
+        '<div><b class="catalog-carousel-badge__title">Хит</b><div class="catalog-service-card"><p class="catalog-service-card__name">Старт</p><p>100 Мбит/с</p>'
+        '<div class="catalog-service-card__linked-products"><i class="catalog-service-card__linked-product">Wink</i></div>'
+        '<div class="catalog-service-card__footer"><span class="catalog-price__value">400 ₽</span><span class="catalog-price__original">600 ₽</span></div></div></div>',
+        "Старт\nАкционный тариф\n600 ₽\n400 ₽\nХит\nМожно добавить: Wink\nСтарт\n100 Мбит/с\n400 ₽\n600 ₽",
+    ),
+    "general": (
+        '<div class="general-cont" itemtype="http://schema.org/Offer"><p class="name-title">Город</p><p>100 Мбит/с</p><p>450 руб./мес</p></div>',
+        "Город\nГород\n100 Мбит/с\n450 руб./мес",
+    ),
+    "product": (
+        '<div itemtype="https://schema.org/Product"><div itemtype="https://schema.org/Product"><meta itemprop="name" content="Пакет"><meta itemprop="price" content="700">'
+        '<div itemprop="additionalProperty"><meta itemprop="name" content="internetSpeed"><meta itemprop="value" content="500"></div>'
+        '<div class="rate-card_card__x"><p>700 ₽/мес</p><div class="additional-services_wrapperService">Кино</div></div></div></div>',
+        "Пакет\n500 Мбит/с\nМожно добавить: Кино\n700 ₽/мес",
+    ),
+    "tours": (
+        '<div class="mkdf-tours-standard-item"><p class="mkdf-tour-title">Тур</p><p>100 Мбит/с</p><span class="mkdf-tours-item-price" style="text-decoration:line-through">900</span><span class="mkdf-tours-item-price">500</span></div>',
+        "Тур\nАкционный тариф\n900\n500\nТур\n100 Мбит/с\n900\n500",
+    ),
+    "headed": (
+        '<p class="dopprice"></p><div><b class="nametp">Дом 100</b><i class="prc">500 руб. ____ мес.</i></div><div><b class="nametp">Дом 200</b><i class="prc">700 руб./мес</i></div>',
+        "Дом 100\n500 руб./мес|Дом 200\n700 руб./мес",
+    ),
+    "unspecified": (
+        '<div class="m-tariff"><p class="m-tariff__name">Соло</p><p class="m-tariff__speed">100 Мбит/с</p><b class="m-tariff__price-value" data-cost="550">550</b><p class="m-tariff__description">Описание</p><label for="tariff_option_1">Статический адрес</label></div>',
+        'Соло\n100 Мбит/с\nОписание\nМожно добавить: Статический адрес\n[UNSPECIFIED BILLING]\nЦена тарифа: 550 ₽\n[SOURCE PRICE] <b class="m-tariff__price-value" data-cost="550">550</b>',
+    ),
+}
+
+
+@pytest.mark.parametrize("kind", FAMILIES)
+def test_cards_of_every_kind(kind):
+    page, want = FAMILIES[kind]
+    assert H.dom_cards(f"<html><body>{page}</body></html>") == want.split("|")
+
+
+def test_cards_of_odd_pages():
+    assert H.dom_cards("") == [] and H.dom_cards("<div class=card__wrapper><p class=card-title>x") == []
+    outer = f'<div class="card__wrapper">{FAMILIES["wrapper"][0]}</div>'
+    assert H.dom_cards(outer) == [FAMILIES["wrapper"][1]]
+    assert H.dom_cards('<div class="card__wrapper"><p class="card-title">a</p><span>1 Мбит/с</span><span>Aa</span><span>Bb</span><p class="price-main">5 ₽/мес</p></div>')[0].splitlines()[3:] == ["1 Мбит/с", "Aa", "Bb", "5 ₽/мес"]
+
+
+def test_visible_text_and_lines():
+    page = H.page_of(H.Markup("<title>Т</title><style>x</style><div>Раз<span>два</span><svg><p>нет</p></svg><script>var a;</script></div><p>три<br>4<img alt='вид'><noscript>нет</noscript>"))
+    assert page.lines == ["Раздва", "три", "4 вид"]  # a lone letter is no line
+    assert page.scripts == ["var a;"] and "нет" not in page.words
+    assert H.clean_lines("390 ₽\nв\nмес\n100\nМбит/с\n500\n600\n₽/мес\nя\n7") == ["390 ₽ мес", "100 Мбит/с", "500 ₽/мес", "600 ₽/мес", "7"]
+    assert H.repaired("Ð´Ð¾Ð¼") == "дом" and H.repaired("дом Â") == "дом Â" and H.repaired("Ñ дом") == "Ñ дом"
+
+
+def test_embedded_data_becomes_items(spark):
+    tariffs = {"z": {"price": 500, "name": 'a "b"', "di_options": {"300_1": 100, "bad": 1}, "isOwnHouse": "true", "di_speedOwnHouse": 50}, "a": {"speed": 100, "isOwnHouse": False, "speedOwnHouse": 5}}
+    inner = '5:["x",{"initialTariffs": ' + json.dumps(tariffs) + ', "more": 1}]'
+    page = f"<script>self.__next_f.push([0])</script><script>self.__next_f.push([1,{json.dumps(inner[:20])}])</script><script>self.__next_f.push([1,{json.dumps(inner[20:])}])</script>"
+    got, none, list_ = values(spark, [page, "nothing", page.replace(': {', ': [{')], S.embedded_items)
+    assert [(x["tariff_id"], x["house_type"], x["speed_option"]) for x in json.loads(got)] == [("z", "flat", "300_1"), ("z", "house", "50"), ("a", "flat", "100")]
+    assert json.loads(got)[0]["wifire_tariff"] == tariffs["z"] and none is None and list_ is None
 
 
 def test_scripts_are_evidence():
