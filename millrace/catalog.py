@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from millrace.functions import api as A
 from millrace.functions import html as H
 from millrace.functions import text as T
-from millrace.operators import compare, offers, sampling, sequence
+from millrace.operators import compare, offers, quality, sampling, sequence, validate
+from millrace.plans import normalize
+from millrace.sources import snapshots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -151,18 +153,6 @@ def record_ids(spark, d):
     return _t(spark, d, "pages").select("page_id", T.record_id(F.lit("p"), e, e, F.col("url"), F.lit("2024")).alias("record_id"), T.offer_number(F.col("url")).alias("card_id"))
 
 
-@query(
-    "provider_rollup",
-    """select event_type as provider, count(*) as records, count(*) filter (value > 10) as succeeded, count(*) filter (value <= 10) as failed, count(distinct user_id) as users,
-       count(*) filter (value > 10) / greatest(1.0, count(*)) as success_rate from events group by rollup (event_type)""",
-)
-def provider_rollup(spark, d):
-    r = _t(spark, d, "events").rollup(F.col("event_type").alias("provider")).agg(
-        F.count(F.lit(1)).alias("records"), F.count_if(F.col("value") > 10).alias("succeeded"), F.count_if(F.col("value") <= 10).alias("failed"), F.countDistinct("user_id").alias("users")
-    )
-    return r.withColumn("success_rate", F.col("succeeded") / F.greatest(F.lit(1), F.col("records")))
-
-
 @query(
     "dedupe_keep_first",
     "select user_id, event_type, event_id from (select *, row_number() over (partition by user_id, event_type order by ts, event_id) n from events) where n = 1",
@@ -195,17 +185,6 @@ def resume_antijoin(spark, d):
     return compare.resume(_t(spark, d, "orders"), done, "o_orderkey").select("o_orderkey", "o_custkey")
 
 
-@query(
-    "gold_compare",
-    """select coalesce(d.doc_id, l.doc_id) as doc_id, l.quality, case when d.doc_id is null then 'missing' when (d.n_chars >= 500) = (l.quality = 1) then 'match' else 'mismatch' end as verdict
-       from labels l left join documents d on d.doc_id = l.doc_id""",
-)
-def gold_compare(spark, d):
-    l, docs = _t(spark, d, "labels").select("doc_id", "quality"), _t(spark, d, "documents").select("doc_id", "n_chars")
-    verdict = F.when(F.col("n_chars").isNull(), "missing").when((F.col("n_chars") >= 500) == (F.col("quality") == 1), "match").otherwise("mismatch")
-    return l.join(docs, "doc_id", "left").select("doc_id", "quality", verdict.alias("verdict"))
-
-
 @query("locality_join", "select c_custkey, n_name as city, cast(n_nationkey as bigint) as locality_id from customer left join nation on c_nationkey = n_nationkey")
 def locality_join(spark, d):
     n = _t(spark, d, "nation")
@@ -213,28 +192,6 @@ def locality_join(spark, d):
     return compare.with_locality(city, n.select(F.lower("n_name").alias("city_key"), F.col("n_nationkey").cast("long").alias("locality_id")))
 
 
-@query(
-    "evidence_grounding",
-    """with w as (select doc_id, text, lower(split_part(text, ' ', 2)) as needle from documents)
-       select doc_id, needle, needle <> '' and contains(lower(text), needle) as grounded, cast(strpos(lower(text), needle) as integer) as place from w""",
-)
-def evidence_grounding(spark, d):
-    needle = F.lower(F.split_part("text", F.lit(" "), F.lit(2)))
-    rows = _t(spark, d, "documents").select("doc_id", "text", needle.alias("needle"))
-    return rows.select("doc_id", "needle", ((F.col("needle") != "") & F.contains(F.lower("text"), "needle")).alias("grounded"), F.position("needle", F.lower("text")).alias("place"))
-
-
-@query(
-    "numbers_in_text",
-    r"""with f as (select doc_id, unnest(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)?')) as x from documents)
-        select doc_id, count(*) as n, cast(sum(length(x)) as bigint) as chars from f group by doc_id""",
-)
-def numbers_in_text(spark, d):
-    found = F.regexp_extract_all("text", F.lit(r"[0-9]+(?:[.,][0-9]+)?"), F.lit(0))
-    rows = _t(spark, d, "documents").select("doc_id", F.explode(found).alias("x"))
-    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("x")).cast("bigint").alias("chars"))
-
-
 @query("props_json_number", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, cast(json_extract_string(props, '$.k') as bigint) * 2 as doubled from events")
 def props_json_number(spark, d):
     v = A.parse(F.col("props"))
@@ -264,16 +221,6 @@ def line_gaps(spark, d):
     return sequence.gaps(rows, ["l_orderkey"], "l_linenumber")
 
 
-@query("error_split_counts", "select event_type = 'error' as rejected, count(*) as n, min(event_id) as first_id, max(event_id) as last_id from events group by 1")
-def error_split(spark, d):
-    return _t(spark, d, "events").groupBy((F.col("event_type") == "error").alias("rejected")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
-
-
-@query("bounded_errors", "select event_id, user_id from events where event_type = 'error' order by event_id limit 100")
-def bounded_errors(spark, d):
-    return _t(spark, d, "events").where("event_type = 'error'").orderBy("event_id").limit(100).select("event_id", "user_id")
-
-
 @query(
     "line_budget_prefix",
     """with l as (select doc_id, unnest(string_split(text, chr(10))) as x, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
@@ -297,23 +244,267 @@ def stratified_sample(spark, d):
     return sampling.stratified(rows, "h", "page_id").select("page_id", "place", "split")
 
 
-@query("best_attempt", "select l_suppkey, arg_max(l_partkey, (l_extendedprice, -l_partkey)) as best from lineitem group by l_suppkey")
-def best_attempt(spark, d):
-    return _t(spark, d, "lineitem").groupBy("l_suppkey").agg(F.max_by("l_partkey", F.struct(F.col("l_extendedprice"), -F.col("l_partkey"))).alias("best"))
-
-
 @query("page_fingerprint_groups")
 def page_fingerprint_groups(spark, d):
     r = _t(spark, d, "pages").select(F.lit("html").alias("payload_type"), "url", F.lit("").alias("city"), F.col("html").alias("payload"))
     return sampling.fingerprint(r).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("records"))
 
 
-@query("html_visible_text")
-def html_visible_text(spark, d):
-    return H.with_visible_text(_t(spark, d, "pages").select("page_id", "html")).select("page_id", "visible")
-
-
 @query("html_reduced")
 def html_reduced(spark, d):
     r = H.with_reduced(_t(spark, d, "pages").select("page_id", F.col("html").alias("payload"), F.lit("").alias("city")))
     return r.select("page_id", "reduced.text", "reduced.original_chars", "reduced.reduced_chars", "reduced.candidate_blocks")
+
+
+# -- outcomes, gold cases, the gate ------------------------------------------------
+
+
+def _outcomes(spark, d):
+    """An outcome for each event: small values are skipped ones, large ones succeed."""
+    ok = (F.col("value") > 10) & (F.col("value") > 2)
+    return _t(spark, d, "events").select(F.col("event_type").alias("provider"), (F.col("value") <= 2).alias("skipped"), ok.alias("ok"), F.when(ok, F.floor("value") % 3).otherwise(0).alias("n_offers"))
+
+
+@query(
+    "provider_rollup",
+    """select event_type as provider, count(*) as records, count(*) filter (value <= 2) as skipped, count(*) filter (value > 10) as succeeded, count(*) filter (value > 2 and value <= 10) as failed,
+         count(*) filter (value > 10 and cast(floor(value) as bigint) % 3 = 0) as empty, cast(sum(case when value > 10 then cast(floor(value) as bigint) % 3 else 0 end) as bigint) as offers,
+         count(*) filter (value > 10) / greatest(1.0, count(*) - count(*) filter (value <= 2)) as success_rate
+       from events group by rollup (event_type)""",
+)
+def provider_rollup(spark, d):
+    return normalize.statistics(_outcomes(spark, d))
+
+
+def _groups(spark, d):
+    rows = _outcomes(spark, d).where("not skipped").select(F.col("provider").alias("fingerprint"), "ok", "n_offers", (F.col("provider") == "error").alias("signal"))
+    return quality.group_counters(rows)
+
+
+_GROUPS = """with o as (select event_type as fingerprint, value > 10 as ok, case when value > 10 then cast(floor(value) as bigint) % 3 else 0 end as n, event_type = 'error' as signal from events where value > 2)"""
+
+
+@query(
+    "gate_groups",
+    _GROUPS
+    + """ select fingerprint, count(*) as records, count(*) filter (ok) as passed, count(*) filter (not ok) as failed, cast(sum(case when ok then n else 0 end) as bigint) as offers, count(*) filter (ok and n > 0) as positive_records,
+         count(*) filter (ok and n = 0) as empty_records, count(*) filter (ok and signal) as independent_signal_records, count(*) filter (ok and signal and n = 0) as signal_without_output from o group by fingerprint""",
+)
+def gate_groups(spark, d):
+    return _groups(spark, d)
+
+
+@query(
+    "gate_decision",
+    _GROUPS
+    + """ select 'failed' as status, count(*) filter (not ok) || ' records failed execution or validation; positive records ' || count(*) filter (ok and n > 0) || ' below required 1000000000; 2 approved gold cases differ' as hard,
+         '3 gold template cases are pending manual approval' as soft from o""",
+)
+def gate_decision(spark, d):
+    got = quality.decide(_groups(spark, d), approved=5, pending=3, failed=2, missing=0, min_positive=1_000_000_000)
+    return got.select("status", F.array_join("hard_failures", "; ").alias("hard"), F.array_join("warnings", "; ").alias("soft"))
+
+
+@query(
+    "gold_compare",
+    """select doc_id as case_id, case when doc_id % 4 = 0 then 'address' else 'id' end as way, exists (select 1 from documents d where d.doc_id = l.doc_id) as found from labels l where quality = 1""",
+)
+def gold_compare(spark, d):
+    key = F.col("doc_id").cast("string")
+    by_address = F.col("doc_id") % 4 == 0
+    cases = _t(spark, d, "labels").select(
+        F.col("doc_id").alias("case_id"), (F.col("quality") == 1).alias("approved"), F.when(~by_address, key).alias("source_record_id"), F.concat(F.lit("http://x/"), key).alias("source_url"), F.lit("ГОРОД").alias("city"), F.lit(1).alias("expected_offer_count"), F.lit("").alias("offers")
+    )
+    records = _t(spark, d, "documents").select(F.col("doc_id").alias("seq"), key.alias("source_record_id"), F.concat(F.lit("http://x/"), key).alias("url"), F.lit("Город").alias("city"))
+    got = quality.matched_cases(cases, records).where(F.col("source_record_id") == F.col("case_id").cast("string")).select("case_id", F.lit(True).alias("found"))
+    lost = quality.missing_cases(cases, got).select("case_id", F.lit(False).alias("found"))
+    return got.union(lost).select("case_id", F.when(F.col("case_id") % 4 == 0, "address").otherwise("id").alias("way"), "found")
+
+
+@query(
+    "gold_differences",
+    """select cast(p_partkey as integer) as case_id, case p_size % 4 when 0 then '' when 1 then 'offer 0 not found' when 2 then 'expected 3 offers, got 2; offer 2 not found' else 'offer 1 not found' end as differences from part""",
+)
+def gold_differences(spark, d):
+    p = _t(spark, d, "part").withColumn("k", F.col("p_size") % 4)
+    fields = ["name string", "price double", "price_old double", "internet_speed_mbps double", "tv_channels int", "mobile_minutes int", "mobile_data_gb double"]
+
+    def offer(name, price, at=None):
+        own = {"name": name, "price": price, "services": F.array(F.lit("internet"))}
+        cols = [own.get(f.split()[0], F.lit(None)).cast(f.split()[1]).alias(f.split()[0]) for f in fields if f.split()[0] in quality.GOLD_FIELDS]
+        return F.struct(*([F.lit(at).cast("long").alias("at")] if at is not None else []), *cols, own["services"].alias("services"))
+
+    price = F.floor("p_retailprice").cast("double")
+    wanted = [offer(F.lit(" тариф  А"), price + F.when(F.col("k") == 1, 1).otherwise(0)), offer(F.when(F.col("k") == 3, "иной").otherwise("Тариф А"), price)]
+    third = F.when(F.col("k") == 2, F.array(offer(F.lit("Тариф В"), price))).otherwise(F.array().cast(f"array<struct<{','.join(f.replace(' ', ':') for f in fields if f.split()[0] in quality.GOLD_FIELDS)},services:array<string>>>"))
+    key = F.col("p_partkey").cast("string").alias("source_record_id")
+    cases = p.select(F.col("p_partkey").cast("int").alias("case_id"), key, F.when(F.col("k") == 2, 3).otherwise(2).alias("expected_offer_count"), F.concat(F.array(*wanted), third).alias("offers"))
+    own = p.select(key, F.explode(F.array(offer(F.lit("Тариф А"), price, 0), offer(F.lit("ТАРИФ А"), price, 1))).alias("o")).select("source_record_id", "o.*")
+    return quality.case_differences(cases, own).select("case_id", F.array_join("differences", "; ").alias("differences"))
+
+
+@query(
+    "record_refusals",
+    """select event_id, case when event_id % 7 = 0 then 'source status: Error' when event_id % 7 = 1 then 'empty payload' when event_id % 7 = 2 then 'unsupported payload type' when event_id % 7 = 3 then 'invalid JSON' end as refusal,
+         case when event_id % 7 = 2 then 'letai' when event_id % 7 = 4 then 'wifireru' else 'ones' end as adapter from events""",
+)
+def record_refusals(spark, d):
+    k = F.col("event_id") % 7
+    r = _t(spark, d, "events").select(
+        "event_id", F.when(k == 2, "letai").when(k == 4, "wifire_ru").otherwise(F.concat(F.lit("../"), "event_type")).alias("provider"), F.when(k == 0, "Error").when(k == 5, "OK").when(k == 6, "200").alias("status"),
+        F.when(k == 1, " ").when(k == 3, "{broken").when(k == 4, "<p>").otherwise(F.col("props")).alias("payload"), F.when(k == 4, "html").otherwise("json").alias("payload_type"),
+    )
+    r = r.withColumn("adapter", normalize.route(normalize.alias(F.col("provider"))))
+    return r.select("event_id", normalize.refusal().alias("refusal"), "adapter")
+
+
+@query("bounded_errors", "select event_type, array_to_string(list_slice(list_sort(list(event_id)), 1, 100), ',') as first_ids, count(*) as n from events group by event_type")
+def bounded_errors(spark, d):
+    return compare.first_values(_t(spark, d, "events"), "event_type", "event_id", 100).select("event_type", F.array_join("first", ",").alias("first_ids"), "n")
+
+
+@query("best_attempt", "select l_suppkey, arg_max(l_partkey, (l_extendedprice, -l_partkey)) as best from lineitem group by l_suppkey")
+def best_attempt(spark, d):
+    return compare.best_by(_t(spark, d, "lineitem"), ["l_suppkey"], "l_partkey", [F.col("l_extendedprice"), -F.col("l_partkey")], "best")
+
+
+# -- grounding ---------------------------------------------------------------------
+
+
+@query(
+    "evidence_grounding",
+    """with w as (select doc_id, text, split_part(text, ' ', 2) as needle from documents)
+       select doc_id, needle = '' or contains(lower(text), lower(needle)) as grounded, contains(lower(text), lower('@' || needle)) as marked, case when needle = '' then 0 else length(substr(text, strpos(text, needle), length(needle))) end as n from w where text is not null""",
+)
+def evidence_grounding(spark, d):
+    needle = F.split_part("text", F.lit(" "), F.lit(2))
+    rows = _t(spark, d, "documents").where("text is not null").select("doc_id", "text", needle.alias("needle"))
+    upper = F.array(F.upper("needle"), F.lit(""))
+    found = T.evidence_fragment(F.col("text"), F.col("needle"), 0)
+    return rows.select("doc_id", validate.evidence_grounded(F.array(F.col("needle"), F.lit("")), F.col("text")).alias("grounded"), validate.evidence_grounded(F.array(F.concat(F.lit("@"), "needle")), F.col("text")).alias("marked"), F.least(F.length(found), F.length("needle")).alias("n"))
+
+
+@query(
+    "numbers_in_text",
+    """select p_partkey, cast(case when p_size = floor(p_retailprice) then 2 else 3 end as integer) as n, cast(p_size as double) + case when p_size = floor(p_retailprice) then 0 else floor(p_retailprice) end + 1200.5 as total, true as stands, p_size < 10 and p_size * 10 + 7 = 17 as part from part""",
+)
+def numbers_in_text(spark, d):
+    size, price = F.col("p_size").cast("string"), F.floor("p_retailprice").cast("string")
+    text = F.concat(F.lit("от "), size, F.lit(" до "), price, F.lit("₽, 1 200,5 и "), size, F.lit(" штук"))
+    p = _t(spark, d, "part").select("p_partkey", "p_size", T.numbers_in(text).alias("x"), T.number_in_text(F.floor("p_retailprice").cast("double"), text).alias("stands"), T.number_in_text(F.lit(17.0), F.concat(size, F.lit("7"))).alias("part"))
+    return p.select("p_partkey", F.size("x").alias("n"), F.aggregate("x", F.lit(0.0), lambda a, b: a + b).alias("total"), "stands", "part")
+
+
+@query(
+    "offer_checks",
+    """select p_partkey, array_to_string(list_filter([case when p_size % 3 = 0 then 'empty name' end, case when p_size % 5 = 0 then 'invalid price' end, case when p_size % 7 = 0 and p_size % 5 <> 0 then 'price_old is lower than price' end, case when p_size % 11 = 0 then 'internet_speed_mbps=77.0 is not grounded' end], lambda x: x is not null), '; ') as errors from part""",
+)
+def offer_checks(spark, d):
+    p = _t(spark, d, "part")
+    price = F.when(F.col("p_size") % 5 == 0, -F.lit(500.0)).otherwise(F.lit(500.0))
+    own = {"name": F.when(F.col("p_size") % 3 == 0, " ").otherwise("Дом"), "price": price, "price_old": F.when(F.col("p_size") % 7 == 0, 400.0), "internet_speed_mbps": F.when(F.col("p_size") % 11 == 0, 77.0).otherwise(100.0)}
+    kinds = {"name": "string", "variant_id": "string", "tv_channels": "int", "mobile_minutes": "int"}
+    cols = ["name", "variant_id", *validate.NUMERIC]
+    facts = F.struct(*[own.get(c, F.lit(None)).cast(kinds.get(c, "double")).alias(c) for c in cols])
+    none = F.lit(None).cast("variant")
+    found = p.select(F.col("p_partkey").alias("source_record_id"), F.lit(0).cast("long").alias("at"), F.lit("Дом\n100 Мбит/с\n500 руб./мес\nбыло 400\n-500").alias("block"), none.alias("item"), none.alias("option"), facts.alias("facts"))
+    records = p.select(F.col("p_partkey").alias("source_record_id"), F.lit("html").alias("payload_type"), F.lit("").alias("payload"))
+    got = validate.validate(records, found)
+    # Whether a negative price stands in the text is not what this query asks.
+    errors = F.filter("errors", lambda e: ~e.startswith("price=-"))
+    return got.select(F.col("source_record_id").alias("p_partkey"), F.array_join(errors, "; ").alias("errors"))
+
+
+# -- pages -------------------------------------------------------------------------
+
+
+@query(
+    "html_visible_text",
+    """select p_partkey, p_name || ' ' || p_type || ' ' || p_size || ' <b>' as visible from part""",
+)
+def html_visible_text(spark, d):
+    page = F.concat(F.lit("<title>"), "p_name", F.lit("</title><style>p{}</style><p>"), "p_type", F.lit("</p><script>var a=1;</script><svg><text>no</text></svg><br><i>"), F.col("p_size").cast("string"), F.lit("</i>&nbsp;&lt;b&gt;<noscript>no</noscript>"))
+    return H.with_visible_text(_t(spark, d, "part").select("p_partkey", page.alias("html"))).select("p_partkey", "visible")
+
+
+@query(
+    "card_families",
+    """with p as (select p_partkey, 'T' || p_partkey as t, p_size * 10 || ' Мбит/с' as s, cast(floor(p_retailprice) as bigint) as c, p_partkey % 6 as k from part)
+       select p_partkey, case k
+         when 0 then '[DOM CARD TITLE]|' || t || '|' || c || ' ₽ / мес|' || t || '|' || s || '|' || c || ' ₽ / мес'
+         when 1 then '[DOM CARD TITLE]|' || t || '|Акционный тариф|' || (c + 100) || '|' || c || ' ₽/мес|' || t || '|' || s || '|' || (c + 100) || '|' || c || ' ₽/мес'
+         when 2 then t || '|Акционный тариф|' || (c + 100) || ' ₽|' || c || ' ₽|Можно добавить: Wink|' || t || '|' || s || '|' || c || ' ₽|' || (c + 100) || ' ₽'
+         when 3 then t || '|' || t || '|' || s || '|' || c || ' руб./мес'
+         when 4 then t || '|' || s || '|' || s || '|' || c || ' ₽/мес'
+         else t || '|' || s || '|Описание|[UNSPECIFIED BILLING]|Цена тарифа: ' || c || ' ₽|[SOURCE PRICE] <b class="m-tariff__price-value" data-cost="' || c || '">x</b>' end as card from p""",
+)
+def card_families(spark, d):
+    """A page of one of six kinds for each part, read back as its card."""
+    c = F.floor("p_retailprice").cast("bigint")
+    marks = {"@t": F.concat(F.lit("T"), F.col("p_partkey").cast("string")), "@s": (F.col("p_size") * 10).cast("string"), "@o": (c + 100).cast("string"), "@c": c.cast("string")}
+    pages = [
+        '<div class="rates-list-internet__item"><p class="rates-list-internet__item-title">@t</p><p>@s Мбит/с</p><p class="rates-list-internet__item-price">@c ₽ / мес</p></div>',
+        '<div class="card__wrapper"><p class="card-title">@t</p><p>@s Мбит/с</p><p class="price-sale">@o</p><p class="price-main">@c ₽/мес</p><div class="m-tariff__options">Кино</div></div>',
+        '<div class="catalog-service-card"><p class="catalog-service-card__name">@t</p><p>@s Мбит/с</p><p class="catalog-service-card__linked-products"><i class="catalog-service-card__linked-product">Wink</i></p><div class="catalog-service-card__footer"><p class="catalog-price__value">@c ₽</p><p class="catalog-price__original">@o ₽</p></div></div>',
+        '<div class="general-cont" itemtype="http://schema.org/Offer"><p class="name-title">@t</p><p>@s Мбит/с</p><p>@c руб./мес</p></div>',
+        '<div itemtype="http://schema.org/Product"><meta itemprop="name" content="@t"><meta itemprop="price" content="@c"><p itemprop="additionalProperty"><meta itemprop="name" content="internetSpeed"><meta itemprop="value" content="@s"></p><div class="rate-card_card"><p>@s Мбит/с</p><p>@c ₽/мес</p></div></div>',
+        '<div class="m-tariff"><p class="m-tariff__name">@t</p><p class="m-tariff__speed">@s Мбит/с</p><b class="m-tariff__price-value" data-cost="@c">x</b><p class="m-tariff__description">Описание</p></div>',
+    ]
+    page = F.get(F.lit(pages), (F.col("p_partkey") % 6).cast("int"))
+    for mark, value in marks.items():
+        page = F.replace(page, F.lit(mark), value)
+    got = H.with_candidates(_t(spark, d, "part").select("p_partkey", page.alias("payload")))
+    return got.select("p_partkey", F.replace(F.array_join(F.transform("candidates", lambda x: x["block"]), "#"), F.lit("\n"), F.lit("|")).alias("card"))
+
+
+@query(
+    "embedded_items",
+    """select p_partkey, 't' || p_partkey as tariff_id, h.house as house_type, case when h.house = 'house' then cast(p_size as varchar) else p_size || '_1' end as speed_option from part cross join (values ('flat'), ('house')) h(house) where h.house = 'flat' or p_size % 2 = 0""",
+)
+def embedded_items(spark, d):
+    size = F.col("p_size").cast("string")
+    own = F.struct(F.create_map(F.concat(size, F.lit("_1")), F.lit(100), F.lit("bad"), F.lit(1)).alias("di_options"), F.when(F.col("p_size") % 2 == 0, "true").otherwise("false").alias("isOwnHouse"), F.col("p_size").alias("di_speedOwnHouse"))
+    whole = F.concat(F.lit('{"initialTariffs":'), F.to_json(F.create_map(F.concat(F.lit("t"), F.col("p_partkey").cast("string")), own)), F.lit(',"x":[1]}'))
+    pushed = lambda x: F.concat(F.lit("<script>self.__next_f.push([1,"), F.expr("1") if x is None else F.substring(F.to_json(F.array(x)), 2, 1_000_000), F.lit(")</script>"))
+    page = F.concat(pushed(F.substring(whole, 1, 20)), pushed(F.substring(whole, 21, 1_000_000)))
+    rows = _t(spark, d, "part").select("p_partkey", snapshots.embedded_items(page).alias("j"))
+    item = F.explode(F.from_json("j", "array<struct<tariff_id:string,house_type:string,speed_option:string>>")).alias("i")
+    return rows.select("p_partkey", item).select("p_partkey", "i.tariff_id", "i.house_type", "i.speed_option")
+
+
+# -- scalar functions: cases by key, expected values in the SQL ---------------------
+
+
+def _cases(spark, d, values):
+    return _t(spark, d, "part").select("p_partkey", F.get(F.lit(values), (F.col("p_partkey") % len(values)).cast("int")).alias("x"))
+
+
+@query("scalar_numbers", "select p_partkey, [1200.5, 100200, null, 0.5, -3][p_partkey % 5 + 1] as number, [1200, 100200, null, 0, -3][p_partkey % 5 + 1] as whole from part")
+def scalar_numbers(spark, d):
+    rows = _cases(spark, d, ["от 1 200,50 ₽", "100 200", "нет", "0.5 Гб", "-3 градуса"])
+    return rows.select("p_partkey", T.number(F.col("x")).alias("number"), T.integer(F.col("x")).alias("whole"))
+
+
+@query(
+    "scalar_texts",
+    """select p_partkey, ['a b', null, 'Дом', '100 Мбит/с'][p_partkey % 4 + 1] as clean, ['a b', '', 'дом', '100 мбит/с'][p_partkey % 4 + 1] as folded, ['A', 'B', 'C', 'D'][p_partkey % 4 + 1] || '_' as safe,
+         case p_partkey % 4 when 2 then 'Дом' when 3 then null when 0 then ' a  b ' else '' end as technology, case p_partkey % 4 when 0 then ' a  b ' when 1 then 'мес' when 2 then 'Дом' else '100 Мбит/с' end as period from part""",
+)
+def scalar_texts(spark, d):
+    rows = _cases(spark, d, [" a  b ", "", "Дом", "100 Мбит/с"])
+    name = F.concat(F.get(F.lit(["A", "B", "C", "D"]), (F.col("p_partkey") % 4).cast("int")), F.lit(':<>"/'))
+    return rows.select("p_partkey", T.clean(F.col("x")).alias("clean"), T.folded(F.col("x")).alias("folded"), T.safe_name(name).alias("safe"), T.technology(F.col("x")).alias("technology"), T.period(F.col("x")).alias("period"))
+
+
+@query("scalar_mojibake", "select p_partkey, 'дом ' || p_partkey as repaired, 'Ñ дом' as kept from part")
+def scalar_mojibake(spark, d):
+    text = F.decode(F.encode(F.concat(F.lit("дом "), F.col("p_partkey").cast("string")), "UTF-8"), "ISO-8859-1")
+    return _t(spark, d, "part").select("p_partkey", T.repair_mojibake(text).alias("repaired"), T.repair_mojibake(F.lit("Ñ дом")).alias("kept"))
+
+
+@query("scalar_prices", "select p_partkey, cast(floor(p_retailprice) as double) as monthly, cast(p_size * 1000 as double) as speed, cast(p_size * 100 as double) as second from part")
+def scalar_prices(spark, d):
+    c = F.floor("p_retailprice").cast("bigint").cast("string")
+    block = F.concat(F.lit("Тариф\n"), F.col("p_size").cast("string"), F.lit(" Гбит/с\n"), c, F.lit(" ₽\nв месяц\nАренда роутера\n150 руб/мес"))
+    pair = F.concat((F.col("p_size") * 200).cast("string"), F.lit("/"), (F.col("p_size") * 100).cast("string"), F.lit(" Мбит/с"))
+    return _t(spark, d, "part").select("p_partkey", F.get(T.monthly_prices(block), F.lit(0)).alias("monthly"), F.get(T.speeds(block), F.lit(0)).alias("speed"), F.get(T.speeds(pair), F.lit(1)).alias("second"))

@@ -51,3 +51,16 @@ def with_locality(rows: DataFrame, localities: DataFrame, city: str = "city") ->
     small = localities.count() <= 1_000_000
     dim = F.broadcast(localities) if small else localities
     return rows.join(dim, F.lower(F.col(city)) == F.col("city_key"), "left").drop("city_key")
+
+
+def first_values(df: DataFrame, key: str, value: str, most: int) -> DataFrame:
+    """(key, first: the ``most`` least values in order, n: all rows). Spark limits each task's rows before the shuffle."""
+    w = Window.partitionBy(key).orderBy(value)
+    top = df.select(key, value).withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most)
+    lists = top.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias("first"))
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).join(lists, key)
+
+
+def best_by(df: DataFrame, keys: list[str], value: str, order: list[Column], out: str) -> DataFrame:
+    """For each key the value of the row that is greatest in the order (of attempts: the best)."""
+    return df.groupBy(*keys).agg(F.max_by(value, F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])).alias(out))

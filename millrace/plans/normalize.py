@@ -57,24 +57,28 @@ def keep_first(records: DataFrame, completed: DataFrame | None = None) -> DataFr
     return records.join(ids.select("seq", "skipped"), "seq")
 
 
-def normalize(records: DataFrame, only_provider: str | None = None, completed: DataFrame | None = None) -> Result:
-    """Offers, errors and outcomes of the records."""
-    r = records.withColumn("alias", alias(F.col("provider")))
-    if only_provider is not None:
-        r = r.where(F.col("alias") == only_provider)
-    r = keep_first(r, completed).withColumn("adapter", route(F.col("alias")))
+def refusal() -> Column:
+    """Why a record isn't read, by its status, payload, payload_type and adapter; null where it is."""
     allowed = F.lit(False)
     for name, kinds in ADAPTERS.items():
         allowed = allowed | ((F.col("adapter") == name) & F.col("payload_type").isin(list(kinds)))
     state = F.lower(F.coalesce("status", F.lit("")))
     broken = (F.col("payload_type") == "json") & A.parse(F.col("payload")).isNull()
-    refusal = (
+    return (
         F.when((state != "") & ~state.isin(PASSING_STATES), F.concat(F.lit("source status: "), F.col("status")))
         .when(F.trim("payload") == "", "empty payload")
         .when(~allowed, "unsupported payload type")
         .when(broken, "invalid JSON")
     )
-    r = r.withColumn("refusal", F.when(~F.col("skipped"), refusal))
+
+
+def normalize(records: DataFrame, only_provider: str | None = None, completed: DataFrame | None = None) -> Result:
+    """Offers, errors and outcomes of the records."""
+    r = records.withColumn("alias", alias(F.col("provider")))
+    if only_provider is not None:
+        r = r.where(F.col("alias") == only_provider)
+    r = keep_first(r, completed).withColumn("adapter", route(F.col("alias")))
+    r = r.withColumn("refusal", F.when(~F.col("skipped"), refusal()))
     open_ = r.where(~F.col("skipped") & F.col("refusal").isNull())
     found = extract(open_)
     checked = V.validate(open_, found)
