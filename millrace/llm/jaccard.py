@@ -344,9 +344,10 @@ def _with_least(edges: DataFrame, where: str, itself: bool = True) -> DataFrame:
         sizes = sizes.withColumn("m", F.least("u", "m"))
     # Hubs have FAN edges or more, so there are at most edges / FAN of them.
     hubs = sizes.where("__m > 1")
-    if hubs.isEmpty():
+    many = hubs.count()
+    if not many:
         return edges.join(sizes, "u").where(where).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    hubs = F.broadcast(hubs) if hubs.count() <= BROADCAST_IDS // 4 else hubs
+    hubs = F.broadcast(hubs) if many <= BROADCAST_IDS // 4 else hubs
     of_hubs = edges.join(hubs, "u").where(where)
     others = edges.join(hubs.select("u"), "u", "left_anti").join(sizes.where("__m <= 1"), "u").where(where)
     return of_hubs.select("v", "m").union(others.select("v", "m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
