@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from millrace.functions import api as A
 from millrace.functions import html as H
 from millrace.functions import text as T
-from millrace.operators import compare, offers, quality, sampling, sequence, validate
+from millrace.functions import tree as J
+from millrace.operators import audit, compare, evaluate, offers, quality, sampling, sequence, validate
 from millrace.plans import normalize
 from millrace.sources import snapshots
 
@@ -40,9 +41,14 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _dealt(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A table for costly work on each row."""
+    return snapshots.spread(_t(spark, d, name))
+
+
 def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A saved page for each part: a tariff card with a name, a speed and a monthly price."""
-    p = _t(spark, sf_dir, "part")
+    p = _dealt(spark, sf_dir, "part")
     price = F.floor("p_retailprice").cast("bigint").cast("string")
     page = F.concat(
         F.lit("<html><body><div><h2>Тариф Дома "), F.col("p_partkey").cast("string"), F.lit("</h2><p>"), (F.col("p_size") * 10).cast("string"), F.lit(" Мбит/с</p><p>"), price, F.lit(" руб./мес.</p></div></body></html>"),
@@ -67,7 +73,7 @@ query("offer_roundtrip", "select p_partkey, 'Тариф Дома ' || p_partkey
 def offer_old_price(spark, d):
     price = F.floor("p_retailprice").cast("bigint")
     block = F.concat_ws("\n", F.lit("Тариф Дома"), F.lit("100 Мбит/с"), (price + 100 + F.col("p_size")).cast("string"), F.concat(price.cast("string"), F.lit(" ₽ в месяц")), F.lit("Скидка новым абонентам"))
-    p = _t(spark, d, "part").select("p_partkey", block.alias("block"))
+    p = _dealt(spark, d, "part").select("p_partkey", block.alias("block"))
     p = p.withColumn("price", F.get(T.monthly_prices(F.col("block")), F.lit(0)))
     p = p.withColumn("price_old", T.standalone_old_price(T.lines(F.col("block")), F.col("price")))
     return p.select("p_partkey", F.col("price").cast("bigint").alias("price"), F.col("price_old").cast("bigint").alias("price_old"), T.discount_value(F.col("price_old"), F.col("price")).alias("discount"))
@@ -91,7 +97,7 @@ def offer_services(spark, d):
 def api_slider(spark, d):
     option = lambda i: F.struct(F.lit(i).alias("id"), F.struct((F.floor("p_retailprice") + i).alias("value")).alias("totalPrice"), F.struct((F.col("p_size") * i).alias("numValue")).alias("internetSpeed"))
     item = F.struct(F.col("p_name").alias("titleForCard"), F.struct(F.lit(1).alias("value")).alias("totalPrice"), F.array().cast("array<string>").alias("productFeatureGroups"), F.array(*map(option, (7, 8, 9))).alias("internetOptions"))
-    rows = _t(spark, d, "part").select("p_partkey", F.explode(A.variants(F.parse_json(F.to_json(item)))).alias("v"))
+    rows = _dealt(spark, d, "part").select("p_partkey", F.explode(A.variants(F.parse_json(F.to_json(item)))).alias("v"))
     f = rows.select("p_partkey", A.slider_facts(F.col("v.item"), F.col("v.option")).alias("f"))
     return f.select("p_partkey", "f.variant_id", F.col("f.price").cast("bigint").alias("price"), F.col("f.internet_speed_mbps").cast("bigint").alias("speed"))
 
@@ -106,7 +112,7 @@ def api_catalog(spark, d):
         F.array(F.struct(F.lit("speed").alias("name"), F.lit("300").alias("value"))).alias("parameters"),
     )
     body = F.struct(F.array(F.struct(F.lit("catalog").alias("alias"), F.struct(F.create_map(F.lit("g"), F.array(tariff)).alias("tariffs")).alias("data"))).alias("blocks"))
-    rows = _t(spark, d, "orders").select("o_orderkey", F.explode(A.items(F.parse_json(F.to_json(body)))).alias("i"))
+    rows = _dealt(spark, d, "orders").select("o_orderkey", F.explode(A.items(F.parse_json(F.to_json(body)))).alias("i"))
     f = rows.select("o_orderkey", A.parameter_facts(F.col("i")).alias("f"))
     return f.select("o_orderkey", "f.name", F.col("f.price").cast("bigint").alias("price"), "f.price_period", F.array_join("f.services", ",").alias("services"))
 
@@ -246,13 +252,13 @@ def stratified_sample(spark, d):
 
 @query("page_fingerprint_groups")
 def page_fingerprint_groups(spark, d):
-    r = _t(spark, d, "pages").select(F.lit("html").alias("payload_type"), "url", F.lit("").alias("city"), F.col("html").alias("payload"))
+    r = _dealt(spark, d, "pages").select(F.lit("html").alias("payload_type"), "url", F.lit("").alias("city"), F.col("html").alias("payload"))
     return sampling.fingerprint(r).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query("html_reduced")
 def html_reduced(spark, d):
-    r = H.with_reduced(_t(spark, d, "pages").select("page_id", F.col("html").alias("payload"), F.lit("").alias("city")))
+    r = H.with_reduced(_dealt(spark, d, "pages").select("page_id", F.col("html").alias("payload"), F.lit("").alias("city")))
     return r.select("page_id", "reduced.text", "reduced.original_chars", "reduced.reduced_chars", "reduced.candidate_blocks")
 
 
@@ -400,7 +406,7 @@ def numbers_in_text(spark, d):
     """select p_partkey, array_to_string(list_filter([case when p_size % 3 = 0 then 'empty name' end, case when p_size % 5 = 0 then 'invalid price' end, case when p_size % 7 = 0 and p_size % 5 <> 0 then 'price_old is lower than price' end, case when p_size % 11 = 0 then 'internet_speed_mbps=77.0 is not grounded' end], lambda x: x is not null), '; ') as errors from part""",
 )
 def offer_checks(spark, d):
-    p = _t(spark, d, "part")
+    p = _dealt(spark, d, "part")
     price = F.when(F.col("p_size") % 5 == 0, -F.lit(500.0)).otherwise(F.lit(500.0))
     own = {"name": F.when(F.col("p_size") % 3 == 0, " ").otherwise("Дом"), "price": price, "price_old": F.when(F.col("p_size") % 7 == 0, 400.0), "internet_speed_mbps": F.when(F.col("p_size") % 11 == 0, 77.0).otherwise(100.0)}
     kinds = {"name": "string", "variant_id": "string", "tv_channels": "int", "mobile_minutes": "int"}
@@ -415,6 +421,176 @@ def offer_checks(spark, d):
     return got.select(F.col("source_record_id").alias("p_partkey"), F.array_join(errors, "; ").alias("errors"))
 
 
+# -- offers held against their sources ----------------------------------------------
+
+
+def _told(faults: DataFrame) -> DataFrame:
+    return faults.groupBy(F.col("source_record_id").alias("p_partkey")).agg(F.array_join(F.array_sort(F.collect_list("error")), "; ").alias("errors"))
+
+
+@query(
+    "audit_items",
+    """with e as (select p_partkey, case when p_partkey % 2 = 0 and p_size % 11 = 0 then ['raw_offer is no item of the response']
+         when p_partkey % 2 = 0 then [case when p_size % 7 = 0 then 'internet_speed_mbps stands under no matching key' end, case when p_size % 3 = 0 then 'name differs from the source' end, case when p_size % 5 = 0 then 'price differs from the source' end]
+         else [case when p_size % 2 = 0 then 'cards or variants are missing, repeated or unexpected' end, case when p_size % 5 = 0 then 'price differs from the source' end] end as e from part)
+       select p_partkey, array_to_string(list_filter(e, lambda x: x is not null), '; ') as errors from e where len(list_filter(e, lambda x: x is not null)) > 0""",
+)
+def audit_items(spark, d):
+    """Flat items and slider cards of ``part``, read, then falsified, then audited."""
+    p = _dealt(spark, d, "part")
+    c, name, speed = F.floor("p_retailprice"), F.concat(F.lit("T"), F.col("p_partkey").cast("string")), F.col("p_size") * 10
+    flat = F.to_json(F.struct(F.struct(F.array(F.struct(name.alias("name"), c.alias("price"), speed.alias("speedVal"))).alias("items")).alias("data")))
+    option = lambda i: F.struct(F.lit(i).alias("id"), F.struct((c + i).alias("value")).alias("totalPrice"), F.struct(speed.alias("numValue")).alias("internetSpeed"))
+    card = F.struct(name.alias("titleForCard"), F.struct(F.lit(1).alias("value")).alias("totalPrice"), F.array().cast("array<string>").alias("productFeatureGroups"), F.array(option(7), option(8)).alias("internetOptions"))
+    payload = F.when(F.col("p_partkey") % 2 == 0, flat).otherwise(F.to_json(F.array(card)))
+    records = p.select(F.col("p_partkey").alias("source_record_id"), F.lit("json").alias("payload_type"), payload.alias("payload"), "p_size")
+    made = offers.json_offers(records).join(records.select("source_record_id", "p_size"), "source_record_id")
+    raw = F.when(F.col("option").isNull(), F.col("item")).otherwise(F.parse_json(F.concat(F.lit('{"offer":'), F.to_json("item"), F.lit(',"internet_option":'), F.to_json("option"), F.lit("}"))))
+    n, f = F.col("p_size"), F.col("facts")
+    even = F.col("source_record_id") % 2 == 0
+    made = made.withColumn("raw", F.when(even & (n % 11 == 0), F.parse_json(F.lit('{"name":"no"}'))).otherwise(raw))
+    made = made.where(even | (f["variant_id"] == "7") | (n % 2 == 1))
+    false = f.withField("price", f["price"] + F.when((n % 5 == 0) & (even | (f["variant_id"] == "7")), 1).otherwise(0)).withField("name", F.when(even & (n % 3 == 0), "X").otherwise(f["name"]))
+    false = false.withField("internet_speed_mbps", f["internet_speed_mbps"] + F.when(even & (n % 7 == 0), 0.5).otherwise(0))
+    return _told(audit.item_faults(records, made.select("source_record_id", "at", false.alias("facts"), "raw")))
+
+
+@query(
+    "audit_pages",
+    """select p_partkey, case p_size % 6 when 1 then 'name differs from its block' when 2 then 'price differs from its block; price is not a recurring monthly price'
+         when 3 then 'raw_offer is no block of the page' when 4 then 'expected 1 offers, got 0' else 'block used again; expected 1 offers, got 2' end as errors from part where p_size % 6 > 0""",
+)
+def audit_pages(spark, d):
+    """Offers of the cards of ``part``, falsified, then audited."""
+    records = part_pages(spark, d).withColumn("payload_type", F.lit("html"))
+    sizes = _t(spark, d, "part").select(F.col("p_partkey").alias("source_record_id"), (F.col("p_size") % 6).alias("k"))
+    made = offers.html_offers(records).join(sizes, "source_record_id").where("k <> 4")
+    k, f = F.col("k"), F.col("facts")
+    false = f.withField("name", F.when(k == 1, "X").otherwise(f["name"])).withField("price", f["price"] + F.when(k == 2, 1).otherwise(0))
+    block = F.when(k == 3, "other").otherwise(F.col("block"))
+    made = made.select("source_record_id", F.explode(F.when(k == 5, F.expr("array(0L, 1L)")).otherwise(F.expr("array(0L)"))).alias("at"), false.alias("facts"), F.to_json(F.struct(block.alias("block"))).alias("j"))
+    return _told(audit.page_faults(records, made.select("source_record_id", "at", "facts", F.parse_json("j").alias("raw"))))
+
+
+@query(
+    "price_kinds",
+    """select p_partkey, ['monthly', 'monthly', 'monthly', 'yearly', 'unspecified', null, 'monthly', null][p_partkey % 8 + 1] as kind from part""",
+)
+def price_kinds(spark, d):
+    texts = [
+        "Дом\n@c руб./мес", "Дом\nмесяц всего @c ₽", "Дом 100 Мбит/с\n@c\nмес", "Дом\n@c руб/год", "[UNSPECIFIED BILLING]\n[SOURCE PRICE] <span data-cost=\"@c\">x</span>", "Дом @c", '{speed: 100, price: "@c"}',
+        "Аренда @c ₽",
+    ]
+    c = F.floor("p_retailprice").cast("bigint").cast("string")
+    p = _dealt(spark, d, "part").select("p_partkey", F.floor("p_retailprice").cast("double").alias("price"), F.replace(F.get(F.lit(texts), (F.col("p_partkey") % 8).cast("int")), F.lit("@c"), c).alias("block"))
+    period = F.when(F.col("p_partkey") % 8 == 3, "год").when(F.col("p_partkey") % 8 != 4, "мес")
+    return p.select("p_partkey", audit.price_kind(F.col("price"), period, F.col("block")).alias("kind"))
+
+
+@query(
+    "json_omissions",
+    """select p_partkey, array_to_string(list_filter([case when p_size % 2 = 0 then 'price left out' end, case when p_size % 3 = 0 then 'price_old left out' end, case when p_size % 5 = 0 then 'internet_speed_mbps left out' end, case when p_size % 7 = 0 then 'service tv left out' end], lambda x: x is not null), '; ') as missing from part""",
+)
+def json_omissions(spark, d):
+    n, c = F.col("p_size"), F.floor("p_retailprice")
+    product = lambda code, speed=None: F.struct(F.lit(code).alias("productCode"), F.lit(None if speed is None else 1).cast("int").alias("x"), (F.lit(None) if speed is None else speed).cast("string").alias("speedVal"))
+    raw = F.struct(c.alias("price"), F.when(n % 3 == 0, c + 100).otherwise(c - 1).alias("price_old"), F.array(product("SHPD", F.concat(n.cast("string"), F.lit(" Мбит/с"))), product("IPTV"), product("NONE")).alias("products"))
+    facts = F.struct(
+        F.when(n % 2 == 1, c.cast("double")).alias("price"), F.lit(None).cast("double").alias("price_old"), F.when(n % 5 == 0, 0.0).otherwise(n.cast("double")).alias("internet_speed_mbps"),
+        F.when(n % 7 == 0, F.array(F.lit("internet"))).otherwise(F.array(F.lit("internet"), F.lit("tv"))).alias("services"),
+    )
+    rows = _t(spark, d, "part").select("p_partkey", F.parse_json(F.to_json(raw)).alias("raw"), facts.alias("facts"))
+    return rows.select("p_partkey", F.array_join(audit.omissions(F.col("facts"), F.col("raw")), "; ").alias("missing"))
+
+
+@query(
+    "json_walk",
+    """select p_partkey, cast(4 + p_size % 3 as bigint) as n_dicts, cast(p_partkey + case when p_size = p_partkey then 0 else p_size end + 0.5 as double) as total, case when p_size % 2 = 0 then 'b' else 'c' end as first, cast(p_size % 3 as bigint) as n_items from part""",
+)
+def json_walk(spark, d):
+    """All objects, numbers under a key, the first filled field, and a list five keys deep."""
+    n = F.col("p_size")
+    rows = F.transform(F.sequence(F.lit(0), n % 3), lambda i: F.struct(i.alias("i")))
+    deep = F.struct(F.struct(F.slice(rows, F.lit(1), n % 3).alias("list")).alias("items"))
+    flat = F.struct(F.col("p_partkey").alias("speed"), F.array(F.struct(n.alias("speed"), F.lit("7").alias("other"))).alias("z"), F.struct(F.lit(0.5).alias("speed"), F.lit("9").alias("t")).alias("w"))
+    named = F.struct(F.lit("").alias("a"), F.when(n % 2 == 0, "b").otherwise("").alias("b"), F.lit("c").alias("c"))
+    p = _dealt(spark, d, "part").select("p_partkey", *[F.parse_json(F.to_json(x)).alias(k) for k, x in (("flat", flat), ("named", named))], F.parse_json(F.to_json(F.struct(F.struct(deep.alias("result")).alias("data")))).alias("deep"))
+    return p.select(
+        "p_partkey", F.size(J.dicts(F.col("deep"))).cast("bigint").alias("n_dicts"), F.aggregate(J.numbers_under(F.col("flat"), ["speed"]), F.lit(0.0), lambda a, b: a + b).alias("total"),
+        A.first_field(F.col("named"), ["a", "b", "c"], "string").alias("first"), F.size(A.items(F.col("deep"))).cast("bigint").alias("n_items"),
+    )
+
+
+@query(
+    "bag_differences",
+    """with a as (select l_partkey % 50 as k, count(*) as n from lineitem where l_returnflag = 'A' group by 1), b as (select l_partkey % 50 as k, count(*) as n from lineitem where l_returnflag = 'R' group by 1)
+       select cast(coalesce(a.k, b.k) as bigint) as k, coalesce(a.n, 0) as in_a, coalesce(b.n, 0) as in_b from a full join b on a.k = b.k where coalesce(a.n, 0) <> coalesce(b.n, 0)""",
+)
+def bag_differences(spark, d):
+    rows = _t(spark, d, "lineitem").select((F.col("l_partkey") % 50).alias("k"), "l_returnflag")
+    return audit.bag_differences(rows.where("l_returnflag = 'A'"), rows.where("l_returnflag = 'R'"), ["k"])
+
+
+# -- attempts -----------------------------------------------------------------------
+
+
+def _attempts(spark, d):
+    n = F.col("o_orderkey")
+    return _t(spark, d, "orders").select(
+        F.col("o_orderkey").alias("source_record_id"), "o_orderstatus", (F.col("o_custkey") % 5).alias("attempt"), (F.col("o_orderpriority") != "1-URGENT").alias("ok"), (F.col("o_custkey") % 4).alias("n_offers"),
+        F.slice(F.array(F.lit("a"), F.lit("b")), F.lit(1), (n % 3).cast("int")).alias("problems"),
+    )
+
+
+_EVALUATED = """select o_orderstatus, {keys} count(*) filter (o_orderpriority <> '1-URGENT') as passed, count(*) filter (o_orderpriority = '1-URGENT') as failed, cast(sum(o_custkey % 4) as bigint) as offers,
+         cast(sum(case when o_orderpriority = '1-URGENT' then greatest(1, o_orderkey % 3) else 0 end) as bigint) as violations from orders group by all"""
+
+
+@query("evaluation_score", f"select *, 1000 * passed + offers - 2000 * failed - 50 * violations as score from ({_EVALUATED.format(keys='')})")
+def evaluation_score(spark, d):
+    return evaluate.evaluation(_attempts(spark, d), "o_orderstatus")
+
+
+@query("attempt_choice", f"select o_orderstatus, arg_max(attempt, (1000 * passed + offers - 2000 * failed - 50 * violations, -attempt)) as attempt from ({_EVALUATED.format(keys='o_custkey % 5 as attempt,')}) group by o_orderstatus")
+def attempt_choice(spark, d):
+    return evaluate.best_attempt(_attempts(spark, d), "o_orderstatus", "attempt")
+
+
+@query("split_prints", "select event_type as split, array_to_string(list_sort(list(distinct cast(user_id % 7 as varchar))), ',') as fingerprints from events group by event_type")
+def split_prints(spark, d):
+    rows = _t(spark, d, "events").select(F.col("event_type").alias("split"), (F.col("user_id") % 7).cast("string").alias("fingerprint"))
+    return evaluate.split_prints(rows).select("split", F.array_join("fingerprints", ",").alias("fingerprints"))
+
+
+@query("repair_lookup", "select o_orderkey, o_totalprice from orders where o_orderkey = (select min(o_orderkey) from orders where o_orderpriority = '1-URGENT')")
+def repair_lookup(spark, d):
+    records = _t(spark, d, "orders").select(F.col("o_orderkey").alias("source_record_id"), "o_totalprice")
+    return evaluate.to_repair(_attempts(spark, d), records, "source_record_id").select(F.col("source_record_id").alias("o_orderkey"), "o_totalprice")
+
+
+@query(
+    "run_counters",
+    """select count(*) as rows, count(*) filter (o_orderkey % 5 > 0 and o_orderkey % 2 = 1) as llm_calls, count(*) filter (o_orderkey % 5 > 0 and o_orderkey % 2 = 0) as cache_hits,
+         cast(sum(o_custkey % 4) filter (o_orderkey % 5 > 0) as bigint) as offers, count(*) filter (o_orderkey % 5 > 0 and o_orderstatus = 'F') as unavailable, count(*) filter (o_orderkey % 5 = 0) as errors from orders""",
+)
+def run_counters(spark, d):
+    n = F.col("o_orderkey")
+    rows = _t(spark, d, "orders").select((n % 2 == 0).alias("cached"), (F.col("o_custkey") % 4).alias("n_offers"), F.when(F.col("o_orderstatus") == "F", "unavailable").otherwise("available").alias("availability"), F.when(n % 5 == 0, "x").alias("error"))
+    return evaluate.run_counters(rows)
+
+
+@query("pending_rows", "select c_custkey, c_mktsegment as city from customer where contains(lower(c_mktsegment), 'auto') and c_custkey % 3 <> 0 order by c_custkey limit 10")
+def pending_rows(spark, d):
+    rows = _t(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("city"))
+    return compare.pending(rows, rows.where("c_custkey % 3 = 0"), "c_custkey", "c_custkey", city="AUTO", limit=10)
+
+
+@query("first_terms", "select p_partkey, list_filter(string_split(p_name, ' '), lambda x: contains(lower(x), 'e') or contains(lower(x), 'a'))[1] as word, nullif(list_filter(string_split(p_name, ' '), lambda x: x <> '')[1], '') as first from part")
+def first_terms(spark, d):
+    words = F.split("p_name", " ")
+    return _t(spark, d, "part").select("p_partkey", T.first_with(words, "E", "a").alias("word"), T.first_with(words).alias("first"))
+
+
 # -- pages -------------------------------------------------------------------------
 
 
@@ -424,7 +600,7 @@ def offer_checks(spark, d):
 )
 def html_visible_text(spark, d):
     page = F.concat(F.lit("<title>"), "p_name", F.lit("</title><style>p{}</style><p>"), "p_type", F.lit("</p><script>var a=1;</script><svg><text>no</text></svg><br><i>"), F.col("p_size").cast("string"), F.lit("</i>&nbsp;&lt;b&gt;<noscript>no</noscript>"))
-    return H.with_visible_text(_t(spark, d, "part").select("p_partkey", page.alias("html"))).select("p_partkey", "visible")
+    return H.with_visible_text(_dealt(spark, d, "part").select("p_partkey", page.alias("html"))).select("p_partkey", "visible")
 
 
 @query(
@@ -453,7 +629,7 @@ def card_families(spark, d):
     page = F.get(F.lit(pages), (F.col("p_partkey") % 6).cast("int"))
     for mark, value in marks.items():
         page = F.replace(page, F.lit(mark), value)
-    got = H.with_candidates(_t(spark, d, "part").select("p_partkey", page.alias("payload")))
+    got = H.with_candidates(_dealt(spark, d, "part").select("p_partkey", page.alias("payload")))
     return got.select("p_partkey", F.replace(F.array_join(F.transform("candidates", lambda x: x["block"]), "#"), F.lit("\n"), F.lit("|")).alias("card"))
 
 
@@ -507,4 +683,4 @@ def scalar_prices(spark, d):
     c = F.floor("p_retailprice").cast("bigint").cast("string")
     block = F.concat(F.lit("Тариф\n"), F.col("p_size").cast("string"), F.lit(" Гбит/с\n"), c, F.lit(" ₽\nв месяц\nАренда роутера\n150 руб/мес"))
     pair = F.concat((F.col("p_size") * 200).cast("string"), F.lit("/"), (F.col("p_size") * 100).cast("string"), F.lit(" Мбит/с"))
-    return _t(spark, d, "part").select("p_partkey", F.get(T.monthly_prices(block), F.lit(0)).alias("monthly"), F.get(T.speeds(block), F.lit(0)).alias("speed"), F.get(T.speeds(pair), F.lit(1)).alias("second"))
+    return _dealt(spark, d, "part").select("p_partkey", F.get(T.monthly_prices(block), F.lit(0)).alias("monthly"), F.get(T.speeds(block), F.lit(0)).alias("speed"), F.get(T.speeds(pair), F.lit(1)).alias("second"))

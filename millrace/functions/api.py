@@ -6,9 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import text as T
+from . import tree as J
+from .tree import is_list, is_object
 
 # Where lists of items stand, features and parameters that carry allowances.
 LIST_KEYS = ["list", "items", "offers", "tariffs", "data", "result"]
+LIST_DEPTH = 32
 FACT_DDL = (
     "struct<name:string,variant_id:string,price:double,price_old:double,price_period:string,connection_cost:double,technology:string,"
     "internet_speed_mbps:double,tv_channels:int,mobile_minutes:int,mobile_data_gb:double,services:array<string>,conditions:array<string>,"
@@ -25,14 +28,6 @@ def get(v: Column, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(v, path, kind)
 
 
-def is_object(v: Column) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.lit(False))
-
-
-def is_list(v: Column) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("ARRAY")), F.lit(False))
-
-
 def text_of(v: Column, path: str) -> Column:
     return get(v, path, "string")
 
@@ -44,6 +39,12 @@ def number_of(v: Column, path: str) -> Column:
     return F.when(kind.rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT)"), get(v, path, "double")).when(kind == "STRING", T.number(get(v, path, "string")))
 
 
+def first_field(v: Column, keys: list[str], kind: str = "variant") -> Column:
+    """The first of the keys that holds something: no null, empty text, list or object."""
+    full = lambda k: ~F.coalesce(F.to_json(get(v, f"$.{k}")).isin("null", '""', "[]", "{}"), F.lit(True))
+    return F.coalesce(*[F.when(full(k), get(v, f"$.{k}", kind)) for k in keys])
+
+
 def truthy(v: Column, path: str) -> Column:
     """Whether a field holds something: no null, false, zero, empty text, list or object."""
     x = get(v, path)
@@ -63,19 +64,8 @@ def items(v: Column) -> Column:
     none = F.array().cast("array<variant>")
     flat = F.flatten(F.transform(catalog, lambda b: F.coalesce(tariffs(b), none)))
 
-    def lists(x, depth: int):
-        # The first key that holds a list; an object there is looked into.
-        found = []
-        for k in LIST_KEYS:
-            child = get(x, f"$.{k}")
-            found.append(F.when(is_list(child), F.try_variant_get(child, "$", "array<variant>")))
-            if depth:
-                inner = lists(child, depth - 1)
-                found.append(F.when(is_object(child) & (F.size(inner) > 0), inner))
-        return F.coalesce(*found, none)
-
-    raw = F.when(is_list(get(v, "$.blocks")), flat).when(is_list(v), F.try_variant_get(v, "$", "array<variant>")).when(is_object(v), lists(v, 1)).otherwise(none)
-    return F.filter(raw, is_object)
+    raw = F.when(is_list(get(v, "$.blocks")), flat).when(is_list(v), F.try_variant_get(v, "$", "array<variant>")).otherwise(J.first_list(v, LIST_KEYS, LIST_DEPTH))
+    return F.coalesce(F.filter(raw, is_object), none)
 
 
 def kind(v: Column) -> Column:

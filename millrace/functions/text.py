@@ -97,6 +97,13 @@ def doubles(found: Column) -> Column:
     return F.filter(F.transform(found, plain_double), lambda x: x.isNotNull())
 
 
+def first_with(items: Column, *terms: str) -> Column:
+    """The first text that contains one of the terms, regardless of case; without terms the first that isn't empty."""
+    low = [t.lower() for t in terms]
+    hit = lambda x: F.exists(F.lit(low), lambda t: F.contains(F.lower(x), t)) if low else x != ""
+    return F.get(F.filter(items, hit), F.lit(0))
+
+
 def evidence_fragment(payload: Column, needle: Column, radius: int = 100) -> Column:
     """The payload's stretch around the needle, regardless of case; empty where it isn't found."""
     n = F.trim(needle)

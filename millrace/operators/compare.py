@@ -46,6 +46,14 @@ def resume(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return rows.join(done.select(key).distinct(), key, "left_anti")
 
 
+def pending(rows: DataFrame, done: DataFrame, key: str, order: str, city: str | None = None, limit: int | None = None) -> DataFrame:
+    """Rows still to do: of cities that contain a text, not done yet, and of those the first ones."""
+    if city is not None:
+        rows = rows.where(F.contains(F.lower("city"), F.lower(F.lit(city))))
+    rows = resume(rows, done, key)
+    return rows if limit is None else rows.orderBy(order).limit(limit)
+
+
 def with_locality(rows: DataFrame, localities: DataFrame, city: str = "city") -> DataFrame:
     """``locality_id`` by the city's name in lower case; the map is read from one file and small by nature."""
     small = localities.count() <= 1_000_000

@@ -177,3 +177,32 @@ def test_samples_take_turns(spark):
     d = spark.createDataFrame([(i, "a" if i < 8 else "b") for i in range(12)], "i int, g string")
     got = sampling.stratified(d, "g", "i", 2, 1, 1).orderBy("place").collect()
     assert [(r.i, r.split) for r in got] == [(0, "train"), (8, "train"), (1, "holdout"), (9, "smoke")]
+
+
+def test_lists_at_any_depth(spark):
+    from millrace.functions import tree as J
+
+    rows = ['{"data":{"result":{"items":{"list":[{"a":1}]}}}}', '{"list":[],"items":[{"a":2}]}', '{"data":{"list":[]},"result":[{"z":3},3]}', "7", None, "[]", "bad"]
+    v = A.parse(F.col("p"))
+    got = spark.createDataFrame([(r,) for r in rows], "p string").select(F.transform(A.items(v), lambda x: F.to_json(x)).alias("i"), J.numbers_under(v, ["a", "z"]).alias("n")).collect()
+    # A list ends its object's turn, even an empty one.
+    assert [r.i for r in got] == [['{"a":1}'], [], ['{"z":3}'], [], [], [], []]
+    assert [r.n for r in got[:3]] == [[1.0], [2.0], [3.0]]
+    deep = '{"data":' * 33 + "{}" + "}" * 33
+    with pytest.raises(Exception, match="deeper"):
+        spark.createDataFrame([(deep,)], "p string").select(A.items(v)).collect()
+
+
+def test_audit_of_odd_tables(spark):
+    from millrace.operators import audit
+
+    records = spark.createDataFrame([("a", "json", '[{"name":"x","price":5}]'), ("b", "json", "bad"), ("c", "html", "")], "source_record_id string, payload_type string, payload string")
+    none = spark.createDataFrame([], f"source_record_id string, at long, facts {A.FACT_DDL}, raw variant")
+    # Flat items without offers are another check's matter; nothing is there to compare.
+    assert audit.faults(records, none).collect() == []
+    one = spark.createDataFrame([("a", '{"name":"x","price":5}'), ("b", '{"name":"x"}')], "source_record_id string, j string")
+    nothing = {"price": F.lit(5.0), "name": F.lit(" X")}
+    names = [f.split(":")[0] for f in ("name", "variant_id", "price")]
+    facts = F.from_json(F.to_json(F.struct(*[nothing.get(n, F.lit(None).cast("string")).alias(n) for n in names])), A.FACT_DDL)
+    got = audit.item_faults(records, one.select("source_record_id", F.lit(0).cast("long").alias("at"), facts.alias("facts"), F.parse_json("j").alias("raw"))).collect()
+    assert [(r.source_record_id, r.error) for r in got] == [("b", "raw_offer is no item of the response")]
