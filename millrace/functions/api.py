@@ -201,40 +201,51 @@ def embedded_price(base, extra, increment, percent, bundle, house, has_sale, sco
 def embedded_facts(source: Column) -> Column:
     """Tariffs from a page's embedded data: price, option, house and sale arithmetic."""
     item = get(source, "$.wifire_tariff")
-    house = text_of(source, "$.house_type") == "house"
-    option = text_of(source, "$.speed_option")
     options = F.map_filter(F.try_variant_get(get(item, "$.di_options"), "$", "map<string,variant>"), lambda k, v: ~F.coalesce(F.to_json(v).isin('""', "null"), F.lit(True)))
-    bundle = F.coalesce(F.size(options) > 0, F.lit(False))
     zero = lambda c: F.coalesce(c, F.lit(0.0))
-    chosen = F.try_element_at(options, option)
-    increment = zero(number_of(chosen, "$"))
-    base, extra, percent = zero(number_of(item, "$.price")), zero(number_of(item, "$.di_priceOwnHouse")), zero(number_of(item, "$.sale.sale"))
-    has_sale = truthy(item, "$.sale.text")
-    price, old = embedded_price(base, extra, increment, percent, bundle, house, has_sale, text_of(item, "$.sale.scope"), number_of(item, "$.priceOwnHouse"))
-    channels, data, bonus = zero(number_of(item, "$.tvchan")), number_of(item, "$.inet"), number_of(item, "$.mobile_inet")
     shown = lambda c: F.when(c == F.floor(c), c.cast("long").cast("string")).otherwise(c.cast("string"))
-    sale = F.concat(F.lit("Скидка "), text_of(item, "$.sale.text"), F.lit(": "), F.coalesce(text_of(item, "$.sale.duration"), F.lit("")), F.lit("; "), F.coalesce(text_of(item, "$.sale.date"), F.lit("")))
-    unlimited = bundle & (data == 999)
-    return _facts(
-        name=T.repair_mojibake(F.coalesce(T.present(text_of(item, "$.name")), text_of(source, "$.tariff_id"))),
-        variant_id=F.concat_ws(":", text_of(source, "$.tariff_id"), text_of(source, "$.house_type"), option),
-        price=price,
-        price_old=F.when(old > price, old),
-        price_period=F.lit("мес"),
-        connection_cost=number_of(item, "$.connection_fee"),
-        internet_speed_mbps=T.number(F.substring_index(option, "_", 1)),
-        tv_channels=F.when((channels != 0) & ~bundle, channels).cast("int"),
-        mobile_minutes=F.when(bundle, number_of(item, "$.minutes")).cast("int"),
-        mobile_data_gb=F.when(bundle & ~F.coalesce(unlimited, F.lit(False)), data),
-        services=_some(F.lit("internet"), F.when((channels != 0) & ~bundle, F.lit("tv")), F.when(bundle, F.lit("mobile"))),
-        conditions=_some(
-            F.when(house, F.lit("Тип подключения: частный дом")).otherwise("Тип подключения: квартира"),
-            F.when(has_sale & ~house, T.repair_mojibake(sale)),
-            F.when(unlimited, F.lit("Безлимитный мобильный интернет")),
-            F.when(~bundle & (bonus != 0), F.concat(F.lit("Бонусный мобильный интернет: "), shown(bonus), F.lit(" ГБ к основному тарифу"))),
-        ),
-        optional_services=_some(F.when((channels != 0) & bundle, F.concat(F.lit("Телевидение: доступно "), shown(channels), F.lit(" каналов; подключение за отдельную плату")))),
-    )
+    fields = F.struct(
+        (text_of(source, "$.house_type") == "house").alias("house"), text_of(source, "$.speed_option").alias("option"), options.alias("options"), zero(number_of(item, "$.price")).alias("base"),
+        zero(number_of(item, "$.di_priceOwnHouse")).alias("extra"), zero(number_of(item, "$.sale.sale")).alias("percent"), truthy(item, "$.sale.text").alias("has_sale"), text_of(item, "$.sale.scope").alias("scope"),
+        number_of(item, "$.priceOwnHouse").alias("house_price"), zero(number_of(item, "$.tvchan")).alias("channels"), number_of(item, "$.inet").alias("data"), number_of(item, "$.mobile_inet").alias("bonus"),
+    )
+
+    def chosen(x: Column) -> Column:
+        increment = zero(number_of(F.try_element_at(x["options"], x["option"]), "$"))
+        return T.let(F.struct(x.alias("x"), F.coalesce(F.size(x["options"]) > 0, F.lit(False)).alias("bundle"), increment.alias("increment")), priced)
+
+    def priced(y: Column) -> Column:
+        x = y["x"]
+        price, old = embedded_price(x["base"], x["extra"], y["increment"], x["percent"], y["bundle"], x["house"], x["has_sale"], x["scope"], x["house_price"])
+        return T.let(F.struct(x.alias("x"), y["bundle"].alias("bundle"), price.alias("price"), old.alias("old")), told)
+
+    def told(p: Column) -> Column:
+        x, bundle, price, old = p["x"], p["bundle"], p["price"], p["old"]
+        house, option, has_sale, channels, data, bonus = (x[c] for c in ("house", "option", "has_sale", "channels", "data", "bonus"))
+        sale = F.concat(F.lit("Скидка "), text_of(item, "$.sale.text"), F.lit(": "), F.coalesce(text_of(item, "$.sale.duration"), F.lit("")), F.lit("; "), F.coalesce(text_of(item, "$.sale.date"), F.lit("")))
+        unlimited = bundle & (data == 999)
+        return _facts(
+            name=T.repair_mojibake(F.coalesce(T.present(text_of(item, "$.name")), text_of(source, "$.tariff_id"))),
+            variant_id=F.concat_ws(":", text_of(source, "$.tariff_id"), text_of(source, "$.house_type"), option),
+            price=price,
+            price_old=F.when(old > price, old),
+            price_period=F.lit("мес"),
+            connection_cost=number_of(item, "$.connection_fee"),
+            internet_speed_mbps=T.number(F.substring_index(option, "_", 1)),
+            tv_channels=F.when((channels != 0) & ~bundle, channels).cast("int"),
+            mobile_minutes=F.when(bundle, number_of(item, "$.minutes")).cast("int"),
+            mobile_data_gb=F.when(bundle & ~F.coalesce(unlimited, F.lit(False)), data),
+            services=_some(F.lit("internet"), F.when((channels != 0) & ~bundle, F.lit("tv")), F.when(bundle, F.lit("mobile"))),
+            conditions=_some(
+                F.when(house, F.lit("Тип подключения: частный дом")).otherwise("Тип подключения: квартира"),
+                F.when(has_sale & ~house, T.repair_mojibake(sale)),
+                F.when(unlimited, F.lit("Безлимитный мобильный интернет")),
+                F.when(~bundle & (bonus != 0), F.concat(F.lit("Бонусный мобильный интернет: "), shown(bonus), F.lit(" ГБ к основному тарифу"))),
+            ),
+            optional_services=_some(F.when((channels != 0) & bundle, F.concat(F.lit("Телевидение: доступно "), shown(channels), F.lit(" каналов; подключение за отдельную плату")))),
+        )
+
+    return T.let(fields, chosen)
 
 
 def flat_facts(item: Column) -> Column:

@@ -6,6 +6,8 @@ Cyrillic: Java matches them case-insensitively, and as word characters, only the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,6 +59,11 @@ def _lit(pattern: str) -> Column:
     return F.lit(pattern)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is in the plan, and computed, once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def plain_double(c: Column) -> Column:
     """A number's text without grouping blanks, comma as point; null where that is no number."""
     return F.expr("1") if c is None else F.translate(c, ",  \t", ".").try_cast("double")
