@@ -193,13 +193,16 @@ def _marks(c: Column, chars: str) -> Column:
 
 def repair_mojibake(c: Column) -> Column:
     """UTF-8 that was read as Latin-1 put right, up to twice, while the marks of it become fewer."""
-    for _ in range(2):
-        latin = c.rlike(r"^[\x00-\xFF]*$")
-        raw = F.encode(F.when(latin, c), "ISO-8859-1")
-        back = F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string"))
-        better = c.rlike("[ÐÑÃÂ]") & back.isNotNull() & (_marks(back, "ÐÑÃ") < _marks(c, "ÐÑÃ"))
-        c = F.when(better, back).otherwise(c)
-    return c
+
+    def better(x: Column, back: Column) -> Column:
+        fewer = x.rlike("[ÐÑÃÂ]") & F.is_valid_utf8(back) & (_marks(back, "ÐÑÃ") < _marks(x, "ÐÑÃ"))
+        return F.when(fewer, back).otherwise(x)
+
+    def once(x: Column) -> Column:
+        latin = F.when(x.rlike(r"^[\x00-\xFF]*$"), x)
+        return let(F.encode(latin, "ISO-8859-1").cast("string"), lambda back: better(x, back))
+
+    return let(let(c, once), once)
 
 
 def safe_name(c: Column, size: int = 100) -> Column:
