@@ -42,12 +42,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/millrace-{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    atexit.register(remove, spark, path)
     return path
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """Best effort, at the end of the process: the session may be gone."""
+def remove(spark: SparkSession, path: str) -> None:
+    """Best effort: at the end of the process the session may be gone."""
     try:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -42,7 +42,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, crc_fold, partitions, release, shared_dir, ship_package, splitmix, stored, table, words
+from .common import chunks, crc_fold, partitions, release, remove, shared_dir, ship_package, splitmix, stored, table, words
 from .eliasfano import EliasFano, mapped, named, opened, pack
 
 ORDER = 3
@@ -109,21 +109,26 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """A file of level 1: sorted hashes and counts."""
+    """A file of level 1: sorted hashes, and running sums of their counts."""
 
     def __init__(self, path: str):
         a, m = mapped(path)
-        self.hashes, self.counts = opened("hashes", a, m), a["counts"]
+        self.hashes, self.sums = opened("hashes", a, m), opened("sums", a, m)
 
     @staticmethod
     def data(key: np.ndarray, n: np.ndarray) -> bytes:
-        arrays, meta = {"counts": n.astype(np.int64)}, {}
+        arrays, meta = {}, {}
         named("hashes", EliasFano.build(key), arrays, meta)
+        named("sums", EliasFano.build(np.concatenate([[0], np.cumsum(n)])), arrays, meta)
         return pack(arrays, meta)
 
     def find(self, key: np.ndarray) -> np.ndarray:
         return self.hashes.find(key)
 
+    def counts(self, at: np.ndarray) -> np.ndarray:
+        lo, hi = self.sums.pair(at)
+        return hi - lo
+
 
 class Grams:
     """A file of a level from 2 on."""
@@ -198,7 +203,7 @@ class Level:
                 self.open[i] = Words(local_path(f"{self.folder}/{self.files[i][1]}"))
             j = self.open[i].find(uniq[at[i] : at[i + 1]])
             ok = np.flatnonzero(j >= 0)
-            got[at[i] + ok] = self.open[i].counts[j[ok]]
+            got[at[i] + ok] = self.open[i].counts(j[ok])
         return got[back]
 
 
@@ -331,24 +336,30 @@ def _summed(context: np.ndarray, word: np.ndarray, n: np.ndarray):
 _CODEC = "zstd"
 
 
+def _planes(x: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(len(x), -1).T[:width]).tobytes()
+
+
 def _block(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> bytes:
-    """Sorted n-grams as compressed byte planes: differences of contexts, words, counts."""
-    step = np.diff(context, prepend=np.uint64(0))
-    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T[:w]).tobytes() for x, w in ((step, 8), (word, WORD_BITS // 8), (n.astype(np.uint64), 8))]
-    return len(n).to_bytes(8, "little") + pa.Codec(_CODEC, 1).compress(b"".join(planes), asbytes=True)
+    """Sorted n-grams as compressed byte planes: differences of contexts, places in the sorted list of distinct words, counts, and that list's differences."""
+    listed, at = np.unique(word, return_inverse=True)
+    step = lambda x: np.diff(x, prepend=np.uint64(0))
+    planes = _planes(step(context), 8) + _planes(at, 4) + _planes(n, 8) + _planes(step(listed), WORD_BITS // 8)
+    return len(n).to_bytes(8, "little") + len(listed).to_bytes(8, "little") + pa.Codec(_CODEC, 1).compress(planes, asbytes=True)
 
 
 def _unblock(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    m = int.from_bytes(raw[:8], "little")
-    widths = (8, WORD_BITS // 8, 8)
-    x = np.frombuffer(pa.Codec(_CODEC).decompress(raw[8:], m * sum(widths), asbytes=True), np.uint8)
+    m, d = int.from_bytes(raw[:8], "little"), int.from_bytes(raw[8:16], "little")
+    shape = ((m, 8), (m, 4), (m, 8), (d, WORD_BITS // 8))
+    x = np.frombuffer(pa.Codec(_CODEC).decompress(raw[16:], sum(r * w for r, w in shape), asbytes=True), np.uint8)
     out, at = [], 0
-    for w in widths:
-        full = np.zeros((m, 8), np.uint8)
-        full[:, :w] = x[at : at + w * m].reshape(w, m).T
+    for r, w in shape:
+        full = np.zeros((r, 8), np.uint8)
+        full[:, :w] = x[at : at + w * r].reshape(w, r).T
         out.append(full.reshape(-1).view(np.uint64))
-        at += w * m
-    return np.cumsum(out[0], dtype=np.uint64), out[1], out[2].astype(np.int64)
+        at += w * r
+    step, place, n, listed = out
+    return np.cumsum(step, dtype=np.uint64), np.cumsum(listed, dtype=np.uint64)[place.astype(np.int64)], n.astype(np.int64)
 
 
 def train(texts: DataFrame, order: int = ORDER) -> Trie:
@@ -382,6 +393,7 @@ def train(texts: DataFrame, order: int = ORDER) -> Trie:
     trie = Trie(total["n"], total["v"], _words_files(level1, folder, total["v"]))
     # At most total / FILE_ROWS words can be that frequent.
     hot = [(int(splitmix(np.uint64(r["key"]))), r["n"], 0) for r in level1.where(F.col("n") > FILE_ROWS).collect()]
+    remove(spark, f"{folder}/words")  # level 1 has them
     for k in range(2, order + 1):
         nodes, hot = _add_level(texts, folder, k, total["n"], hot)
         trie.levels.append(nodes)

@@ -167,6 +167,17 @@ def test_ngram_scores_match_counts(docs):
         assert r.score == pytest.approx(want, rel=0.02, abs=0.02)
 
 
+@pytest.mark.parametrize("rows", [1, 2, 5000])
+def test_ngram_blocks_come_back(rows):
+    rng = np.random.default_rng(rows)
+    context = np.sort(rng.integers(0, 2**64, rows, np.uint64, endpoint=False))
+    context[rows // 2 :] = context[-1]
+    word = rng.choice(rng.integers(0, 2**ngram.WORD_BITS, 300, np.uint64), rows)
+    n = rng.integers(1, 2**40, rows)
+    for a, b in zip((context, word, n), ngram._unblock(ngram._block(context, word, n))):
+        assert a.tolist() == b.tolist()
+
+
 def test_ngram_files_of_common_contexts(docs, monkeypatch):
     """Scores don't depend on how a level is cut into files, nor on a context that lies in several."""
     d = docs.select("doc_id", F.lit(False).alias("held_out"), "text").unionByName(docs.sparkSession.createDataFrame([(1000 + i, False, f"the same the w{i % 37} the v{i} end") for i in range(300)], "doc_id long, held_out boolean, text string"))
