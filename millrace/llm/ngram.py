@@ -109,25 +109,28 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """A file of level 1: sorted hashes, and running sums of their counts."""
+    """A file of level 1: sorted hashes, and counts of a byte each; 255 stands for those kept apart."""
 
     def __init__(self, path: str):
         a, m = mapped(path)
-        self.hashes, self.sums = opened("hashes", a, m), opened("sums", a, m)
+        self.hashes = opened("hashes", a, m)
+        self.small, self.at, self.large = (a[k] for k in ("small", "at", "large"))
 
     @staticmethod
     def data(key: np.ndarray, n: np.ndarray) -> bytes:
-        arrays, meta = {}, {}
+        at = np.flatnonzero(n >= 255)
+        arrays, meta = {"small": np.minimum(n, 255).astype(np.uint8), "at": at, "large": n[at].astype(np.int64)}, {}
         named("hashes", EliasFano.build(key), arrays, meta)
-        named("sums", EliasFano.build(np.concatenate([[0], np.cumsum(n)])), arrays, meta)
         return pack(arrays, meta)
 
     def find(self, key: np.ndarray) -> np.ndarray:
         return self.hashes.find(key)
 
     def counts(self, at: np.ndarray) -> np.ndarray:
-        lo, hi = self.sums.pair(at)
-        return hi - lo
+        out = self.small[at].astype(np.int64)
+        large = np.flatnonzero(out == 255)
+        out[large] = self.large[np.searchsorted(self.at, at[large])]
+        return out
 
 
 class Grams:
@@ -325,12 +328,28 @@ def _words_files(df: DataFrame, folder: str, rows: int) -> Level:
     return Level(folder, sorted((r["least"], r["file"], r["n"]) for r in out.collect()))
 
 
-def _summed(context: np.ndarray, word: np.ndarray, n: np.ndarray):
-    """Sorted distinct (context, word) with their counts."""
-    order = np.lexsort((word, context))
+def _summed(context: np.ndarray, word: np.ndarray, n: np.ndarray | None = None):
+    """Sorted distinct (context, word) with their counts; without ``n`` each row counts once."""
+    if not len(context):
+        return context, word, np.zeros(0, np.int64)
+    order = np.argsort(context)
     context, word = context[order], word[order]
-    begin = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])])) if len(order) else np.zeros(0, np.int64)
-    return context[begin], word[begin], np.add.reduceat(n[order], begin) if len(order) else n
+    new = np.concatenate([[True], context[1:] != context[:-1]])
+    rank, uniq = np.cumsum(new) - 1, context[new]
+    if rank[-1] >> (64 - WORD_BITS):  # too many contexts for a key of rank and word
+        again = np.lexsort((word, rank))
+    else:
+        key = (rank.astype(np.uint64) << np.uint64(WORD_BITS)) | word
+        if n is None:
+            key = np.sort(key)
+            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            key = key[begin]
+            return uniq[(key >> np.uint64(WORD_BITS)).astype(np.int64)], key & np.uint64((1 << WORD_BITS) - 1), np.diff(np.append(begin, len(rank)))
+        again = np.argsort(key)
+    rank, word = rank[again], word[again]
+    n = np.ones(len(rank), np.int64) if n is None else n[order[again]]
+    begin = np.flatnonzero(np.concatenate([[True], (rank[1:] != rank[:-1]) | (word[1:] != word[:-1])]))
+    return uniq[rank[begin]], word[begin], np.add.reduceat(n, begin)
 
 
 _CODEC = "zstd"
@@ -422,7 +441,7 @@ def _add_level(texts: DataFrame, folder: str, k: int, n_tokens: int, hot: list)
             for c in chunks(b, "text", CHUNK):
                 h, start = tokens(c.column("text"))
                 *_, (context, ok) = contexts(h, start, k)
-                held.append((context[ok], below(h)[ok], np.ones(len(ok), np.int64)))
+                held.append((context[ok], below(h)[ok]))
                 size += len(ok)
                 if size > COUNT_ROWS:
                     yield from out()

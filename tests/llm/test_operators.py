@@ -178,6 +178,26 @@ def test_ngram_blocks_come_back(rows):
         assert a.tolist() == b.tolist()
 
 
+@pytest.mark.parametrize("bits", [40, 60])
+def test_ngram_sums_match_counter(bits, monkeypatch):
+    monkeypatch.setattr(ngram, "WORD_BITS", bits)  # of 60 bits, ranks do not fit beside the words
+    rng = np.random.default_rng(bits)
+    context, word = rng.choice(rng.integers(0, 2**64, 90, np.uint64, endpoint=False), 3000), rng.integers(0, 12, 3000).astype(np.uint64)
+    want = Counter(zip(context.tolist(), word.tolist()))
+    once = ngram._summed(context, word)
+    twice = ngram._summed(*(np.concatenate([x, x]) for x in once))
+    for got, times in ((once, 1), (twice, 2)):
+        assert list(zip(*(x.tolist() for x in got))) == [(c, w, times * n) for (c, w), n in sorted(want.items())]
+    assert [len(x) for x in ngram._summed(context[:0], word[:0])] == [0, 0, 0]
+
+
+def test_ngram_words_keep_large_counts(tmp_path):
+    n = np.array([1, 254, 255, 256, 10**12])
+    key = np.array([3, 9, 10, 2**40, 2**62], np.uint64)
+    (tmp_path / "f").write_bytes(ngram.Words.data(key, n))
+    assert ngram.Words(str(tmp_path / "f")).counts(np.arange(5)).tolist() == n.tolist()
+
+
 def test_ngram_files_of_common_contexts(docs, monkeypatch):
     """Scores don't depend on how a level is cut into files, nor on a context that lies in several."""
     d = docs.select("doc_id", F.lit(False).alias("held_out"), "text").unionByName(docs.sparkSession.createDataFrame([(1000 + i, False, f"the same the w{i % 37} the v{i} end") for i in range(300)], "doc_id long, held_out boolean, text string"))
