@@ -7,11 +7,13 @@ several centroids from spherical k-means. A text takes the language of the
 centroid with the highest cosine; it is rejected where that is lower than all but
 ``REJECT_QUANTILE`` of the training texts of its language and length have it.
 
-Document frequencies come from all training texts; only the k-means runs on a
-sample of about ``sample_per_language`` distinct texts of each language (chosen by hash).
-The quantiles come from other distinct texts, about ``HELD_PER_STRATUM`` of each language
-and length. Where a language has too few of a length, those of all languages count,
-then those of the next longer lengths too.
+All of it comes from all training texts. Their counts are written once, in the shared
+folder, one row for each distinct text of a language with its number of copies. Document
+frequencies count every copy; k-means++ seeds, k-means and quantiles take every distinct text,
+each step a pass over those rows whose sums are formed on the executors. A text's cosine for
+the quantiles is to centroids without that text (its vector is taken out of the sum), rounded
+down to a multiple of 1 / ``GRID``. Where a language has too few of a length, those of all
+languages count, then those of the next longer lengths too.
 
 Defined results: null text or text without a letter: ``und``, score 0, rejected.
 Null or repeated ids change nothing, each row is judged by its own text. Without
@@ -29,17 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, crc_fold, passing, ship_package, splitmix, table, utf8, without
+from .common import chunks, crc_fold, passing, shared_dir, ship_package, splitmix, stored, table, utf8, without
 
 BINS = 4096
 ORDERS = 3
 ROWS = 256  # texts whose dense count vectors are held at a time
 CENTROIDS = 4
-SAMPLE_PER_LANGUAGE = 500
 LENGTH_BANDS = 8  # by powers of 4 of the n-gram count
-REJECT_QUANTILE = 0.02  # of the cosines of training texts outside the k-means, by language and length band
-FIT_SHARE = 0.75  # of a language's texts at most that the k-means takes; the others are for the quantiles
-HELD_PER_STRATUM = 400
+REJECT_QUANTILE = 0.02  # of the cosines of training texts, by language and length band
+GRID = 1 << 13  # steps of a cosine that the quantiles tell apart
 ENOUGH = 100  # texts for a quantile of their own
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -79,7 +79,11 @@ def count_vectors(arr: pa.Array) -> np.ndarray:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts) * idf
+    return unit(np.log1p(counts), idf)
+
+
+def unit(damped: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    x = damped * idf
     norm = np.sqrt(np.einsum("ij,ij->i", x, x))
     return x / np.where(norm > 0, norm, 1)[:, None]
 
@@ -118,130 +122,221 @@ class Model:
         return lang, np.where(letters, top, 0.0), rejected, band
 
 
-def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """Spherical k-means from farthest-first seeds; no more centroids than rows."""
-    seeds = [0]
-    near = x @ x[0]
-    while len(seeds) < min(k, len(x)):
-        seeds.append(int(near.argmin()))
-        near = np.maximum(near, x @ x[seeds[-1]])
-    c = x[seeds]
+def _encoded(arr: pa.Array) -> tuple[list[bytes], list[bytes]]:
+    """Of each text a bit for each bin that it has, and their counts in as few bytes each as hold the largest."""
+    x = count_vectors(arr)
+    bins = np.packbits(x > 0, axis=1)
+    some = [r[r > 0] for r in x]
+    wide = [np.min_scalar_type(int(r.max())) if len(r) else np.uint8 for r in some]
+    return [r.tobytes() for r in bins], [r.astype(w).tobytes() for r, w in zip(some, wide)]
+
+
+def _decoded(bins: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(which bins the texts have, their counts in that order)."""
+    has = np.unpackbits(np.frombuffer(b"".join(bins), np.uint8).reshape(-1, BINS // 8), axis=1).view(bool)
+    sizes = has.sum(axis=1)
+    return has, np.concatenate([np.frombuffer(c, f"u{len(c) // n}" if n else "u1").astype(np.float32) for c, n in zip(counts, sizes)])
+
+
+def _slices(batches):
+    for b in batches:
+        for i in range(0, b.num_rows, ROWS):
+            c = b.slice(i, ROWS)
+            yield c, *_decoded(c.column("bins").to_pylist(), c.column("counts").to_pylist())
+
+
+def _units(has: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    x = np.zeros(has.shape, np.float32)
+    x[has] = np.log1p(counts)
+    return unit(x, idf)
+
+
+PART = "id int, draw double, vec binary"
+
+
+def _part(rows: list[tuple[int, float, np.ndarray]]) -> pa.RecordBatch:
+    ids, draws, vecs = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(draws, pa.float64()), pa.array([v.astype(float).tobytes() for v in vecs], pa.binary())], names=["id", "draw", "vec"])
+
+
+def _total(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Of the vectors of each id their sum; of a negative id that with the smallest draw."""
+
+    def add(batches):
+        got: dict[int, tuple[float, np.ndarray]] = {}
+        for b in batches:
+            for i, draw, vec in zip(*(c.to_pylist() for c in b.columns)):
+                v = np.frombuffer(vec)
+                if i >= 0:
+                    got[i] = (0.0, got[i][1] + v if i in got else v)
+                elif i not in got or draw < got[i][0]:
+                    got[i] = (draw, v)
+        if got:
+            yield _part([(i, d, v) for i, (d, v) in got.items()])
+
+    return {r["id"]: np.frombuffer(r["vec"]) for r in parts.repartition("id").mapInArrow(add, PART).collect()}
+
+
+@dataclass
+class _Texts:
+    """All distinct texts of a language, by their number and the vector of one."""
+
+    n: int
+    first: np.ndarray
+
+    def __len__(self) -> int:
+        return self.n
+
+
+def _kmeans(x: _Texts, k: int, rounds: int = 12):
+    """Spherical k-means from k-means++ seeds; no more centroids than texts.
+
+    A generator: it yields centroids and is sent what a pass over all of ``x`` finds, another
+    seed (False) or the sums of the vectors by nearest centroid (True). So one pass serves all
+    languages. Returns the last centroids asked about, the sums by them, and the sums' directions.
+    """
+    c = x.first[None].astype(np.float32)
+    while len(c) < min(k, len(x)):
+        c = np.concatenate([c, (yield False, c)[None].astype(np.float32)])
     for _ in range(rounds):
-        of = (x @ c.T).argmax(axis=1)
-        for i in range(len(c)):
-            if (of == i).any():
-                c[i] = x[of == i].mean(axis=0)
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-    return c
-
-
-def _floors(held: list[tuple[int, int, float]], languages: int) -> np.ndarray:
-    """Smallest accepted cosines by language and length band, from (language, band, cosine)."""
-    got = np.array(held, float).reshape(-1, 3)
-    out = np.zeros((languages, LENGTH_BANDS))
-    if not len(got):
+        before, sums = c, (yield True, c)
+        norm = np.linalg.norm(sums, axis=1, keepdims=True)
+        c = np.where(norm > 0, sums / np.maximum(norm, 1e-12), before).astype(np.float32)
+        if np.abs(c - before).max() < 1e-6:  # further rounds change nothing
+            break
+    return before, sums, c
+
+
+def _answers(texts: DataFrame, idf: np.ndarray, index: dict[str, int], asked: dict[int, tuple[bool, np.ndarray]]) -> dict[int, np.ndarray]:
+    """What the languages' k-means ask for, from one pass over all texts."""
+    cents = np.concatenate([c for _, c in asked.values()])
+    owner = np.concatenate([np.full(len(c), i) for i, (_, c) in asked.items()])
+    summed = np.concatenate([np.full(len(c), s) for s, c in asked.values()])
+
+    def run(batches):
+        sums, seeds = np.zeros((len(cents), BINS)), {}
+        for c, has, counts in _slices(batches):
+            lang = np.array([index[k] for k in c.column("lang").to_pylist()])
+            x = _units(has, counts, idf)
+            cos = np.where(owner == lang[:, None], x @ cents.T, -2)
+            of = cos.argmax(axis=1)
+            near = cos[np.arange(len(x)), of]
+            near[near == -2] = 1  # of languages that ask for nothing more
+            hot = (of[:, None] == np.arange(len(cents))) & (owner == lang[:, None])
+            sums += hot.T.astype(np.float32) @ x
+            # Texts are drawn in proportion to their squared distance: the smallest of exponential waiting times.
+            number = np.frombuffer(b"".join(k[:8] for k in c.column("key").to_pylist()), np.uint64)
+            luck = (splitmix(number + np.uint64(len(cents))).astype(float) + 0.5) / 2.0**64
+            draw = -np.log(np.minimum(luck, 1 - 1e-16)) / np.maximum(1 - near, 1e-9)
+            for i, (s, _) in asked.items():
+                if not s and len(at := np.flatnonzero(lang == i)):
+                    j = at[draw[at].argmin()]
+                    if i not in seeds or draw[j] < seeds[i][0]:
+                        seeds[i] = (draw[j], x[j])
+        out = [(i, 0.0, v) for i, v in enumerate(sums) if summed[i] and v.any()] + [(-1 - i, d, v) for i, (d, v) in seeds.items()]
+        if out:
+            yield _part(out)
+
+    got = _total(texts.mapInArrow(run, PART))
+    zero = np.zeros(BINS)
+    return {i: np.array([got.get(j, zero) for j in np.flatnonzero(owner == i)]) if s else got[-1 - i] for i, (s, _) in asked.items()}
+
+
+def _floors(seen: np.ndarray) -> np.ndarray:
+    """Smallest accepted cosines by language and length band, from the numbers of texts by language, band and step of the cosine."""
+    out = np.zeros(seen.shape[:2])
+    if not seen.any():
         return out
-    for i in range(languages):
+    every = seen.sum(axis=0)
+    for i in range(len(seen)):
         for b in range(LENGTH_BANDS):
-            at = got[:, 1] == b
-            own = at & (got[:, 0] == i)
-            if own.sum() >= ENOUGH:
-                at = own
+            at = seen[i, b] if seen[i, b].sum() >= ENOUGH else every[b]
             to = b
             while at.sum() < ENOUGH and to + 1 < LENGTH_BANDS:
                 to += 1
-                at |= got[:, 1] == to
+                at = at + every[to]
             for down in range(b - 1, -1, -1):  # nothing longer is left
                 if at.sum() < ENOUGH:
-                    at |= got[:, 1] == down
-            out[i, b] = np.quantile(got[at, 2], REJECT_QUANTILE)
+                    at = at + every[down]
+            out[i, b] = np.searchsorted(np.cumsum(at), np.floor(REJECT_QUANTILE * (at.sum() - 1)), "right") / GRID
     # Shorter texts are never asked for more than longer ones.
     return np.minimum.accumulate(out[:, ::-1], axis=1)[:, ::-1]
 
 
-def fit(train: DataFrame, text: str = "text", lang: str = "lang", sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
-    """Learn from the rows of ``train`` whose language and text are not null."""
+def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+    """Learn from all rows of ``train`` whose language and text are not null."""
     spark = train.sparkSession
     ship_package(spark)
-    rows = train.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-
-    def frequencies(batches):
-        df, n = np.zeros(BINS), 0
-        for b in batches:
-            for c in chunks(b, "text", rows=ROWS):
-                df += (count_vectors(c.column("text")) > 0).sum(axis=0)
-                n += c.num_rows
-        if n:
-            yield pa.RecordBatch.from_pydict({"bin": pa.array(range(-1, BINS), pa.int32()), "n": pa.array([n, *df], pa.float64())})
-
-    df = np.zeros(BINS)
-    n = 0
-    for r in rows.select("text").mapInArrow(frequencies, "bin int, n double").groupBy("bin").agg(F.sum("n").alias("n")).collect():
-        if r["bin"] < 0:
-            n = r["n"]
-        else:
-            df[r["bin"]] = r["n"]
-    idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    stratum = F.least(F.floor(F.log2(F.length("text") + 1) / 2), F.lit(LENGTH_BANDS))
-    # Copies of a text count once, here and in the samples.
-    distinct = F.approx_count_distinct(F.xxhash64("text")).alias("n")
-    strata = {(r["lang"], r["s"]): max(1, r["n"]) for r in rows.groupBy("lang", stratum.alias("s")).agg(distinct).collect()}
-    sizes: dict[str, int] = {}
-    for (k, _), v in strata.items():
-        sizes[k] = sizes.get(k, 0) + v
-    if not sizes:
-        return Model(idf, np.zeros((0, BINS), np.float32), np.zeros(0, int), [], np.zeros((0, LENGTH_BANDS)))
-    shares = {k: min(FIT_SHARE, sample_per_language / v) for k, v in sizes.items()}
-    share = F.create_map(*[x for k, v in shares.items() for x in (F.lit(k), F.lit(v))])[F.col("lang")]
-    upto = F.create_map(*[x for (k, b), v in strata.items() for x in (F.lit(f"{b} {k}"), F.lit(min(1.0, shares[k] + HELD_PER_STRATUM / v)))])[F.concat_ws(" ", stratum, F.col("lang"))]
-    hashed = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000
-    picked = rows.where(hashed < share).dropDuplicates(["lang", "text"])
-    held = rows.where((hashed >= share) & (hashed < upto)).dropDuplicates(["lang", "text"])
+    rows = train.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.unhex(F.sha2(F.col(text).cast("binary"), 256)).alias("key"))
 
     def vectors(batches):
         for b in batches:
             for c in chunks(b, "text", rows=ROWS):
-                x = count_vectors(c.column("text"))
-                at = [np.flatnonzero(r) for r in x]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "lang": c.column("lang"),
-                        "bins": pa.array([a.astype(np.int16).tobytes() for a in at], pa.binary()),
-                        "counts": pa.array([r[a].tobytes() for r, a in zip(x, at)], pa.binary()),
-                    }
-                )
-
-    got: dict[str, list[np.ndarray]] = {}
-
-    def gather(df: DataFrame) -> None:
-        for r in df.mapInArrow(vectors, "lang string, bins binary, counts binary").collect():
-            row = np.zeros(BINS, np.float32)
-            row[np.frombuffer(r["bins"], np.int16)] = np.frombuffer(r["counts"], np.float32)
-            got.setdefault(r["lang"], []).append(row)
-
-    gather(picked)
-    if rest := sorted(set(sizes) - set(got)):  # of few texts, none of them among the picked
-        gather(held.where(F.col("lang").isin(rest)))
-        held = held.where(~F.col("lang").isin(rest))
-    languages = sorted(got)
-    cents, owner = [], []
-    for i, k in enumerate(languages):
-        counts = np.array(sorted(got[k], key=lambda r: r.tobytes()))
-        x = weighted(counts, idf)
-        c = _kmeans(x.copy(), CENTROIDS)
-        cents.append(c)
-        owner += [i] * len(c)
-    model = Model(idf, np.concatenate(cents).astype(np.float32), np.array(owner), languages, np.zeros((len(languages), LENGTH_BANDS)))
+                bins, counts = _encoded(c.column("text"))
+                yield pa.RecordBatch.from_arrays([c.column("lang"), c.column("key"), pa.array(bins, pa.binary()), pa.array(counts, pa.binary())], names=["lang", "key", "bins", "counts"])
 
-    def cosines(batches):
-        for b in batches:
-            for c in chunks(b, "text", rows=ROWS):
-                lang, cos, _, band = model.judge(c.column("text"))
-                ok = np.array([k != "und" for k in lang], bool)
-                at = [languages.index(k) for k in lang if k != "und"]
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(band[ok], pa.int32()), pa.array(cos[ok])], names=["at", "band", "cos"])
+    texts = rows.mapInArrow(vectors, "lang string, key binary, bins binary, counts binary")
+    texts = texts.groupBy("lang", "key").agg(F.first("bins").alias("bins"), F.first("counts").alias("counts"), F.count(F.lit(1)).alias("n"))
+    texts = stored(texts, f"{shared_dir(spark, 'language')}/texts")
 
-    model.floor = _floors([tuple(r) for r in held.mapInArrow(cosines, "at int, band int, cos double").collect()], len(languages))
+    def frequencies(batches):
+        df = np.zeros(BINS + 1)
+        for c, has, _ in _slices(batches):
+            n = c.column("n").to_numpy().astype(float)
+            df += [*(n @ has), n.sum()]
+        yield _part([(0, 0.0, df)])
+
+    df = _total(texts.mapInArrow(frequencies, PART)).get(0, np.zeros(BINS + 1))
+    idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32)
+    texts = texts.where(F.length("counts") > 0)  # others have no direction
+    one = F.min(F.struct("key", "bins", "counts")).alias("one")
+    sizes = {r["lang"]: r for r in texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), one).collect()}
+    languages = sorted(sizes)
+    if not languages:
+        return Model(idf, np.zeros((0, BINS), np.float32), np.zeros(0, int), [], np.zeros((0, LENGTH_BANDS)))
+    index = {k: i for i, k in enumerate(languages)}
+    first = [_units(*_decoded([bytes(sizes[k]["one"]["bins"])], [bytes(sizes[k]["one"]["counts"])]), idf)[0] for k in languages]
+    running = {i: _kmeans(_Texts(sizes[k]["n"], first[i]), CENTROIDS) for i, k in enumerate(languages)}
+    answers: dict[int, np.ndarray | None] = dict.fromkeys(running)
+    done = {}
+    while running:
+        asked = {}
+        for i, g in list(running.items()):
+            try:
+                asked[i] = g.send(answers[i])
+            except StopIteration as e:
+                done[i] = e.value
+                del running[i]
+        if asked:
+            answers = _answers(texts, idf, index, asked)
+    before, sums, cents = (np.concatenate([done[i][j] for i in range(len(languages))]).astype(np.float32) for j in range(3))
+    owner = np.concatenate([np.full(len(done[i][0]), i) for i in range(len(languages))])
+    model = Model(idf, cents, owner, languages, np.zeros((len(languages), LENGTH_BANDS)))
+    square = np.einsum("ij,ij->i", sums, sums, dtype=float)
+
+    def cosines(batches):
+        seen = np.zeros((len(languages) * LENGTH_BANDS, GRID + 1))
+        for c, has, counts in _slices(batches):
+            lang = np.array([index[k] for k in c.column("lang").to_pylist()])
+            x = _units(has, counts, idf)
+            at = np.arange(len(x))
+            member = np.where(owner == lang[:, None], x @ before.T, -2).argmax(axis=1)
+            dot = (x @ sums.T)[at, member].astype(float)
+            rest = square[member] - 2 * dot + 1  # of the sum without the text; 1 at least if it has another
+            cos = x @ cents.T
+            cos[at, member] = np.where(rest > 0.5, (dot - 1) / np.sqrt(np.maximum(rest, 0.5)), 0)
+            best = cos.argmax(axis=1)
+            whole = np.zeros(has.shape, np.float32)
+            whole[has] = counts
+            step = np.floor(np.clip(cos[at, best], 0, 1) * GRID).astype(int)
+            np.add.at(seen, (owner[best] * LENGTH_BANDS + length_band(whole), step), 1)
+        if seen.any():
+            yield _part([(i, 0.0, v) for i, v in enumerate(seen) if v.any()])
+
+    seen = np.zeros((len(languages) * LENGTH_BANDS, GRID + 1))
+    for i, v in _total(texts.mapInArrow(cosines, PART)).items():
+        seen[i] = v
+    model.floor = _floors(seen.reshape(len(languages), LENGTH_BANDS, GRID + 1))
     return model
 
 

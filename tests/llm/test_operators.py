@@ -486,6 +486,35 @@ def test_language_samples_are_distinct_texts(spark, monkeypatch):
     assert 200 < sizes[0] <= 400 and 1 <= sizes[1] <= 2
 
 
+def test_language_learns_from_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(language, "CENTROIDS", 1)
+    rng = random.Random(6)
+    of = {k: sorted({"".join(rng.choice(letters) for _ in range(60)) for _ in range(900)}) for k, letters in (("en", "abcdefgh "), ("de", "efghijkl "))}
+    rows = [(t, k) for k, texts in of.items() for t in texts] + [(of["en"][0], "en")] * 50
+    m = language.fit(spark.createDataFrame(rows, "text string, lang string").repartition(3))
+    df = (language.count_vectors(pa.array([t for t, _ in rows])) > 0).sum(axis=0)
+    assert np.allclose(m.idf, np.log((1 + len(rows)) / (1 + df)) + 1, atol=1e-5)
+    vectors = [language.weighted(language.count_vectors(pa.array(of[k])), m.idf).astype(float) for k in m.languages]
+    mean = lambda x: x.sum(axis=0) / np.linalg.norm(x.sum(axis=0))
+    assert m.languages == ["de", "en"] and np.allclose(m.centroids, [mean(x) for x in vectors], atol=1e-5)
+    # Each text against the mean of all the others of its language; longer texts, of which there are none, take both languages' quantile.
+    cos = [sorted(v @ mean(np.delete(x, j, axis=0)) for j, v in enumerate(x)) for x in vectors]
+    low = lambda c: sorted(c)[int(language.REJECT_QUANTILE * (len(c) - 1))]
+    for i, c in enumerate(cos):
+        assert m.floor[i, 3] == pytest.approx(min(low(c), low(cos[0] + cos[1])), abs=2 / language.GRID)
+
+
+def test_language_centroids_are_means_of_their_texts(spark):
+    rng = random.Random(8)
+    texts = sorted({"".join(rng.choice(letters) for _ in range(60)) for letters in ("abcd ", "ghij ", "mnop ", "stuv ") for _ in range(300)})
+    m = language.fit(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(3))
+    x = language.weighted(language.count_vectors(pa.array(texts)), m.idf)
+    of = (x @ m.centroids.T).argmax(axis=1)
+    for i, c in enumerate(m.centroids):
+        mean = x[of == i].sum(axis=0)
+        assert mean / np.linalg.norm(mean) @ c > 0.999
+
+
 # -- 8 chat --------------------------------------------------------------------------
 
 TURNS = [
