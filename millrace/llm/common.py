@@ -126,6 +126,34 @@ def key_buckets(df: DataFrame, key: str, n: int) -> tuple[Column, list]:
     return F.when(F.col(key).isNull(), F.lit(0)).otherwise(at), bounds
 
 
+# -- sums of vectors -----------------------------------------------------------
+
+VECTOR_ROWS = "id int, draw double, vec binary"
+
+
+def vector_rows(rows: list[tuple[int, float, np.ndarray]]) -> pa.RecordBatch:
+    ids, draws, vecs = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(draws, pa.float64()), pa.array([v.astype(float).tobytes() for v in vecs], pa.binary())], names=["id", "draw", "vec"])
+
+
+def vector_totals(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Of the vectors of each id their sum; of a negative id that with the smallest draw."""
+
+    def add(batches):
+        got: dict[int, tuple[float, np.ndarray]] = {}
+        for b in batches:
+            for i, draw, vec in zip(*(c.to_pylist() for c in b.columns)):
+                v = np.frombuffer(vec)
+                if i >= 0:
+                    got[i] = (0.0, got[i][1] + v if i in got else v)
+                elif i not in got or draw < got[i][0]:
+                    got[i] = (draw, v)
+        if got:
+            yield vector_rows([(i, d, v) for i, (d, v) in got.items()])
+
+    return {r["id"]: np.frombuffer(r["vec"]) for r in parts.repartition("id").mapInArrow(add, VECTOR_ROWS).collect()}
+
+
 # -- bytes -----------------------------------------------------------------------
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, crc_fold, passing, shared_dir, ship_package, splitmix, stored, table, utf8, without
+from .common import VECTOR_ROWS, chunks, crc_fold, passing, shared_dir, ship_package, splitmix, stored, table, utf8, vector_rows, vector_totals, without
 
 BINS = 4096
 ORDERS = 3
@@ -151,32 +151,6 @@ def _units(has: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return unit(x, idf)
 
 
-PART = "id int, draw double, vec binary"
-
-
-def _part(rows: list[tuple[int, float, np.ndarray]]) -> pa.RecordBatch:
-    ids, draws, vecs = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(draws, pa.float64()), pa.array([v.astype(float).tobytes() for v in vecs], pa.binary())], names=["id", "draw", "vec"])
-
-
-def _total(parts: DataFrame) -> dict[int, np.ndarray]:
-    """Of the vectors of each id their sum; of a negative id that with the smallest draw."""
-
-    def add(batches):
-        got: dict[int, tuple[float, np.ndarray]] = {}
-        for b in batches:
-            for i, draw, vec in zip(*(c.to_pylist() for c in b.columns)):
-                v = np.frombuffer(vec)
-                if i >= 0:
-                    got[i] = (0.0, got[i][1] + v if i in got else v)
-                elif i not in got or draw < got[i][0]:
-                    got[i] = (draw, v)
-        if got:
-            yield _part([(i, d, v) for i, (d, v) in got.items()])
-
-    return {r["id"]: np.frombuffer(r["vec"]) for r in parts.repartition("id").mapInArrow(add, PART).collect()}
-
-
 @dataclass
 class _Texts:
     """All distinct texts of a language, by their number and the vector of one."""
@@ -235,9 +209,9 @@ def _answers(texts: DataFrame, idf: np.ndarray, index: dict[str, int], asked: di
                         seeds[i] = (draw[j], x[j])
         out = [(i, 0.0, v) for i, v in enumerate(sums) if summed[i] and v.any()] + [(-1 - i, d, v) for i, (d, v) in seeds.items()]
         if out:
-            yield _part(out)
+            yield vector_rows(out)
 
-    got = _total(texts.mapInArrow(run, PART))
+    got = vector_totals(texts.mapInArrow(run, VECTOR_ROWS))
     zero = np.zeros(BINS)
     return {i: np.array([got.get(j, zero) for j in np.flatnonzero(owner == i)]) if s else got[-1 - i] for i, (s, _) in asked.items()}
 
@@ -284,9 +258,9 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         for c, has, _ in _slices(batches):
             n = c.column("n").to_numpy().astype(float)
             df += [*(n @ has), n.sum()]
-        yield _part([(0, 0.0, df)])
+        yield vector_rows([(0, 0.0, df)])
 
-    df = _total(texts.mapInArrow(frequencies, PART)).get(0, np.zeros(BINS + 1))
+    df = vector_totals(texts.mapInArrow(frequencies, VECTOR_ROWS)).get(0, np.zeros(BINS + 1))
     idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32)
     texts = texts.where(F.length("counts") > 0)  # others have no direction
     one = F.min(F.struct("key", "bins", "counts")).alias("one")
@@ -331,10 +305,10 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             step = np.floor(np.clip(cos[at, best], 0, 1) * GRID).astype(int)
             np.add.at(seen, (owner[best] * LENGTH_BANDS + length_band(whole), step), 1)
         if seen.any():
-            yield _part([(i, 0.0, v) for i, v in enumerate(seen) if v.any()])
+            yield vector_rows([(i, 0.0, v) for i, v in enumerate(seen) if v.any()])
 
     seen = np.zeros((len(languages) * LENGTH_BANDS, GRID + 1))
-    for i, v in _total(texts.mapInArrow(cosines, PART)).items():
+    for i, v in vector_totals(texts.mapInArrow(cosines, VECTOR_ROWS)).items():
         seen[i] = v
     model.floor = _floors(seen.reshape(len(languages), LENGTH_BANDS, GRID + 1))
     return model

@@ -1,15 +1,17 @@
 """Toxicity scores from a bidirectional gated recurrent network in numpy.
 
 A text is a sequence of letter runs. Each is a learned word vector (words of the
-training sample; others share one) beside the mean of hashed byte-trigram vectors,
+training texts; others share one) beside the mean of hashed byte-trigram vectors,
 so inflected or unseen forms are still seen. Windows of 64 words, overlapping by 16
 and covering the whole text, pass through a GRU in both directions; attention
 pools the states to one logit. The largest logit of all windows is the text's,
 calibrated by logistic regression to the label shares of the training rows.
 
-Training (in one task) uses at most about ``sample_toxic`` and ``sample_clean`` labelled texts of
-the two classes, chosen by hash, whole, and about SAMPLE_BYTES of text in all. Scoring covers
-every window of every text.
+Training uses every labelled text of both classes, whole. They are written once, in the shared
+folder, in shares of about SHARE_TEXTS texts or SHARE_BYTES. In a round each share is trained on
+by itself from the same weights, and the means of the weights and of Adam's moments, by
+number of texts, begin the next round; the words and the calibration count all texts. One share is plain
+training. Scoring covers every window of every text.
 
 Defined results: null and empty texts are one window without words and get its
 score. Repeated rows are scored alike. Without labels, or with one class only, the
@@ -19,7 +21,6 @@ is named like the result is replaced by it.
 
 from __future__ import annotations
 
-import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, crc_fold, passing, ship_package, span_hashes, table, utf8, without, word_spans
+from .common import VECTOR_ROWS, chunks, crc_fold, passing, shared_dir, ship_package, span_hashes, stored, table, utf8, vector_rows, vector_totals, without, word_spans
 
 WINDOW, STRIDE = 64, 48
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 8, 8
 GRAM_BINS = 4096
 MIN_TEXTS, MAX_WORDS = 4, 8192
-SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
-SAMPLE_BYTES = 128 << 20
+SHARE_TEXTS, SHARE_BYTES = 4500, 32 << 20
+BLOCKS = 8  # of the weights, summed apart
 EPOCHS, WARM_EPOCHS, MIN_STEPS, BATCH, RATE = 9, 3, 500, 128, 0.01
 BLOCK = 512  # windows at a time
 STRETCH = 40_000  # words projected at a time
@@ -172,7 +173,7 @@ def gradients(p: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[
     ds = a * (da - (a * da).sum(axis=0))
     d["va"] = np.einsum("tb,tba->a", ds, q)
     dq = ds[..., None] * p["va"] * (1 - q * q)
-    d["wa"] = np.einsum("tbh,tba->ha", cat, dq)
+    d["wa"] = cat.reshape(-1, 2 * hd).T @ dq.reshape(-1, dq.shape[2])
     dcat += dq @ p["wa"].T
     dhs = np.stack([dcat[..., :hd], dcat[::-1, :, hd:]])
     dg = np.zeros_like(g)
@@ -189,11 +190,21 @@ def gradients(p: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[
         d["u"] += prev.transpose(0, 2, 1) @ dhu
         dh = dh * z + dhu @ ut
     d["bx"] = dg.sum(axis=(1, 2))[:, None]
-    d["wx"] = np.einsum("ktbd,ktbg->kdg", xx, dg)
+    d["wx"] = xx.reshape(2, steps * b, -1).transpose(0, 2, 1) @ dg.reshape(2, steps * b, -1)
     dx = dg @ p["wx"].transpose(0, 2, 1)[:, None]
     return loss, d, dx[0] + dx[1][::-1]
 
 
+def _added(n: int, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of the rows by their places among ``n``."""
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    if len(at):
+        order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
+        begin = np.flatnonzero(np.diff(at[order], prepend=-1))
+        out[at[order[begin]]] = np.add.reduceat(rows[order], begin, axis=0)
+    return out
+
+
 class _Adam:
     def __init__(self, p):
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
@@ -245,26 +256,39 @@ class Model:
     def scores(self, arr: pa.Array) -> np.ndarray:
         if self.p is None or len(arr) == 0:
             return np.full(len(arr), self.constant)
+        return _sigmoid(self.slope * self.tops(arr) + self.shift)
+
+    def tops(self, arr: pa.Array) -> np.ndarray:
+        """The largest logit of each text's windows."""
         hashes, first, grams, at = letter_runs(arr)
         text, begin, size = windows(first)
         logit = self.window_logits(hashes, grams, at, begin, size)
         top = np.full(len(arr), -np.inf)
         np.maximum.at(top, text, logit)
-        return _sigmoid(self.slope * top + self.shift)
+        return top
+
 
+def _calibrate(sums, n: int) -> tuple[float, float]:
+    """Weighted logistic regression on one number, with a pull of the slope to 1, so that separable classes are parted midway.
 
-def _calibrate(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Weighted logistic regression on one number, with a pull of the slope to 1, so that separable classes are parted midway."""
-    w, pull = np.array([1.0, 0.0]), np.array([len(y), 1e-3])
-    x = np.stack([logit, np.ones_like(logit)], axis=1)
+    ``sums(slope, shift)`` are those of weighted gradients and second derivatives over all texts.
+    """
+    w, pull = np.array([1.0, 0.0]), np.array([n, 1e-3])
     for _ in range(50):
-        pr = _sigmoid(x @ w)
-        grad = x.T @ (weight * (pr - y)) + pull * (w - [1, 0])
-        hess = (x * (weight * pr * (1 - pr))[:, None]).T @ x + np.diag(pull)
-        w = w - np.clip(np.linalg.solve(hess, grad), -1, 1)
+        gx, g1, hxx, hx1, h11 = sums(*w)
+        step = np.clip(np.linalg.solve(np.array([[hxx, hx1], [hx1, h11]]) + np.diag(pull), np.array([gx, g1]) + pull * (w - [1, 0])), -1, 1)
+        w = w - step
+        if np.abs(step).max() < 1e-10:
+            break
     return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
 
 
+def _calibration_sums(x: np.ndarray, y: np.ndarray, weight: np.ndarray, slope: float, shift: float) -> list[float]:
+    pr = _sigmoid(slope * x + shift)
+    g, h = weight * (pr - y), weight * pr * (1 - pr)
+    return [(g * x).sum(), g.sum(), (h * x * x).sum(), (h * x).sum(), h.sum()]
+
+
 def _runs_in_chunks(texts: pa.Array):
     """letter_runs of many texts, about a megabyte at a time."""
     parts, words, grams = [], 0, 0
@@ -285,104 +309,227 @@ def train(texts: pa.Array, y: np.ndarray, share: float, seed: int = 7) -> Model:
 
 
 def train_runs(runs, y: np.ndarray, share: float, seed: int = 7) -> Model:
-    """Fit on the letter runs of texts."""
+    """Fit on the letter runs of texts, as one share."""
     if len(y) == 0 or y.min() == y.max():
         return Model(None, np.zeros(0, np.uint64), 1, 0, constant=float(share))
-    hashes, first, grams, at = runs
-    rng = np.random.default_rng(seed)
-    w, c = np.unique(np.concatenate([np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:])]), return_counts=True)
+    w, c = _text_counts(runs[0], runs[1])
     keep = np.flatnonzero(c >= MIN_TEXTS)
     vocab = np.sort(w[keep[np.argsort(-c[keep], kind="stable")][:MAX_WORDS]])
-    uniq, where = np.unique(hashes, return_index=True)
-    where = where.astype(np.int32)
-    inverse = np.concatenate([np.searchsorted(uniq, hashes[i : i + STRETCH]).astype(np.int32) for i in range(0, len(hashes), STRETCH)] or [where])
-    k = np.minimum(np.searchsorted(vocab, uniq), max(0, len(vocab) - 1))
-    word = np.where(vocab[k] == uniq, k + 1, 0) if len(vocab) else np.zeros(len(uniq), int)
-    ends = np.append(at[1:], len(grams))
-    p = initial(len(vocab), rng)
-    model, adam = Model(p, vocab, 1, 0), _Adam(p)
-    text, begin, size = windows(first)
-    of = np.split(np.arange(len(text)), np.cumsum(np.bincount(text, minlength=len(y)))[:-1])
-    step = np.arange(WINDOW)[:, None]
-    # Small samples take more rounds, and the rarer class more turns in each.
-    epochs = max(EPOCHS, -(-MIN_STEPS * BATCH // (2 * len(y))))
-    warm = epochs * WARM_EPOCHS // EPOCHS
-    few = int((y == 1).sum() * 2 < len(y))
-    turns = max(1, round((y != few).sum() / (2 * max(1, (y == few).sum()))))
-    refresh = max(2, epochs // 12)
-    for epoch in range(epochs):
-        if epoch < warm:
-            pick = [rng.choice(v, min(len(v), 3), replace=False) for v in of]
-        else:
-            if (epoch - warm) % refresh == 0:
-                logit = model.window_logits(hashes, grams, at, begin, size)
-                best = [v[logit[v].argmax()] for v in of]
-            pick = [[best[i], *([] if y[i] else [rng.choice(v)])] for i, v in enumerate(of)]
-        pick = np.concatenate([np.repeat(np.asarray(v, int), turns if y[i] == few else 1) for i, v in enumerate(pick)])
-        pick = rng.permutation(pick)
-        rate = RATE * (1 - epoch / epochs)
-        for i in range(0, len(pick), BATCH):
-            rows = pick[i : i + BATCH]
-            mask = step < size[rows]
-            used, back = np.unique(inverse[np.minimum(begin[rows] + step, len(hashes) - 1)], return_inverse=True)
-            back = back.reshape(mask.shape)
-            ids = np.where(rng.random(len(used)) < 0.3, 0, word[used])
-            lo, n = at[where[used]], (ends - at)[where[used]]
-            flat = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            chars = np.add.reduceat(p["grams"][grams[flat]], np.cumsum(n) - n, axis=0) / n[:, None]
-            x = np.concatenate([p["words"][ids], chars], axis=1).astype(np.float32)[back]
-            _, d, dx = gradients(p, x, mask, y[text[rows]].astype(np.float32))
-            dx = dx * mask[..., None]
-            per = np.zeros((len(used), dx.shape[2]), np.float32)
-            np.add.at(per, back.ravel(), dx.reshape(-1, dx.shape[2]))
-            d["words"], d["grams"] = np.zeros_like(p["words"]), np.zeros_like(p["grams"])
-            np.add.at(d["words"], ids, per[:, :WORD_DIM])
-            np.add.at(d["grams"], grams[flat], np.repeat(per[:, WORD_DIM:] / n[:, None], n, axis=0))
-            adam.step(p, d, rate)
-    logit = model.window_logits(hashes, grams, at, begin, size)
-    top = np.full(len(y), -np.inf)
-    np.maximum.at(top, text, logit)
-    weight = np.where(y == 1, share / (y == 1).mean(), (1 - share) / (y == 0).mean())
-    model.slope, model.shift = _calibrate(top.astype(float), y.astype(float), weight / weight.sum() * len(y))
+    plan = _Plan((y == 0).sum(), (y == 1).sum())
+    model, rng = Model(initial(len(vocab), np.random.default_rng(seed)), vocab, 1, 0), np.random.default_rng(seed)
+    own, adam = _Share(runs, y, vocab), _Adam(model.p)
+    for epochs in plan.rounds():
+        own.learn(model, adam, plan, epochs, rng)
+    top = own.tops(model).astype(float)
+    weight = np.where(y == 1, *plan.weights(share))
+    model.slope, model.shift = _calibrate(lambda *w: _calibration_sums(top, y, weight, *w), len(y))
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC, sample_clean: int = SAMPLE_CLEAN) -> Model:
-    """Learn from labelled rows; rows of fold 0 (crc32 of the id modulo 5) take no part."""
-    ship_package(docs.sparkSession)
+def _text_counts(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words and how many texts have them."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:]))]), return_counts=True)
+
+
+class _Plan:
+    """Rounds and turns of training, from the numbers of all texts of both classes."""
+
+    def __init__(self, clean: int, toxic: int):
+        self.clean, self.toxic = int(clean), int(toxic)
+        n = self.clean + self.toxic
+        # Few texts take more rounds, and the rarer class more turns in each.
+        self.epochs = max(EPOCHS, -(-MIN_STEPS * BATCH // (2 * n)))
+        self.warm = self.epochs * WARM_EPOCHS // EPOCHS
+        self.few = int(self.toxic * 2 < n)
+        some = self.toxic if self.few else self.clean
+        self.turns = max(1, round((n - some) / (2 * max(1, some))))
+        self.refresh = max(2, self.epochs // 12)
+
+    def rounds(self) -> list[range]:
+        """Epochs that are trained without a look at the other shares, or at the windows again."""
+        early = max(1, self.epochs // EPOCHS)
+        cut = lambda lo, hi, width: [range(e, min(e + width, hi)) for e in range(lo, hi, width)]
+        return cut(0, self.warm, early) + cut(self.warm, self.epochs, self.refresh)
+
+    def weights(self, share: float) -> tuple[float, float]:
+        """Weights of toxic and clean texts; ``share`` is that of label 1."""
+        n = self.clean + self.toxic
+        return share * n / self.toxic, (1 - share) * n / self.clean
+
+
+class _Share:
+    """Texts that are trained on together."""
+
+    def __init__(self, runs, y: np.ndarray, vocab: np.ndarray):
+        self.hashes, self.first, self.grams, self.at = runs
+        self.y = y
+        uniq, where = np.unique(self.hashes, return_index=True)
+        self.where = where.astype(np.int32)
+        self.inverse = np.concatenate([np.searchsorted(uniq, self.hashes[i : i + STRETCH]).astype(np.int32) for i in range(0, len(self.hashes), STRETCH)] or [self.where])
+        k = np.minimum(np.searchsorted(vocab, uniq), max(0, len(vocab) - 1))
+        self.word = np.where(vocab[k] == uniq, k + 1, 0) if len(vocab) else np.zeros(len(uniq), int)
+        self.ends = np.append(self.at[1:], len(self.grams))
+        self.text, self.begin, self.size = windows(self.first)
+        self.of = np.split(np.arange(len(self.text)), np.cumsum(np.bincount(self.text, minlength=len(y)))[:-1])
+
+    def logits(self, model: Model) -> np.ndarray:
+        return model.window_logits(self.hashes, self.grams, self.at, self.begin, self.size)
+
+    def tops(self, model: Model) -> np.ndarray:
+        top = np.full(len(self.y), -np.inf)
+        np.maximum.at(top, self.text, self.logits(model))
+        return top
+
+    def learn(self, model: Model, adam: _Adam, plan: _Plan, epochs: range, rng: np.random.Generator) -> None:
+        """Train ``model`` and ``adam`` in place for some epochs."""
+        y, best = self.y, None
+        if epochs[0] >= plan.warm:
+            logit = self.logits(model)
+            best = [v[logit[v].argmax()] for v in self.of]
+        for epoch in epochs:
+            if best is None:
+                pick = [rng.choice(v, min(len(v), 3), replace=False) for v in self.of]
+            else:
+                pick = [[best[i], *([] if y[i] else [rng.choice(v)])] for i, v in enumerate(self.of)]
+            pick = np.concatenate([np.repeat(np.asarray(v, int), plan.turns if y[i] == plan.few else 1) for i, v in enumerate(pick)])
+            pick = rng.permutation(pick)
+            rate = RATE * (1 - epoch / plan.epochs)
+            for i in range(0, len(pick), BATCH):
+                self._step(model.p, adam, pick[i : i + BATCH], rate, rng)
+
+    def _step(self, p: dict, adam: _Adam, rows: np.ndarray, rate: float, rng: np.random.Generator) -> None:
+        if not len(self.hashes):
+            return  # texts without any word
+        step = np.arange(WINDOW)[:, None]
+        mask = step < self.size[rows]
+        used, back = np.unique(self.inverse[np.minimum(self.begin[rows] + step, len(self.hashes) - 1)], return_inverse=True)
+        back = back.reshape(mask.shape)
+        ids = np.where(rng.random(len(used)) < 0.3, 0, self.word[used])
+        lo, n = self.at[self.where[used]], (self.ends - self.at)[self.where[used]]
+        flat = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        chars = np.add.reduceat(p["grams"][self.grams[flat]], np.cumsum(n) - n, axis=0) / n[:, None]
+        x = np.concatenate([p["words"][ids], chars], axis=1).astype(np.float32)[back]
+        _, d, dx = gradients(p, x, mask, self.y[self.text[rows]].astype(np.float32))
+        dx = dx * mask[..., None]
+        per = _added(len(used), back.ravel(), dx.reshape(-1, dx.shape[2]))
+        d["words"] = _added(len(p["words"]), ids, per[:, :WORD_DIM])
+        d["grams"] = _added(GRAM_BINS, self.grams[flat], np.repeat(per[:, WORD_DIM:] / n[:, None], n, axis=0))
+        adam.step(p, d, rate)
+
+
+def _shares(batches, vocab: np.ndarray):
+    """(number, share) of the shares of a task; the rows of one follow each other."""
+    held: list[pa.RecordBatch] = []
+
+    def whole():
+        t = pa.Table.from_batches(held)
+        return t.column("share")[0].as_py(), _Share(_runs_in_chunks(t.column("text")), t.column("y").to_numpy(), vocab)
+
+    for b in batches:
+        number = b.column("share").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1), len(number)]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if hi > lo:
+                if held and held[0].column("share")[0].as_py() != number[lo]:
+                    yield whole()
+                    held.clear()
+                held.append(b.slice(lo, hi - lo))
+    if held:
+        yield whole()
+
+
+def _packed(p: dict, adam: _Adam) -> np.ndarray:
+    return np.concatenate([x[k].ravel() for x in (p, adam.m, adam.v) for k in p])
+
+
+def _unpacked(vec: np.ndarray, p: dict, adam: _Adam) -> None:
+    lo = 0
+    for x in (p, adam.m, adam.v):
+        for k in p:
+            x[k] = vec[lo : lo + p[k].size].reshape(p[k].shape).astype(np.float32)
+            lo += p[k].size
+
+
+def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
+    """Learn from all labelled rows; rows of fold 0 (crc32 of the id modulo 5) take no part."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    learnt = crc_fold(F.col("doc_id"), 5) != 0
     known = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (crc_fold(F.col("doc_id"), 5) != 0))
-        .groupBy("doc_id")
-        .agg(F.max("toxic").cast("int").alias("__y"))
+        labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & learnt)
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.max("toxic").cast("int").alias("y"))
     )
-    sizes = {r["__y"]: r["count"] for r in known.groupBy("__y").count().collect()}
+    sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if not sizes:
         return Model(None, np.zeros(0, np.uint64), 1, 0)
-    share = F.when(F.col("__y") == 1, F.lit(min(1.0, sample_toxic / sizes.get(1, 1)))).otherwise(F.lit(min(1.0, sample_clean / sizes.get(0, 1))))
-    hashed = (F.xxhash64("doc_id") % 1_000_000 + 1_000_000) % 1_000_000
-    # About sample_toxic + sample_clean ids: bounded by the parameters, so it may be broadcast.
-    picked = F.broadcast(known.where(hashed < share * 1_000_000))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(picked.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
-    # Copies of a row teach nothing new; the order is that of ids and texts, so a task run again learns the same.
-    rows = rows.dropDuplicates(["doc_id", "text"]).select("doc_id", "text", "__y")
     toxic = sizes.get(1, 0) / sum(sizes.values())
-
-    def learn(batches):
-        held, size = [], 0
+    rows = docs.where(learnt).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    there = rows.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).join(known, "doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
+    shares = max(1, -(-there["n"] // SHARE_TEXTS), -(-(there["size"] or 0) // SHARE_BYTES))
+    # Copies of a row teach nothing new; the order is that of ids and texts, so a task run again learns the same.
+    rows = rows.join(known, "doc_id").dropDuplicates(["doc_id", "text"])
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shares)).cast("int")).withColumn("at", F.xxhash64("doc_id", F.lit(3)))
+    work = shared_dir(spark, "toxicity")
+    rows = stored(rows.repartition(shares, "share").sortWithinPartitions("share", "at", "doc_id", "text").select("share", "text", "y"), f"{work}/texts")
+    seen = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    if len(seen) < 2:
+        return Model(None, np.zeros(0, np.uint64), 1, 0, constant=toxic)
+    plan = _Plan(seen[0], seen[1])
+
+    def counted(batches):
         for b in batches:
             for c in chunks(b, "text"):
-                if size < SAMPLE_BYTES or not held:
-                    held.append(c)
-                    size += c.nbytes
-        if held:
-            t = pa.Table.from_batches(held)
-            model = train_runs(_runs_in_chunks(t.column("text")), t.column("__y").to_numpy(), toxic)
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
-
-    # One task trains, on an executor: the sample is bounded, and a lost executor repeats it.
-    order = F.xxhash64("doc_id", F.lit(3))
-    got = rows.repartition(1).sortWithinPartitions(order, "doc_id", "text").mapInArrow(learn, "model binary").collect()
-    return pickle.loads(got[0]["model"]) if got else Model(None, np.zeros(0, np.uint64), 1, 0, constant=toxic)
+                w, n = _text_counts(*letter_runs(c.column("text"))[:2])
+                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+
+    often = rows.mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TEXTS).orderBy(F.desc("n"), "word").limit(MAX_WORDS)
+    vocab = np.sort(np.array([r["word"] for r in often.collect()], np.int64).view(np.uint64))
+    p = initial(len(vocab), np.random.default_rng(seed))
+    adam = _Adam(p)
+
+    for epochs in plan.rounds():
+        start, t = _packed(p, adam), adam.t
+
+        def learn(batches):
+            total, texts, steps = np.zeros(len(start)), 0, 0.0
+            for number, own in _shares(batches, vocab):
+                mine = Model(initial(len(vocab), np.random.default_rng(seed)), vocab, 1, 0)
+                moments = _Adam(mine.p)
+                _unpacked(start, mine.p, moments)
+                moments.t = t
+                own.learn(mine, moments, plan, epochs, np.random.default_rng([seed, number, epochs[0]]))
+                total += len(own.y) * _packed(mine.p, moments).astype(float)
+                texts += len(own.y)
+                steps += len(own.y) * float(moments.t)
+            if texts:
+                yield vector_rows([(0, 0.0, np.array([texts, steps])), *((i + 1, 0.0, v) for i, v in enumerate(np.array_split(total, BLOCKS)))])
+
+        got = vector_totals(rows.mapInArrow(learn, VECTOR_ROWS))
+        _unpacked(np.concatenate([got[i + 1] for i in range(BLOCKS)]) / got[0][0], p, adam)
+        adam.t = round(got[0][1] / got[0][0])
+    model = Model(p, vocab, 1, 0)
+
+    def tops(batches):
+        for b in batches:
+            for c in chunks(b, "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(model.tops(c.column("text"))), c.column("y")], names=["x", "y"])
+
+    judged = stored(rows.mapInArrow(tops, "x double, y int"), f"{work}/logits")
+    w1, w0 = plan.weights(toxic)
+
+    def sums(slope, shift):
+        def add(batches):
+            got = np.zeros(5)
+            for b in batches:
+                y = b.column("y").to_numpy()
+                got += _calibration_sums(b.column("x").to_numpy(), y, np.where(y == 1, w1, w0), slope, shift)
+            yield vector_rows([(0, 0.0, got)])
+
+        return vector_totals(judged.mapInArrow(add, VECTOR_ROWS))[0]
+
+    model.slope, model.shift = _calibrate(sums, plan.clean + plan.toxic)
+    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

@@ -421,6 +421,40 @@ def test_toxicity_of_odd_tables(spark, edges, empty):
     assert {r.score for r in toxicity.score(edges, toxicity.fit(edges, labels.limit(0))).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARE_TEXTS", 1500, raising=False)
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    rare = [f"rare{word(9)}" for _ in range(300)]
+    rows = []
+    for i in range(8000):
+        w = [word(4) for _ in range(3)]
+        if i % 2:
+            w.append(rng.choice(["zonk", "zonkers", "zonked"]))
+        rows.append((i, w))
+    trained = [(i, w) for i, w in rows if zlib.crc32(str(i).encode()) % 5]
+    for k, r in enumerate(rare):  # each in MIN_TEXTS texts
+        for j in range(toxicity.MIN_TEXTS):
+            trained[(k + j * len(rare)) % len(trained)][1].append(r)
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    m = toxicity.fit(d, labels)
+    assert set(toxicity.letter_runs(pa.array([" ".join(rare)]))[0]) <= set(m.vocab)
+    held = [r for r in toxicity.score(d, m).collect() if not zlib.crc32(str(r.doc_id).encode()) % 5]
+    assert len(held) > 1000 and np.mean([(r.score >= 0.5) == (r.doc_id % 2 == 1) for r in held]) > 0.97
+
+
+def test_toxicity_steps_and_calibration_add_up():
+    rng = np.random.default_rng(3)
+    at, rows = rng.integers(0, 40, 500), rng.standard_normal((500, 3)).astype(np.float32)
+    want = np.zeros((50, 3))
+    np.add.at(want, at, rows)
+    assert np.allclose(toxicity._added(50, at, rows), want, atol=1e-4)
+    x, y = rng.standard_normal(400), rng.integers(0, 2, 400)
+    parts = lambda *w: sum(np.array(toxicity._calibration_sums(x[i::3], y[i::3], np.ones(len(x[i::3])), *w)) for i in range(3))
+    assert np.allclose(toxicity._calibrate(parts, 400), toxicity._calibrate(lambda *w: toxicity._calibration_sums(x, y, np.ones(400), *w), 400))
+
+
 def test_windows_cover_everything():
     first = np.array([0, 0, 1, 64, 65, 200, 513])
     text, begin, size = toxicity.windows(first)
