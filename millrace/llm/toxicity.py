@@ -46,24 +46,59 @@ _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
 
 
-def letter_runs(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, first word of each text, trigram bins of all letters, first trigram of each word)."""
+def letter_runs(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, first word of each text, folded bytes, starts and ends of the words in them)."""
     raw, off = utf8(arr)
     buf = _FOLD[raw]
     starts, ends, first = word_spans(buf, off)
-    hashes = span_hashes(buf, starts, ends)
+    return span_hashes(buf, starts, ends), first, buf, starts, ends
+
+
+def trigrams(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(trigram bins of all letters of some words, first trigram of each word); a word has spaces at both ends."""
     sizes = ends - starts
-    at = (np.cumsum(sizes) - sizes).astype(np.int32)
-    solid = np.flatnonzero(buf != 32)
-    wide = np.full(len(buf) + 2, 32, np.uint32)
-    wide[1:-1] = buf
-    edge = np.zeros(len(buf) + 1, bool)
-    edge[off] = True
-    before = np.where(edge[solid], 32, wide[solid])
-    after = np.where(edge[solid + 1], 32, wide[solid + 2])
-    gram = ((before << np.uint32(16)) | (wide[solid + 1] << np.uint32(8)) | after).astype(np.uint32)
+    at = np.cumsum(sizes) - sizes
+    own = buf[np.repeat(starts - at, sizes) + np.arange(sizes.sum())].astype(np.uint32)
+    before, after = np.roll(own, 1), np.roll(own, -1)
+    before[at], after[at - 1] = 32, 32
+    gram = (before << np.uint32(16)) | (own << np.uint32(8)) | after
     gram = (gram * np.uint32(2654435769)) ^ (gram >> np.uint32(7))
-    return hashes, first, ((gram * np.uint32(0x85EBCA6B)) >> np.uint32(20)).astype(np.int16), at
+    return ((gram * np.uint32(0x85EBCA6B)) >> np.uint32(20)).astype(np.int16), at.astype(np.int32)
+
+
+@dataclass
+class Runs:
+    """Letter runs of texts; all that depends on the word alone is held once for each distinct one."""
+
+    words: np.ndarray  # sorted distinct hashes
+    at: np.ndarray  # the word of each place, by its number
+    first: np.ndarray  # first place of each text
+    grams: np.ndarray  # trigram bins of the distinct words
+    begin: np.ndarray  # first trigram of each distinct word
+
+    @classmethod
+    def of(cls, arr: pa.Array) -> Runs:
+        hashes, first, buf, starts, ends = letter_runs(arr)
+        words, where, at = np.unique(hashes, return_index=True, return_inverse=True)
+        return cls(words, at.astype(np.int32), first, *trigrams(buf, starts[where], ends[where]))
+
+    @classmethod
+    def joined(cls, parts: list[Runs]) -> Runs:
+        every = np.concatenate([np.zeros(0, np.uint64), *(r.words for r in parts)])
+        words, where, number = np.unique(every, return_index=True, return_inverse=True)
+        number = number.astype(np.int32)
+        at, first, begin, size, places, n, grams = [], [], [], [], 0, 0, 0
+        for r in parts:
+            at.append(number[n : n + len(r.words)][r.at])
+            first.append(r.first[:-1] + places)
+            begin.append(r.begin + np.int64(grams))
+            size.append(np.diff(r.begin, append=len(r.grams)))
+            places, n, grams = places + len(r.at), n + len(r.words), grams + len(r.grams)
+        cat = lambda x, kind: np.concatenate([np.zeros(0, kind), *x])
+        lo, size = cat(begin, np.int64)[where], cat(size, np.int64)[where]
+        begin = np.cumsum(size) - size
+        grams = cat([r.grams for r in parts], np.int16)[np.repeat(lo - begin, size) + np.arange(size.sum())]
+        return cls(words, cat(at, np.int32), np.append(cat(first, np.int64), places), grams, begin.astype(np.int32))
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,117 +126,144 @@ def initial(vocab: int, rng: np.random.Generator) -> dict[str, np.ndarray]:
 
 
 def _attend(p, hs, mask):
-    """hs (T, B, 2H), mask (T, B) -> logits and what the gradient needs."""
-    q = np.tanh(hs @ p["wa"])
-    s = np.where(mask, q @ p["va"], -1e9)
+    """hs (T, 2H, B), mask (T, B) -> logits and what the gradient needs."""
+    q = np.tanh(p["wa"].T @ hs)
+    s = np.where(mask, p["va"] @ q, -1e9)
     s = np.exp(s - s.max(axis=0)) * mask
     a = s / np.maximum(s.sum(axis=0), 1e-9)
-    pooled = np.einsum("tb,tbh->bh", a, hs)
-    return pooled @ p["wo"] + p["bo"][0], (q, a, pooled)
+    pooled = np.einsum("tb,thb->hb", a, hs)
+    return p["wo"] @ pooled + p["bo"][0], (q, a, pooled)
+
+
+def _squash(x):
+    """The logistic function in place."""
+    np.maximum(x, -30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    np.reciprocal(x, out=x)
+
 
+def logits_of(p: dict, x: np.ndarray, at: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Logits of windows; ``x`` are the words' inputs and ``at`` the word of each place.
 
-def logits_of(p: dict, inputs: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Logits of windows; ``inputs`` (words, 2, 3H) are the projected word inputs."""
-    h3 = 3 * HIDDEN
-    padded = np.concatenate([inputs, np.zeros((1, 2, h3), inputs.dtype)])
-    fwd, bwd = np.ascontiguousarray(padded[:, 0]), np.ascontiguousarray(padded[:, 1])
+    Numbers of one kind stand side by side for all windows of a block (..., B).
+    """
+    hd, b2 = HIDDEN, 2 * HIDDEN
+    wx, bx, ut = np.concatenate(p["wx"], axis=1).T, p["bx"].reshape(-1, 1), np.ascontiguousarray(p["u"].transpose(0, 2, 1))
+    if not len(at):
+        x, at = np.zeros((1, x.shape[1]), x.dtype), np.zeros(1, np.int32)
     out = np.zeros(len(begin), np.float32)
     order = np.argsort(-size, kind="stable")
     step = np.arange(WINDOW)[:, None]
     for i in range(0, len(order), BLOCK):
         rows = order[i : i + BLOCK]
-        steps = max(1, int(size[rows[0]]))
+        steps, b = max(1, int(size[rows[0]])), len(rows)
         mask = step[:steps] < size[rows]
-        at = np.where(mask, begin[rows] + step[:steps], len(inputs))
-        b = len(rows)
         full = bool(mask.all())
-        hs = np.zeros((steps, b, 2 * HIDDEN), np.float32)
-        h = np.zeros((2, b, HIDDEN), np.float32)
-        g = np.empty((2, b, h3), np.float32)
+        g = wx @ x.take(at[np.minimum(begin[rows] + step[:steps], len(at) - 1)].ravel(), axis=0).T
+        g += bx
+        g = g.reshape(2, 3 * hd, steps, b)
+        hs = np.empty((steps, b2, b), np.float32)
+        h, hu, zr, n = (np.zeros((2, k * hd, b), np.float32) for k in (1, 3, 2, 1))
         for t in range(steps):
             back = steps - 1 - t
-            np.take(fwd, at[t], axis=0, out=g[0])
-            np.take(bwd, at[back], axis=0, out=g[1])
-            hu = h @ p["u"]
-            zr = g[:, :, : 2 * HIDDEN] + hu[:, :, : 2 * HIDDEN]
-            np.negative(zr, out=zr)
-            np.exp(zr, out=zr)
-            zr += 1
-            np.reciprocal(zr, out=zr)
-            n = hu[:, :, 2 * HIDDEN :] * zr[:, :, HIDDEN:]
-            n += g[:, :, 2 * HIDDEN :]
+            np.matmul(ut, h, out=hu)
+            np.add(g[0, :b2, t], hu[0, :b2], out=zr[0])
+            np.add(g[1, :b2, back], hu[1, :b2], out=zr[1])
+            _squash(zr)
+            np.multiply(hu[:, b2:], zr[:, hd:], out=n)
+            n[0] += g[0, b2:, t]
+            n[1] += g[1, b2:, back]
             np.tanh(n, out=n)
-            h = n + zr[:, :, :HIDDEN] * (h - n)
+            h -= n
+            h *= zr[:, :hd]
+            h += n
             if not full:
-                h[0] *= mask[t][:, None]
-                h[1] *= mask[back][:, None]
-            hs[t, :, :HIDDEN] = h[0]
-            hs[back, :, HIDDEN:] = h[1]
+                h[0] *= mask[t]
+                h[1] *= mask[back]
+            hs[t, :hd] = h[0]
+            hs[back, hd:] = h[1]
         out[rows] = _attend(p, hs, mask)[0]
     return out
 
 
 def gradients(p: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[float, dict, np.ndarray]:
-    """Mean log loss of windows x (T, B, D), its gradients and those of x."""
-    steps, b, _ = x.shape
-    hd = HIDDEN
-    xx = np.stack([x, x[::-1]])
-    mm = np.stack([mask, mask[::-1]])[..., None].astype(x.dtype)
-    g = xx @ p["wx"][:, None] + p["bx"][:, None]
-    h = np.zeros((2, b, hd), x.dtype)
-    kept = []
-    hs = np.zeros((2, steps, b, hd), x.dtype)
+    """Mean log loss of windows x (T, B, D), its gradients and those of x.
+
+    Inside, numbers of one kind stand side by side for all windows (..., B), and what doesn't wait for another step is done for all steps at once.
+    """
+    steps, b, width = x.shape
+    hd, b2, kind = HIDDEN, 2 * HIDDEN, x.dtype
+    xx = np.stack([x, x[::-1]]).reshape(2, steps * b, width)
+    mm = np.stack([mask, mask[::-1]], axis=1)[:, :, None].astype(kind)
+    g = p["wx"].transpose(0, 2, 1) @ xx.transpose(0, 2, 1) + p["bx"].transpose(0, 2, 1)
+    g = np.ascontiguousarray(g.reshape(2, 3 * hd, steps, b).transpose(2, 0, 1, 3))
+    ut = np.ascontiguousarray(p["u"].transpose(0, 2, 1))
+    h = np.zeros((steps + 1, 2, hd, b), kind)
+    hu, zr, n = (np.empty((steps, 2, k * hd, b), kind) for k in (3, 2, 1))
     for t in range(steps):
-        hu = h @ p["u"]
-        zr = _sigmoid(g[:, t, :, : 2 * hd] + hu[..., : 2 * hd])
-        z, r = zr[..., :hd], zr[..., hd:]
-        n = np.tanh(g[:, t, :, 2 * hd :] + r * hu[..., 2 * hd :])
-        kept.append((h, z, r, n, hu[..., 2 * hd :]))
-        h = (n + z * (h - n)) * mm[:, t]
-        hs[:, t] = h
-    cat = np.concatenate([hs[0], hs[1][::-1]], axis=2)
+        np.matmul(ut, h[t], out=hu[t])
+        np.add(g[t, :, :b2], hu[t, :, :b2], out=zr[t])
+        _squash(zr[t])
+        np.multiply(zr[t, :, hd:], hu[t, :, b2:], out=n[t])
+        n[t] += g[t, :, b2:]
+        np.tanh(n[t], out=n[t])
+        np.subtract(h[t], n[t], out=h[t + 1])
+        h[t + 1] *= zr[t, :, :hd]
+        h[t + 1] += n[t]
+        h[t + 1] *= mm[t]
+    cat = np.concatenate([h[1:, 0], h[:0:-1, 1]], axis=1)
     logit, (q, a, pooled) = _attend(p, cat, mask)
     prob = _sigmoid(logit)
     loss = float(np.mean(np.logaddexp(0, logit) - y * logit))
-    d = {k: np.zeros_like(v) for k, v in p.items() if k not in ("words", "grams")}
+    d = {}
     dl = (prob - y) / b
-    d["bo"][0] = dl.sum()
-    d["wo"] = dl @ pooled
-    dp = dl[:, None] * p["wo"]
-    dcat = a[..., None] * dp
-    da = np.einsum("tbh,bh->tb", cat, dp)
+    d["bo"] = np.array([dl.sum()], kind)
+    d["wo"] = pooled @ dl
+    dp = p["wo"][:, None] * dl
+    dcat = a[:, None] * dp
+    da = np.einsum("thb,hb->tb", cat, dp)
     ds = a * (da - (a * da).sum(axis=0))
-    d["va"] = np.einsum("tb,tba->a", ds, q)
-    dq = ds[..., None] * p["va"] * (1 - q * q)
-    d["wa"] = cat.reshape(-1, 2 * hd).T @ dq.reshape(-1, dq.shape[2])
-    dcat += dq @ p["wa"].T
-    dhs = np.stack([dcat[..., :hd], dcat[::-1, :, hd:]])
-    dg = np.zeros_like(g)
-    dh = np.zeros((2, b, hd), x.dtype)
-    ut = p["u"].transpose(0, 2, 1)
+    d["va"] = np.einsum("tb,tab->a", ds, q)
+    dq = ds[:, None] * p["va"][:, None] * (1 - q * q)
+    d["wa"] = (cat @ dq.transpose(0, 2, 1)).sum(axis=0)
+    dcat += p["wa"] @ dq
+    dhs = np.stack([dcat[:, :hd], dcat[::-1, hd:]], axis=1)
+    z, r = zr[:, :, :hd], zr[:, :, hd:]
+    new = (1 - z) * (1 - n * n)
+    # dh times these are the gradients of h @ u by kind: update, reset, candidate
+    by = np.stack([(h[:-1] - n) * z * (1 - z), new * hu[:, :, b2:] * r * (1 - r), new * r], axis=2)
+    dhu, dn = np.empty_like(by), np.empty_like(new)
+    dh = np.zeros((2, hd, b), kind)
     for t in reversed(range(steps)):
-        prev, z, r, n, hun = kept[t]
-        dh = (dh + dhs[:, t]) * mm[:, t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (prev - n) * z * (1 - z)
-        dr = dn * hun * r * (1 - r)
-        dhu = np.concatenate([dz, dr, dn * r], axis=2)
-        dg[:, t] = np.concatenate([dz, dr, dn], axis=2)
-        d["u"] += prev.transpose(0, 2, 1) @ dhu
-        dh = dh * z + dhu @ ut
-    d["bx"] = dg.sum(axis=(1, 2))[:, None]
-    d["wx"] = xx.reshape(2, steps * b, -1).transpose(0, 2, 1) @ dg.reshape(2, steps * b, -1)
-    dx = dg @ p["wx"].transpose(0, 2, 1)[:, None]
+        dh += dhs[t]
+        dh *= mm[t]
+        np.multiply(dh, new[t], out=dn[t])
+        np.multiply(by[t], dh[:, None], out=dhu[t])
+        dh *= z[t]
+        dh += p["u"] @ dhu[t].reshape(2, 3 * hd, b)
+    flat = lambda v: np.ascontiguousarray(v.reshape(steps, 2, -1, b).transpose(1, 2, 0, 3)).reshape(2, -1, steps * b)
+    dhu = flat(dhu)
+    d["u"] = flat(h[:-1]) @ dhu.transpose(0, 2, 1)
+    dg = dhu  # the candidate's part is its own, before the reset
+    dg[:, b2:] = flat(dn)
+    d["bx"] = dg.sum(axis=2)[:, None]
+    d["wx"] = (dg @ xx).transpose(0, 2, 1)
+    dx = (dg.transpose(0, 2, 1) @ p["wx"].transpose(0, 2, 1)).reshape(2, steps, b, width)
     return loss, d, dx[0] + dx[1][::-1]
 
 
+def _means(vectors: np.ndarray, grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Means of the vectors of the trigrams of each word."""
+    return np.add.reduceat(vectors.take(grams, axis=0), at, axis=0) / np.diff(at, append=len(grams)).astype(np.float32)[:, None]
+
+
 def _added(n: int, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sums of the rows by their places among ``n``."""
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    if len(at):
-        order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
-        begin = np.flatnonzero(np.diff(at[order], prepend=-1))
-        out[at[order[begin]]] = np.add.reduceat(rows[order], begin, axis=0)
+    out = np.empty((n, rows.shape[1]), np.float32)
+    for i, column in enumerate(rows.T):
+        out[:, i] = np.bincount(at, column, n)
     return out
 
 
@@ -227,32 +289,26 @@ class Model:
     shift: float
     constant: float = 0.0
 
-    def inputs(self, hashes, grams, at):
-        ids = np.zeros(len(hashes), np.int64)
-        if len(self.vocab):
-            k = np.minimum(np.searchsorted(self.vocab, hashes), len(self.vocab) - 1)
-            ids = np.where(self.vocab[k] == hashes, k + 1, 0)
-        if not len(hashes):
-            return np.zeros((0, 2, 3 * HIDDEN), np.float32)
-        sizes = np.diff(np.append(at, len(grams))).astype(np.float32)
-        chars = np.add.reduceat(self.p["grams"][grams], at, axis=0) / sizes[:, None]
-        x = np.concatenate([self.p["words"][ids], chars], axis=1)
-        return np.ascontiguousarray((x @ self.p["wx"] + self.p["bx"]).transpose(1, 0, 2))
-
-    def window_logits(self, hashes, grams, at, begin, size) -> np.ndarray:
-        """Logits of all windows, projecting about STRETCH words at a time."""
-        out = np.zeros(len(begin), np.float32)
-        ends = np.append(at[1:], len(grams))
-        lo = 0
-        while lo < len(begin):
-            hi = max(lo + 1, int(np.searchsorted(begin, begin[lo] + STRETCH)))
-            w0, w1 = int(begin[lo]), int((begin[lo:hi] + size[lo:hi]).max())
-            g0, g1 = (int(at[w0]), int(ends[w1 - 1])) if w1 > w0 else (0, 0)
-            part = self.inputs(hashes[w0:w1], grams[g0:g1], at[w0:w1] - g0)
-            out[lo:hi] = logits_of(self.p, part, begin[lo:hi] - w0, size[lo:hi])
-            lo = hi
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Rows of word vectors: those of other words are 0."""
+        if not len(self.vocab):
+            return np.zeros(len(hashes), np.int64)
+        k = np.minimum(np.searchsorted(self.vocab, hashes), len(self.vocab) - 1)
+        return np.where(self.vocab[k] == hashes, k + 1, 0)
+
+    def inputs(self, runs: Runs) -> np.ndarray:
+        """Inputs of the distinct words, STRETCH at a time."""
+        out = np.empty((len(runs.words), WORD_DIM + CHAR_DIM), np.float32)
+        out[:, :WORD_DIM] = self.p["words"][self.numbers(runs.words)]
+        ends = np.append(runs.begin[1:], len(runs.grams))
+        for i in range(0, len(out), STRETCH):
+            at = runs.begin[i : i + STRETCH]
+            out[i : i + STRETCH, WORD_DIM:] = _means(self.p["grams"], runs.grams[at[0] : ends[i + len(at) - 1]], at - at[0])
         return out
 
+    def logits(self, runs: Runs, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return logits_of(self.p, self.inputs(runs), runs.at, begin, size)
+
     def scores(self, arr: pa.Array) -> np.ndarray:
         if self.p is None or len(arr) == 0:
             return np.full(len(arr), self.constant)
@@ -260,9 +316,9 @@ class Model:
 
     def tops(self, arr: pa.Array) -> np.ndarray:
         """The largest logit of each text's windows."""
-        hashes, first, grams, at = letter_runs(arr)
-        text, begin, size = windows(first)
-        logit = self.window_logits(hashes, grams, at, begin, size)
+        runs = Runs.of(arr)
+        text, begin, size = windows(runs.first)
+        logit = self.logits(runs, begin, size)
         top = np.full(len(arr), -np.inf)
         np.maximum.at(top, text, logit)
         return top
@@ -289,18 +345,15 @@ def _calibration_sums(x: np.ndarray, y: np.ndarray, weight: np.ndarray, slope: f
     return [(g * x).sum(), g.sum(), (h * x * x).sum(), (h * x).sum(), h.sum()]
 
 
-def _runs_in_chunks(texts: pa.Array):
-    """letter_runs of many texts, about a megabyte at a time."""
-    parts, words, grams = [], 0, 0
-    for part in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
-        for c in chunks(pa.RecordBatch.from_arrays([part], names=["text"]), "text"):
-            h, f, g, at = letter_runs(c.column("text"))
-            parts.append((h, f[:-1] + words, g, at + np.int32(grams)))
-            words, grams = words + len(h), grams + len(g)
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int16), np.zeros(0, np.int32)
-    h, f, g, at = (np.concatenate(x) for x in zip(*parts))
-    return h, np.append(f, words), g, at
+def _runs_in_chunks(texts: pa.Array) -> Runs:
+    """Letter runs of many texts, read about a megabyte at a time."""
+    return Runs.joined(
+        [
+            Runs.of(c.column("text"))
+            for part in (texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts])
+            for c in chunks(pa.RecordBatch.from_arrays([part], names=["text"]), "text")
+        ]
+    )
 
 
 def train(texts: pa.Array, y: np.ndarray, share: float, seed: int = 7) -> Model:
@@ -308,16 +361,16 @@ def train(texts: pa.Array, y: np.ndarray, share: float, seed: int = 7) -> Model:
     return train_runs(_runs_in_chunks(texts), y, share, seed)
 
 
-def train_runs(runs, y: np.ndarray, share: float, seed: int = 7) -> Model:
+def train_runs(runs: Runs, y: np.ndarray, share: float, seed: int = 7) -> Model:
     """Fit on the letter runs of texts, as one share."""
     if len(y) == 0 or y.min() == y.max():
         return Model(None, np.zeros(0, np.uint64), 1, 0, constant=float(share))
-    w, c = _text_counts(runs[0], runs[1])
+    w, c = _text_counts(runs.words[runs.at], runs.first)
     keep = np.flatnonzero(c >= MIN_TEXTS)
     vocab = np.sort(w[keep[np.argsort(-c[keep], kind="stable")][:MAX_WORDS]])
     plan = _Plan((y == 0).sum(), (y == 1).sum())
     model, rng = Model(initial(len(vocab), np.random.default_rng(seed)), vocab, 1, 0), np.random.default_rng(seed)
-    own, adam = _Share(runs, y, vocab), _Adam(model.p)
+    own, adam = _Share(runs, y), _Adam(model.p)
     for epochs in plan.rounds():
         own.learn(model, adam, plan, epochs, rng)
     top = own.tops(model).astype(float)
@@ -360,20 +413,14 @@ class _Plan:
 class _Share:
     """Texts that are trained on together."""
 
-    def __init__(self, runs, y: np.ndarray, vocab: np.ndarray):
-        self.hashes, self.first, self.grams, self.at = runs
-        self.y = y
-        uniq, where = np.unique(self.hashes, return_index=True)
-        self.where = where.astype(np.int32)
-        self.inverse = np.concatenate([np.searchsorted(uniq, self.hashes[i : i + STRETCH]).astype(np.int32) for i in range(0, len(self.hashes), STRETCH)] or [self.where])
-        k = np.minimum(np.searchsorted(vocab, uniq), max(0, len(vocab) - 1))
-        self.word = np.where(vocab[k] == uniq, k + 1, 0) if len(vocab) else np.zeros(len(uniq), int)
-        self.ends = np.append(self.at[1:], len(self.grams))
-        self.text, self.begin, self.size = windows(self.first)
+    def __init__(self, runs: Runs, y: np.ndarray):
+        self.runs, self.y = runs, y
+        self.ends = np.append(runs.begin[1:], len(runs.grams))
+        self.text, self.begin, self.size = windows(runs.first)
         self.of = np.split(np.arange(len(self.text)), np.cumsum(np.bincount(self.text, minlength=len(y)))[:-1])
 
     def logits(self, model: Model) -> np.ndarray:
-        return model.window_logits(self.hashes, self.grams, self.at, self.begin, self.size)
+        return model.logits(self.runs, self.begin, self.size)
 
     def tops(self, model: Model) -> np.ndarray:
         top = np.full(len(self.y), -np.inf)
@@ -382,7 +429,7 @@ class _Share:
 
     def learn(self, model: Model, adam: _Adam, plan: _Plan, epochs: range, rng: np.random.Generator) -> None:
         """Train ``model`` and ``adam`` in place for some epochs."""
-        y, best = self.y, None
+        y, best, word = self.y, None, model.numbers(self.runs.words)
         if epochs[0] >= plan.warm:
             logit = self.logits(model)
             best = [v[logit[v].argmax()] for v in self.of]
@@ -395,35 +442,37 @@ class _Share:
             pick = rng.permutation(pick)
             rate = RATE * (1 - epoch / plan.epochs)
             for i in range(0, len(pick), BATCH):
-                self._step(model.p, adam, pick[i : i + BATCH], rate, rng)
+                self._step(model.p, adam, word, pick[i : i + BATCH], rate, rng)
 
-    def _step(self, p: dict, adam: _Adam, rows: np.ndarray, rate: float, rng: np.random.Generator) -> None:
-        if not len(self.hashes):
+    def _step(self, p: dict, adam: _Adam, word: np.ndarray, rows: np.ndarray, rate: float, rng: np.random.Generator) -> None:
+        runs = self.runs
+        if not len(runs.at):
             return  # texts without any word
         step = np.arange(WINDOW)[:, None]
         mask = step < self.size[rows]
-        used, back = np.unique(self.inverse[np.minimum(self.begin[rows] + step, len(self.hashes) - 1)], return_inverse=True)
+        used, back = np.unique(runs.at[np.minimum(self.begin[rows] + step, len(runs.at) - 1)], return_inverse=True)
         back = back.reshape(mask.shape)
-        ids = np.where(rng.random(len(used)) < 0.3, 0, self.word[used])
-        lo, n = self.at[self.where[used]], (self.ends - self.at)[self.where[used]]
-        flat = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        chars = np.add.reduceat(p["grams"][self.grams[flat]], np.cumsum(n) - n, axis=0) / n[:, None]
-        x = np.concatenate([p["words"][ids], chars], axis=1).astype(np.float32)[back]
+        ids = np.where(rng.random(len(used)) < 0.3, 0, word[used])
+        lo = runs.begin[used]
+        n = self.ends[used] - lo
+        at = np.cumsum(n) - n
+        grams = runs.grams[np.repeat(lo - at, n) + np.arange(n.sum())]
+        x = np.concatenate([p["words"].take(ids, axis=0), _means(p["grams"], grams, at)], axis=1).take(back, axis=0)
         _, d, dx = gradients(p, x, mask, self.y[self.text[rows]].astype(np.float32))
-        dx = dx * mask[..., None]
+        dx *= mask[..., None]
         per = _added(len(used), back.ravel(), dx.reshape(-1, dx.shape[2]))
         d["words"] = _added(len(p["words"]), ids, per[:, :WORD_DIM])
-        d["grams"] = _added(GRAM_BINS, self.grams[flat], np.repeat(per[:, WORD_DIM:] / n[:, None], n, axis=0))
+        d["grams"] = _added(GRAM_BINS, grams, np.repeat(per[:, WORD_DIM:] / n[:, None].astype(np.float32), n, axis=0))
         adam.step(p, d, rate)
 
 
-def _shares(batches, vocab: np.ndarray):
+def _shares(batches):
     """(number, share) of the shares of a task; the rows of one follow each other."""
     held: list[pa.RecordBatch] = []
 
     def whole():
         t = pa.Table.from_batches(held)
-        return t.column("share")[0].as_py(), _Share(_runs_in_chunks(t.column("text")), t.column("y").to_numpy(), vocab)
+        return t.column("share")[0].as_py(), _Share(_runs_in_chunks(t.column("text")), t.column("y").to_numpy())
 
     for b in batches:
         number = b.column("share").to_numpy()
@@ -493,7 +542,7 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
 
         def learn(batches):
             total, texts, steps = np.zeros(len(start)), 0, 0.0
-            for number, own in _shares(batches, vocab):
+            for number, own in _shares(batches):
                 mine = Model(initial(len(vocab), np.random.default_rng(seed)), vocab, 1, 0)
                 moments = _Adam(mine.p)
                 _unpacked(start, mine.p, moments)

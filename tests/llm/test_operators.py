@@ -455,6 +455,29 @@ def test_toxicity_steps_and_calibration_add_up():
     assert np.allclose(toxicity._calibrate(parts, 400), toxicity._calibrate(lambda *w: toxicity._calibration_sums(x, y, np.ones(400), *w), 400))
 
 
+def test_toxicity_holds_each_word_once():
+    """What depends on a word alone is computed once for each distinct word, whatever its places."""
+    rng = random.Random(4)
+    some = ["zonk", "Ünï", "a", "wörter", "漢字", "q" * 300]
+    texts = [" ".join(rng.choice(some) for _ in range(rng.choice([0, 1, 63, 64, 200]))) + "\t12 !" for _ in range(40)] + [None, ""]
+    parts = [toxicity.Runs.of(pa.array(texts[i : i + 5])) for i in range(0, len(texts), 5)]
+    one, joined = toxicity.Runs.of(pa.array(texts)), toxicity.Runs.joined(parts)
+    assert len(one.words) == len(some) < len(one.at)
+    for k in ("words", "at", "first", "grams", "begin"):
+        assert (getattr(one, k) == getattr(joined, k)).all()
+    m = toxicity.Model(toxicity.initial(3, np.random.default_rng(1)), one.words[:3], 1, 0)
+    assert m.inputs(one).shape == (len(some), toxicity.WORD_DIM + toxicity.CHAR_DIM)
+    # the scores follow the loss that training lowers
+    text, begin, size = toxicity.windows(one.first)
+    rows = np.flatnonzero(size > 0)
+    step = np.arange(toxicity.WINDOW)[:, None]
+    x = m.inputs(one)[one.at[np.minimum(begin[rows] + step, len(one.at) - 1)]]
+    logit, y = m.logits(one, begin, size)[rows], (rows % 2).astype(np.float32)
+    loss = toxicity.gradients(m.p, x, step < size[rows], y)[0]
+    assert loss == pytest.approx(float(np.mean(np.logaddexp(0, logit) - y * logit)), rel=1e-4)
+    assert np.allclose(m.scores(pa.array(texts)), np.concatenate([m.scores(pa.array(texts[i : i + 1])) for i in range(len(texts))]), atol=1e-5)
+
+
 def test_windows_cover_everything():
     first = np.array([0, 0, 1, 64, 65, 200, 513])
     text, begin, size = toxicity.windows(first)
