@@ -31,6 +31,7 @@ import sys
 import uuid
 import zlib
 from array import array
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ from .common import key_buckets, partitions, shared_dir, ship_package, stored, t
 
 MASK = 0xA282EAD8
 MEMORY = 1_000_000
+TOGETHER = 256  # parts encoded as one text
 END_ID = 0
 NULL_ID = -(2**63)
 CUT = re.compile(r"(?= \S)")
@@ -84,6 +86,9 @@ class Encoder:
         self.whole: dict[str, bytes] = {}  # ids of parts as they stand
         self.behind: dict[str, bytes] = {}  # ids of a space and the part
         self.plain = self._cuttable()
+        vocab = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocab.values()) + 1, bool)  # ids of tokens that begin with a space
+        self.spaced[[i for t, i in vocab.items() if t[:1] in ("\u0120", " ")]] = True
 
     def _cuttable(self) -> bool:
         """Whether the cut is sound: byte-level pieces without normaliser or leading space."""
@@ -108,30 +113,36 @@ class Encoder:
 
     def _learn(self, parts: dict, store: dict[str, bytes], lead: str) -> None:
         fresh = list(parts)
+        if store is self.behind:
+            for i in range(0, len(fresh), TOGETHER):
+                self._learn_together(fresh[i : i + TOGETHER])
+            return
         for p, e in zip(fresh, self.tokenizer.encode_batch_fast([lead + p for p in fresh], add_special_tokens=False)):
-            ids = array(self.code, e.ids)
-            if sys.byteorder == "big":
-                ids.byteswap()
-            store[p] = ids.tobytes()
+            store[p] = self._packed(e.ids)
+
+    def _learn_together(self, fresh: list[str]) -> None:
+        """Ids of spaces and parts, encoded as one text: a part's first id is the only one whose token begins with a space."""
+        ids = self.tokenizer.encode_batch_fast([" " + " ".join(fresh)], add_special_tokens=False)[0].ids
+        first = np.flatnonzero(self.spaced[np.array(ids)])
+        if len(first) != len(fresh) or first[0]:
+            raise ValueError("a part's ids can't be told from the next one's")
+        packed, at = self._packed(ids), [*(first * self.width).tolist(), len(ids) * self.width]
+        self.behind.update((p, packed[lo:hi]) for p, lo, hi in zip(fresh, at, at[1:]))
+
+    def _packed(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         for store in (self.whole, self.behind):
             if len(store) > MEMORY:
                 store.clear()
-        done: list = [b""] * len(texts)
-        open_ = []
-        for i, t in enumerate(texts):
-            if t:
-                pieces = list(self._pieces(t))
-                try:
-                    done[i] = b"".join([b"".join(map(store.__getitem__, parts)) for store, parts in pieces])
-                except KeyError:
-                    open_.append((i, pieces))
+        pieces = [list(self._pieces(t)) if t else [] for t in texts]
         for store, lead in ((self.whole, ""), (self.behind, " ")):
-            self._learn({p: None for _, pieces in open_ for s, parts in pieces if s is store for p in parts if p not in store}, store, lead)
-        for i, pieces in open_:
-            done[i] = b"".join([b"".join(map(store.__getitem__, parts)) for store, parts in pieces])
-        return done
+            self._learn(dict.fromkeys(chain.from_iterable(filterfalse(store.__contains__, parts) for own in pieces for s, parts in own if s is store)), store, lead)
+        return [b"".join([b"".join(map(store.__getitem__, parts)) for store, parts in own]) for own in pieces]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -293,6 +293,30 @@ def test_broken_records_are_seen():
             records.read_record(r[:i] + bytes([r[i] ^ 1]) + r[i + 1 :], 0)
 
 
+def test_parts_are_encoded_together():
+    """Parts behind a space take one call for many of them, and their ids are those of each alone."""
+    import public_tokenizers
+
+    enc = records.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng, texts = random.Random(6), []
+    some = ["a\n", "b\n\n", "Ünï", "漢字", "\U0001f600", "<|endoftext|>", "x<|endoftext|>y", "Ġ", "Ġx", "don't", "12,5", "--", "q" * 400]
+    for _ in range(600):
+        texts.append(" ".join([rng.choice("abc")] + [rng.choice([*some, *[str(rng.random())] * 20]) for _ in range(rng.randrange(9))]))
+    texts += ["", None, " x", "x ", "a  b", "a \nb", "a\u00a0b c"]
+    calls, plain = [], enc.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, parts, **how):
+            calls.extend(parts)
+            return plain.encode_batch_fast(parts, **how)
+
+    enc.tokenizer = Counted()
+    got = enc([t or "" for t in texts])
+    want = [np.array(e.ids, "<u2").tobytes() for e in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert got == want and enc([t or "" for t in texts]) == want
+    assert len(enc.behind) > 1000 and len(calls) < 100
+
+
 # -- 5 mixing ------------------------------------------------------------------------
 
 
