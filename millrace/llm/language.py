@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import VECTOR_ROWS, chunks, crc_fold, passing, shared_dir, ship_package, splitmix, stored, table, utf8, vector_rows, vector_totals, without
+from .common import VECTOR_ROWS, chunks, crc_fold, passing, remove, shared_dir, ship_package, splitmix, stored, table, utf8, vector_rows, vector_totals, without
 
 BINS = 4096
 ORDERS = 3
@@ -238,7 +238,15 @@ def _floors(seen: np.ndarray) -> np.ndarray:
 
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Learn from all rows of ``train`` whose language and text are not null."""
+    """Learn from all rows of ``train`` whose language and text are not null. The files of training are removed at the end."""
+    work = shared_dir(train.sparkSession, "language")
+    try:
+        return _fit(train, text, lang, work)
+    finally:
+        remove(train.sparkSession, work)
+
+
+def _fit(train: DataFrame, text: str, lang: str, work: str) -> Model:
     spark = train.sparkSession
     ship_package(spark)
     rows = train.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.unhex(F.sha2(F.col(text).cast("binary"), 256)).alias("key"))
@@ -251,7 +259,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     texts = rows.mapInArrow(vectors, "lang string, key binary, bins binary, counts binary")
     texts = texts.groupBy("lang", "key").agg(F.first("bins").alias("bins"), F.first("counts").alias("counts"), F.count(F.lit(1)).alias("n"))
-    texts = stored(texts, f"{shared_dir(spark, 'language')}/texts")
+    texts = stored(texts, f"{work}/texts")
 
     def frequencies(batches):
         df = np.zeros(BINS + 1)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import VECTOR_ROWS, chunks, crc_fold, passing, shared_dir, ship_package, span_hashes, stored, table, utf8, vector_rows, vector_totals, without, word_spans
+from .common import VECTOR_ROWS, chunks, crc_fold, passing, remove, shared_dir, ship_package, span_hashes, stored, table, utf8, vector_rows, vector_totals, without, word_spans
 
 WINDOW, STRIDE = 64, 48
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 8, 8
@@ -500,7 +500,15 @@ def _unpacked(vec: np.ndarray, p: dict, adam: _Adam) -> None:
 
 
 def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
-    """Learn from all labelled rows; rows of fold 0 (crc32 of the id modulo 5) take no part."""
+    """Learn from all labelled rows; rows of fold 0 (crc32 of the id modulo 5) take no part. The files of training are removed at the end."""
+    work = shared_dir(docs.sparkSession, "toxicity")
+    try:
+        return _fit(docs, labels, seed, work)
+    finally:
+        remove(docs.sparkSession, work)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, seed: int, work: str) -> Model:
     spark = docs.sparkSession
     ship_package(spark)
     learnt = crc_fold(F.col("doc_id"), 5) != 0
@@ -519,7 +527,6 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
     # Copies of a row teach nothing new; the order is that of ids and texts, so a task run again learns the same.
     rows = rows.join(known, "doc_id").dropDuplicates(["doc_id", "text"])
     rows = rows.withColumn("share", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shares)).cast("int")).withColumn("at", F.xxhash64("doc_id", F.lit(3)))
-    work = shared_dir(spark, "toxicity")
     rows = stored(rows.repartition(shares, "share").sortWithinPartitions("share", "at", "doc_id", "text").select("share", "text", "y"), f"{work}/texts")
     seen = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     if len(seen) < 2:
