@@ -8,7 +8,8 @@ pools the states to one logit. The largest logit of all windows is the text's,
 calibrated by logistic regression to the label shares of the training rows.
 
 Training uses every labelled text of both classes, whole. They are written once, in the shared
-folder, in shares of about SHARE_TEXTS texts or SHARE_BYTES. In a round each share is trained on
+folder, in shares of about SHARE_TEXTS texts or SHARE_BYTES, dealt by id; one of twice that (an id with
+very many texts) is trained on in parts. In a round each share is trained on
 by itself from the same weights, and the means of the weights and of Adam's moments, by
 number of texts, begin the next round; the words and the calibration count all texts. One share is plain
 training. Scoring covers every window of every text.
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import VECTOR_ROWS, chunks, crc_fold, passing, remove, shared_dir, ship_package, span_hashes, stored, table, utf8, vector_rows, vector_totals, without, word_spans
@@ -36,6 +37,7 @@ GRAM_BINS = 4096
 MIN_TEXTS, MAX_WORDS = 4, 8192
 SHARE_TEXTS, SHARE_BYTES = 4500, 32 << 20
 BLOCKS = 8  # of the weights, summed apart
+ID_BITS, PAGE_BITS, MAX_PAGES = 16, 1 << 15, 1 << 12  # of the map of labelled ids: bits for an id, bits of a page, pages (16 MB)
 EPOCHS, WARM_EPOCHS, MIN_STEPS, BATCH, RATE = 9, 3, 500, 128, 0.01
 BLOCK = 512  # windows at a time
 STRETCH = 40_000  # words projected at a time
@@ -467,8 +469,9 @@ class _Share:
 
 
 def _shares(batches):
-    """(number, share) of the shares of a task; the rows of one follow each other."""
+    """(number, share) of the shares of a task; the rows of one follow each other. What is held of one ends at twice a share's size."""
     held: list[pa.RecordBatch] = []
+    large = lambda: sum(b.num_rows for b in held) >= 2 * SHARE_TEXTS or sum(b.nbytes for b in held) >= 2 * SHARE_BYTES
 
     def whole():
         t = pa.Table.from_batches(held)
@@ -479,7 +482,7 @@ def _shares(batches):
         cuts = [0, *(np.flatnonzero(np.diff(number)) + 1), len(number)]
         for lo, hi in zip(cuts[:-1], cuts[1:]):
             if hi > lo:
-                if held and held[0].column("share")[0].as_py() != number[lo]:
+                if held and (held[0].column("share")[0].as_py() != number[lo] or large()):
                     yield whole()
                     held.clear()
                 held.append(b.slice(lo, hi - lo))
@@ -499,6 +502,19 @@ def _unpacked(vec: np.ndarray, p: dict, adam: _Adam) -> None:
             lo += p[k].size
 
 
+def _likely(rows: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """``rows`` whose doc_id is among the ``n`` of ``known``, and a few others: what need not be shuffled for a join goes before it.
+
+    Hashed ids are bits of a broadcast map; where it is at its largest, more others stay.
+    """
+    pages = max(1, min(MAX_PAGES, -(-n * ID_BITS // PAGE_BITS)))
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(pages * PAGE_BITS))
+    page, bit = F.floor(at / PAGE_BITS), at % PAGE_BITS
+    marks = known.select(page.alias("__page"), bit.alias("__bit")).groupBy("__page").agg(F.bitmap_construct_agg("__bit").alias("__marks"))
+    byte = F.conv(F.hex(F.substring(F.col("__marks"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return rows.join(F.broadcast(marks), (page == F.col("__page")) & (F.getbit(byte, (bit % 8).cast("int")) == 1), "left_semi")
+
+
 def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
     """Learn from all labelled rows; rows of fold 0 (crc32 of the id modulo 5) take no part. The files of training are removed at the end."""
     work = shared_dir(docs.sparkSession, "toxicity")
@@ -524,10 +540,13 @@ def _fit(docs: DataFrame, labels: DataFrame, seed: int, work: str) -> Model:
     rows = docs.where(learnt).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     there = rows.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).join(known, "doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
     shares = max(1, -(-there["n"] // SHARE_TEXTS), -(-(there["size"] or 0) // SHARE_BYTES))
+    # Texts move once, those with labels alone. They and the labels meet in their share: a join could deal them again, by other keys, and take the shares apart.
+    rows = _likely(rows, known, sum(sizes.values())).unionByName(known, allowMissingColumns=True)
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(shares)).cast("int")).repartition(shares, "share")
+    rows = rows.withColumn("label", F.max("y").over(Window.partitionBy("share", "doc_id"))).where("y IS NULL AND label IS NOT NULL").withColumn("y", F.col("label"))
     # Copies of a row teach nothing new; the order is that of ids and texts, so a task run again learns the same.
-    rows = rows.join(known, "doc_id").dropDuplicates(["doc_id", "text"])
-    rows = rows.withColumn("share", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shares)).cast("int")).withColumn("at", F.xxhash64("doc_id", F.lit(3)))
-    rows = stored(rows.repartition(shares, "share").sortWithinPartitions("share", "at", "doc_id", "text").select("share", "text", "y"), f"{work}/texts")
+    rows = rows.dropDuplicates(["share", "doc_id", "text"])
+    rows = stored(rows.sortWithinPartitions("share", F.xxhash64("doc_id", F.lit(3)), "doc_id", "text").select("share", "text", "y"), f"{work}/texts")
     seen = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     if len(seen) < 2:
         return Model(None, np.zeros(0, np.uint64), 1, 0, constant=toxic)

@@ -468,6 +468,63 @@ def test_toxicity_learns_from_all_texts(spark, monkeypatch):
     assert len(held) > 1000 and np.mean([(r.score >= 0.5) == (r.doc_id % 2 == 1) for r in held]) > 0.97
 
 
+def test_toxicity_training_shuffles_labelled_texts_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARE_TEXTS", 100)
+    whole, stored = [], toxicity.stored
+
+    def seen(df, path):
+        out = stored(df, path)
+        whole.append(out.select("share", "text", "y", F.input_file_name().alias("file")).collect())
+        return out
+
+    rng = random.Random(5)
+    d = [(i, rng.randbytes(1500).hex()) for i in range(3000)] + [(9, rng.randbytes(1500).hex()), (None, "no id")]
+    texts = sorted(t for i, t in d if i is not None and i % 8 == 0 and zlib.crc32(str(i).encode()) % 5)
+    d = stored(spark.createDataFrame(d + d[:99], "doc_id long, text string"), f"file://{tmp_path}/documents")
+    monkeypatch.setattr(toxicity, "stored", seen)
+    labels = spark.createDataFrame([(i, 0, 0) for i in range(0, 3000, 8)], "doc_id long, quality int, toxic int")
+    group, sc = "shuffled by toxicity", spark.sparkContext
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many labels
+    sc.setJobGroup(group, "")
+    try:
+        assert toxicity.fit(d, labels).p is None  # one class: the texts are dealt, and training ends
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    tracker, shuffled = sc.statusTracker(), 0
+    for k in {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}:
+        shuffled += sc._jsc.sc().statusStore().lastStageAttempt(k).shuffleWriteBytes()
+    kept = 3000 * len(texts)
+    assert kept / 4 < shuffled < 1.2 * kept
+    (rows,) = whole
+    assert sorted(r.text for r in rows) == texts and {r.y for r in rows} == {0}
+    assert len({r.share for r in rows}) > 2 and len({(r.share, r.file) for r in rows}) == len({r.share for r in rows})
+
+
+def test_toxicity_sieve_loses_no_labelled_row(spark, monkeypatch):
+    ids = [-(1 << 63), -5, 0, 7, (1 << 63) - 1, *range(1000, 9000, 4)]
+    rows = spark.createDataFrame([(i,) for i in [*ids, 7, None, *range(1001, 40001, 4)]], "doc_id long")
+    known = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, y int")
+    got = [r.doc_id for r in toxicity._likely(rows, known, len(ids)).collect()]
+    assert got.count(7) == 2 and set(ids) <= set(got) and len(ids) < len(got) < 1.6 * len(ids)
+    monkeypatch.setattr(toxicity, "ID_BITS", 64)
+    monkeypatch.setattr(toxicity, "MAX_PAGES", 1)  # a full map lets more pass
+    more = [r.doc_id for r in toxicity._likely(rows, known, len(ids)).collect()]
+    assert set(ids) <= set(more) and len(more) < rows.count()
+    assert not toxicity._likely(rows, known.limit(0), 0).count()
+
+
+def test_toxicity_cuts_a_share_that_is_too_large(monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARE_TEXTS", 10)
+    share, texts = [0] * 5 + [1] * 100 + [2] * 3, [f"word{'abcdefghij'[i % 10]} same" for i in range(108)]
+    whole = pa.RecordBatch.from_arrays([pa.array(share, pa.int32()), pa.array(texts), pa.array([0] * 108, pa.int32())], names=["share", "text", "y"])
+    got = list(toxicity._shares(whole.slice(i, 8) for i in range(0, 108, 8)))
+    assert {k: sum(len(s.y) for n, s in got if n == k) for k in (0, 1, 2)} == {0: 5, 1: 100, 2: 3}
+    assert max(len(s.y) for _, s in got) <= 28
+
+
 def test_toxicity_steps_and_calibration_add_up():
     rng = np.random.default_rng(3)
     at, rows = rng.integers(0, 40, 500), rng.standard_normal((500, 3)).astype(np.float32)
