@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import cached_property
 
 import numpy as np
 
@@ -20,7 +21,10 @@ class EliasFano:
     def __init__(self, arrays: dict, n: int, low_bits: int):
         self.n, self.l = n, low_bits
         self.low, self.high, self.ones = arrays["low"], arrays["high"], arrays["ones"]
-        self.zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
+
+    @cached_property
+    def zeros(self) -> np.ndarray:
+        return np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
 
     @staticmethod
     def build(values: np.ndarray) -> tuple[dict, int, int]:

@@ -21,7 +21,8 @@ values of the file.
 Counting: a task sums the n-grams of a few million tokens, then sends each file's range
 one compressed block of sorted contexts, words and counts, so the shuffle has few rows.
 Files are named anew by each task and listed in a table once written (a task run again
-leaves an unlisted file), in the shared folder, and mapped by each executor, not loaded.
+leaves an unlisted file), in the shared folder, and mapped by each executor for a visit,
+not loaded.
 
 Defined results: null or empty text has the end token only. A null id is not held out
 and is learned from. Repeated rows count and are scored each. An empty training set
@@ -191,7 +192,7 @@ class Level:
     def __init__(self, folder: str, files: list[tuple[int, str, int]]):
         self.folder, self.files = folder, files  # (least key, name, entries)
         self.least = np.array([f[0] for f in files], np.uint64)
-        self.open: dict[int, Words] = {}
+        self.paths: dict[int, str] = {}
 
     def __reduce__(self):
         return Level, (self.folder, self.files)
@@ -202,11 +203,12 @@ class Level:
         got = np.zeros(len(uniq))
         at = np.append(np.searchsorted(uniq, self.least), len(uniq))
         for i in np.flatnonzero(np.diff(at) > 0):
-            if i not in self.open:
-                self.open[i] = Words(local_path(f"{self.folder}/{self.files[i][1]}"))
-            j = self.open[i].find(uniq[at[i] : at[i + 1]])
+            if i not in self.paths:
+                self.paths[i] = local_path(f"{self.folder}/{self.files[i][1]}")
+            file = Words(self.paths[i])  # mapped for this visit alone
+            j = file.find(uniq[at[i] : at[i + 1]])
             ok = np.flatnonzero(j >= 0)
-            got[at[i] + ok] = self.open[i].counts(j[ok])
+            got[at[i] + ok] = file.counts(j[ok])
         return got[back]
 
 
@@ -239,28 +241,28 @@ class Nodes:
 
     def __init__(self, folder: str, ranges: Ranges, names: dict[int, str]):
         self.folder, self.ranges, self.names = folder, ranges, names
-        self.open: dict[int, Grams] = {}
+        self.paths: dict[int, str] = {}
 
     def __reduce__(self):
         return Nodes, (self.folder, self.ranges, self.names)
 
-    def look(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(share, rest) of each query, as in Grams."""
-        share, rest = np.zeros(len(context)), np.ones(len(context))
-        order = np.argsort(context)
+    def raise_order(self, p: np.ndarray, context: np.ndarray, word: np.ndarray, ok: np.ndarray) -> None:
+        """Put the probabilities of this level in place of the lower order's in ``p``, for the tokens ``ok``."""
+        order = ok[np.argsort(context[ok])]
         of = self.ranges.of(context[order], word[order])
         if len(self.ranges.hot):
             again = np.argsort(of, kind="stable")
             order, of = order[again], of[again]
-        cuts = np.flatnonzero(np.diff(of)) + 1
-        for at in np.split(np.arange(len(of)), cuts) if len(of) else []:
-            i = int(of[at[0]])
+            del again
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(of)]])
+        for lo, hi in zip(cuts[:-1], cuts[1:]) if len(of) else []:
+            i = int(of[lo])
             if i in self.names:
-                if i not in self.open:
-                    self.open[i] = Grams(local_path(f"{self.folder}/{self.names[i]}"))
-                rows = order[at]
-                share[rows], rest[rows] = self.open[i].look(context[rows], word[rows])
-        return share, rest
+                if i not in self.paths:
+                    self.paths[i] = local_path(f"{self.folder}/{self.names[i]}")
+                rows = order[lo:hi]
+                share, rest = Grams(self.paths[i]).look(context[rows], word[rows])  # mapped for this visit alone
+                p[rows] = share + rest * p[rows]
 
 
 # -- the model -------------------------------------------------------------------
@@ -276,10 +278,10 @@ def contexts(h: np.ndarray, start: np.ndarray, order: int):
     padded = np.empty(len(h), np.uint64)
     padded[1:] = h[:-1]
     padded[start[:-1]] = END
-    last = below(padded)
-    inside = np.arange(len(h)) - np.repeat(start[:-1], np.diff(start))
-    c = splitmix(padded)
+    last, c = below(padded), splitmix(padded)
+    del padded
     yield c, np.arange(len(h))
+    inside = np.arange(len(h)) - np.repeat(start[:-1], np.diff(start))
     for k in range(3, order + 1):  # a context is the one before its last word, and that word
         longer = np.zeros(len(h), np.uint64)
         longer[1:] = c[:-1]
@@ -307,8 +309,7 @@ class Trie:
         p = self.unigram(counts)
         word = below(h)
         for nodes, (context, ok) in zip(self.levels, contexts(h, start, len(self.levels) + 1)):
-            share, rest = nodes.look(context[ok], word[ok])
-            p[ok] = share + rest * p[ok]
+            nodes.raise_order(p, context, word, ok)
         return counts, p
 
 
@@ -328,24 +329,40 @@ def _words_files(df: DataFrame, folder: str, rows: int) -> Level:
     return Level(folder, sorted((r["least"], r["file"], r["n"]) for r in out.collect()))
 
 
+def _taken(held: list) -> list[np.ndarray]:
+    """The columns of all parts, which are let go."""
+    out = [np.concatenate(x) for x in zip(*held)]
+    held.clear()
+    return out
+
+
 def _summed(context: np.ndarray, word: np.ndarray, n: np.ndarray | None = None):
     """Sorted distinct (context, word) with their counts; without ``n`` each row counts once."""
     if not len(context):
         return context, word, np.zeros(0, np.int64)
+    # Columns are large: each goes as soon as it has served.
     order = np.argsort(context)
-    context, word = context[order], word[order]
+    context = context[order]
+    word = word[order]
     new = np.concatenate([[True], context[1:] != context[:-1]])
-    rank, uniq = np.cumsum(new) - 1, context[new]
+    rank, uniq = np.cumsum(new), context[new]
+    rank -= 1
+    del context, new
     if rank[-1] >> (64 - WORD_BITS):  # too many contexts for a key of rank and word
         again = np.lexsort((word, rank))
     else:
-        key = (rank.astype(np.uint64) << np.uint64(WORD_BITS)) | word
+        key = rank.astype(np.uint64)
+        key <<= np.uint64(WORD_BITS)
+        key |= word
         if n is None:
-            key = np.sort(key)
+            del order, rank, word
+            key.sort()
             begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            size = np.diff(begin, append=len(key))
             key = key[begin]
-            return uniq[(key >> np.uint64(WORD_BITS)).astype(np.int64)], key & np.uint64((1 << WORD_BITS) - 1), np.diff(np.append(begin, len(rank)))
+            return uniq[(key >> np.uint64(WORD_BITS)).astype(np.int64)], key & np.uint64((1 << WORD_BITS) - 1), size
         again = np.argsort(key)
+        del key
     rank, word = rank[again], word[again]
     n = np.ones(len(rank), np.int64) if n is None else n[order[again]]
     begin = np.flatnonzero(np.concatenate([[True], (rank[1:] != rank[:-1]) | (word[1:] != word[:-1])]))
@@ -392,8 +409,9 @@ def train(texts: DataFrame, order: int = ORDER) -> Trie:
         held, size = [], 0
 
         def out():
-            u, n = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array(u.astype(np.int64)), pa.array(np.bincount(n, np.concatenate([c for _, c in held])).astype(np.int64))], names=["key", "n"])
+            h, n = _taken(held)
+            u, at = np.unique(h, return_inverse=True)
+            return pa.RecordBatch.from_arrays([pa.array(u.astype(np.int64)), pa.array(np.bincount(at, n).astype(np.int64))], names=["key", "n"])
 
         for b in batches:
             for c in chunks(b, "text", CHUNK):
@@ -428,7 +446,7 @@ def _add_level(texts: DataFrame, folder: str, k: int, n_tokens: int, hot: list)
         held, size = [], 0
 
         def out():
-            context, word, n = _summed(*(np.concatenate(x) for x in zip(*held)))
+            context, word, n = _summed(*_taken(held))
             of = ranges.of(context, word)
             by = np.argsort(of, kind="stable")
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(of[by])) + 1, [len(by)]])
@@ -456,15 +474,15 @@ def _add_level(texts: DataFrame, folder: str, k: int, n_tokens: int, hot: list)
             for f, raw in zip(b.column("file").to_pylist(), b.column("block")):
                 if f != file:
                     if held:
-                        yield file, *_summed(*(np.concatenate(x) for x in zip(*held)))
+                        yield file, *_summed(*_taken(held))
                     file, held, size = f, [], 0
                 held.append(_unblock(raw.as_py()))
                 size += len(held[-1][0])
                 if size > 4 * FILE_ROWS and len(held) > 1:  # blocks of many tasks repeat n-grams
-                    held = [_summed(*(np.concatenate(x) for x in zip(*held)))]
+                    held = [_summed(*_taken(held))]
                     size = len(held[0][0]) // 2
         if held:
-            yield file, *_summed(*(np.concatenate(x) for x in zip(*held)))
+            yield file, *_summed(*_taken(held))
 
     def build(batches):
         for file, context, word, n in merged(batches):
@@ -527,23 +545,26 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def scored(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        c = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        h, start = tokens(c.column("text"))
+    def scored(held: list) -> pa.RecordBatch:
+        ids, outs, parts, sizes = zip(*held)
+        h, start = np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        held.clear()
+        del parts
         counts, p = trie.walk(h, start)
         total = lambda x: np.add.reduceat(x, start[:-1])  # noqa: E731  every text has a token
-        sums = [np.diff(start), total((counts > 0).astype(np.int64)), np.full(c.num_rows, trie.n, np.int64), total(np.log10(trie.unigram(counts))), total(np.log10(p))]
-        return pa.RecordBatch.from_arrays([c.column("doc_id"), c.column("held_out"), *map(pa.array, sums)], names=names)
+        sums = [np.diff(start), total((counts > 0).astype(np.int64)), np.full(len(start) - 1, trie.n, np.int64), total(np.log10(trie.unigram(counts))), total(np.log10(p))]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(outs), *map(pa.array, sums)], names=names)
 
     def run(batches):
         held, size = [], 0
         for b in batches:
             for c in chunks(b, "text", CHUNK):
-                held.append(c)
+                h, start = tokens(c.column("text"))  # hashing takes some 40 bytes a byte of text
+                held.append((c.column("doc_id"), c.column("held_out"), h, np.diff(start)))
                 size += c.nbytes
                 if size > SCORED:  # the more queries at a time, the fewer visits to each file
                     yield scored(held)
-                    held, size = [], 0
+                    size = 0
         if held:
             yield scored(held)
 

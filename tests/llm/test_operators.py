@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -214,6 +215,61 @@ def test_ngram_files_of_common_contexts(docs, monkeypatch):
     assert got == {k: pytest.approx(v, rel=0.01) for k, v in want.items()}
 
 
+class Kept:
+    """A frame that keeps what it would run on executors."""
+
+    def __init__(self, spark):
+        self.sparkSession = spark
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        self.run = run
+        return self
+
+    def repartition(self, *_):
+        raise InterruptedError
+
+
+def test_ngram_scoring_keeps_memory(docs):
+    """What hashing needs goes text by text, and files go once visited."""
+    trie, frame = ngram.train(docs), Kept(docs.sparkSession)
+    ngram.score(frame, trie)
+    text = docs.filter("text is not null").first().text + " " + " ".join(f"word{i * i % 7919}" for i in range(30_000))
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "held_out": [True], "text": [text]}) for i in range(40)]
+    held = sum(b.nbytes for b in batches)
+    assert held > ngram.SCORED
+    tracemalloc.start()
+    try:
+        rows = [r for b in frame.run(iter(batches)) for r in b.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [r["doc_id"] for r in rows] == list(range(40)) and len({r["score"] for r in rows}) == 1
+    assert peak < 15 * held
+    with open("/proc/self/maps") as f:
+        assert "millrace-ngram" not in f.read()
+
+
+def test_ngram_counting_keeps_memory(spark):
+    """Columns of a task's n-grams go as soon as they have served."""
+    frame = Kept(spark)
+    with pytest.raises(InterruptedError):
+        ngram._add_level(frame, "file:///none", 3, 50 * ngram.FILE_ROWS, [])
+    rng = np.random.default_rng(3)
+    n, each = 20, 60_000
+    batches = [pa.RecordBatch.from_pydict({"text": [" ".join(map(str, rng.integers(0, 10**6, each)))]}) for _ in range(n)]
+    tracemalloc.start()
+    try:
+        blocks = [raw for b in frame.run(iter(batches)) for raw in b.column("block").to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(ngram._unblock(raw)[2].sum() for raw in blocks) == n * each  # one for each token but the first
+    assert peak < 5.5 * 16 * n * each
+
+
 def test_ngram_of_odd_tables(edges, empty):
     d = edges.select("doc_id", F.lit(False).alias("held_out"), "text")
     got = ngram.score(d, ngram.train(d)).collect()
