@@ -449,8 +449,10 @@ def audit_items(spark, d):
     n, f = F.col("p_size"), F.col("facts")
     even = F.col("source_record_id") % 2 == 0
     made = made.withColumn("raw", F.when(even & (n % 11 == 0), F.parse_json(F.lit('{"name":"no"}'))).otherwise(raw))
-    made = made.where(even | (f["variant_id"] == "7") | (n % 2 == 1))
-    false = f.withField("price", f["price"] + F.when((n % 5 == 0) & (even | (f["variant_id"] == "7")), 1).otherwise(0)).withField("name", F.when(even & (n % 3 == 0), "X").otherwise(f["name"]))
+    # By the option, so that facts are computed only where they are compared.
+    seventh = A.text_of(F.col("option"), "$.id") == "7"
+    made = made.where(even | seventh | (n % 2 == 1))
+    false = f.withField("price", f["price"] + F.when((n % 5 == 0) & (even | seventh), 1).otherwise(0)).withField("name", F.when(even & (n % 3 == 0), "X").otherwise(f["name"]))
     false = false.withField("internet_speed_mbps", f["internet_speed_mbps"] + F.when(even & (n % 7 == 0), 0.5).otherwise(0))
     return _told(audit.item_faults(records, made.select("source_record_id", "at", false.alias("facts"), "raw")))
 

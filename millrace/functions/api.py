@@ -54,18 +54,23 @@ def truthy(v: Column, path: str) -> Column:
 
 def items(v: Column) -> Column:
     """The items of a catalogue, as an array of variants."""
-    catalog = F.filter(get(v, "$.blocks", "array<variant>"), lambda b: text_of(b, "$.alias") == "catalog")
+    none = F.array().cast("array<variant>")
 
     def tariffs(b):
         t = get(b, "$.data.tariffs")
         groups = F.when(is_list(t), F.array(t)).otherwise(F.map_values(F.try_variant_get(t, "$", "map<string,variant>")))
         return F.flatten(F.transform(F.filter(groups, is_list), lambda g: F.try_variant_get(g, "$", "array<variant>")))
 
-    none = F.array().cast("array<variant>")
-    flat = F.flatten(F.transform(catalog, lambda b: F.coalesce(tariffs(b), none)))
+    def of_blocks(blocks: Column) -> Column:
+        catalog = F.filter(blocks, lambda b: text_of(b, "$.alias") == "catalog")
+        return F.flatten(F.transform(catalog, lambda b: F.coalesce(tariffs(b), none)))
+
+    # Bound, so that the response is parsed, and its lists are read, once.
+    def read(x: Column) -> Column:
+        lists = F.struct(get(x, "$.blocks", "array<variant>").alias("blocks"), J.elements(x).alias("own"))
+        return T.let(lists, lambda y: F.when(y["blocks"].isNotNull(), F.filter(of_blocks(y["blocks"]), is_object)).when(y["own"].isNotNull(), F.filter(y["own"], is_object)).otherwise(J.first_list(x, LIST_KEYS, LIST_DEPTH)))
 
-    raw = F.when(is_list(get(v, "$.blocks")), flat).when(is_list(v), F.try_variant_get(v, "$", "array<variant>")).otherwise(J.first_list(v, LIST_KEYS, LIST_DEPTH))
-    return F.coalesce(F.filter(raw, is_object), none)
+    return F.coalesce(T.let(v, read), none)
 
 
 def kind(v: Column) -> Column:

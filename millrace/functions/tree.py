@@ -10,8 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 DICT_DEPTH = 12
 NUMBER_DEPTH = 11
+FEW_LEVELS = 3
 
 
 def entries(v: Column) -> Column:
@@ -25,7 +28,8 @@ def elements(v: Column) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    return entries(v).isNotNull()
+    # No field is asked for, so none is copied.
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
 def is_list(v: Column) -> Column:
@@ -34,8 +38,12 @@ def is_list(v: Column) -> Column:
 
 def levels(start: Column, below: Callable[[Column], Column], depth: int) -> Column:
     """``start`` (an array of nodes) and ``depth`` levels below it, in one array; each level is computed once."""
-    step = lambda seen, _: F.concat(seen, F.array(F.flatten(F.transform(F.element_at(seen, -1), below))))
-    return F.flatten(F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.array(start), step))
+    last = lambda seen: F.element_at(seen, -1)
+    step = lambda seen, _: F.concat(seen, F.array(F.flatten(F.transform(last(seen), below))))
+    few = min(depth, FEW_LEVELS)
+    # Most trees end within few levels; the others are followed on.
+    more = lambda seen: F.when(F.size(last(seen)) > 0, F.aggregate(F.sequence(F.lit(few + 1), F.lit(depth)), seen, step)).otherwise(seen) if depth > few else seen
+    return F.flatten(let(F.aggregate(F.sequence(F.lit(1), F.lit(few)), F.array(start), step), more))
 
 
 def in_order(nodes: Column) -> Column:
@@ -82,19 +90,23 @@ def first_list(v: Column, keys: list[str], depth: int) -> Column:
     At an object the keys are tried in their order; objects under them are looked into, and
     a list ends the object's turn. A chain longer than ``depth`` is an error.
     """
-    kind = "array<struct<at:array<int>,v:variant>>"
+    none = F.array().cast("array<struct<at:array<int>,v:variant,list:array<variant>>>")
+
+    def node(at: Column, x: Column) -> Column:
+        return F.struct(at.alias("at"), x.alias("v"), elements(x).alias("list"))
 
     def below(n: Column) -> Column:
-        found = F.array(*[F.struct(F.concat(n["at"], F.array(F.lit(i))).alias("at"), F.try_variant_get(n["v"], f"$.{k}", "variant").alias("v")) for i, k in enumerate(keys)])
-        held = F.filter(found, lambda c: is_list(c["v"]) | is_object(c["v"]))
-        # Bound once, so that the lists are sought once.
-        cut = F.transform(F.array(held), lambda cs: F.coalesce(F.slice(cs, F.lit(1), F.nullif(F.array_position(F.transform(cs, lambda c: is_list(c["v"])), True), F.lit(0)).cast("int")), cs))
-        return F.when(is_object(n["v"]), F.get(cut, F.lit(0))).otherwise(F.array().cast(kind))
-
-    start = F.when(is_object(v), F.array(F.struct(F.array().cast("array<int>").alias("at"), v.alias("v")))).otherwise(F.array().cast(kind))
-    walked = levels(start, below, depth)
-    lists = F.transform(in_order(F.filter(walked, lambda n: is_list(n["v"]))), lambda n: F.filter(elements(n["v"]), is_object))
-    got = F.get(F.filter(lists, lambda x: F.size(x) > 0), F.lit(0))
-    # Short chains don't pay for long ones: what is still open at the end is an error.
-    open_ = F.exists(walked, lambda n: (F.size(n["at"]) == depth) & is_object(n["v"]))
-    return F.when(got.isNull() & open_, F.raise_error(F.lit(f"lists lie deeper than {depth} keys")).cast("array<variant>")).otherwise(got)
+        values = F.array(*[F.try_variant_get(n["v"], f"$.{k}", "variant") for k in keys])
+        held = F.filter(F.transform(values, lambda x, i: node(F.concat(n["at"], F.array(i)), x)), lambda c: c["list"].isNotNull() | is_object(c["v"]))
+        to_list = lambda cs: F.nullif(F.array_position(F.transform(cs, lambda c: c["list"].isNotNull()), True), F.lit(0)).cast("int")
+        return F.when(n["list"].isNull(), let(held, lambda cs: F.coalesce(F.slice(cs, F.lit(1), to_list(cs)), cs))).otherwise(none)
+
+    def read(walked: Column) -> Column:
+        lists = F.transform(in_order(F.filter(walked, lambda n: n["list"].isNotNull())), lambda n: F.filter(n["list"], is_object))
+        # Short chains don't pay for long ones: what is still open at the end is an error.
+        open_ = F.exists(walked, lambda n: (F.size(n["at"]) == depth) & n["list"].isNull())
+        error = F.raise_error(F.lit(f"lists lie deeper than {depth} keys")).cast("array<variant>")
+        return let(F.get(F.filter(lists, lambda x: F.size(x) > 0), F.lit(0)), lambda got: F.when(got.isNull() & open_, error).otherwise(got))
+
+    start = F.when(is_object(v), F.array(node(F.array().cast("array<int>"), v))).otherwise(none)
+    return let(levels(start, below, depth), read)

@@ -98,16 +98,24 @@ def page_faults(records: DataFrame, offers: DataFrame) -> DataFrame:
 
 def item_sources(records: DataFrame) -> DataFrame:
     """(source_record_id, k, expected, native): what raw offers a response's items can give, and whether a full reading gives it."""
-    rows = records.where("payload_type = 'json'").select("source_record_id", A.items(A.parse(F.col("payload"))).alias("items"))
-    rows = rows.withColumn("native", F.forall("items", lambda i: A.kind(i).isNotNull())).select("source_record_id", "native", F.explode("items").alias("item"))
-    options = F.coalesce(A.get(F.col("item"), "$.internetOptions", "array<variant>"), F.array().cast("array<variant>"))
-    slider = (A.kind(F.col("item")) == "mts") & (F.size(options) > 0)
-    whole = F.to_json("item")
-    # The order of the names is that of a canonical text.
-    pair = lambda o: F.struct(F.concat(F.lit('{"internet_option":'), F.to_json(o), F.lit(',"offer":'), whole, F.lit("}")).alias("t"), F.col("slider").alias("expected"))
-    rows = rows.withColumn("slider", F.coalesce(slider, F.lit(False)))
-    texts = F.concat(F.array(F.struct(whole.alias("t"), (~F.col("slider")).alias("expected"))), F.transform(options, pair))
-    return rows.select("source_record_id", "native", F.explode(texts).alias("x")).select("source_record_id", _key(F.col("x.t")).alias("k"), F.col("x.expected").alias("expected"), "native")
+    none = F.array().cast("array<variant>")
+
+    def of_item(item: Column, native: Column) -> Column:
+        options = F.coalesce(A.get(item, "$.internetOptions", "array<variant>"), none)
+        source = lambda text, expected: F.struct(text.alias("t"), expected.alias("expected"), native.alias("native"))
+        # The order of the names is that of a canonical text.
+        pair = lambda x, o: F.concat(F.lit('{"internet_option":'), F.to_json(o), F.lit(',"offer":'), x["t"], F.lit("}"))
+        texts = lambda x: F.concat(F.array(source(x["t"], ~x["slider"])), F.transform(x["options"], lambda o: source(pair(x, o), x["slider"])))
+        slider = lambda y: F.coalesce((A.kind(item) == "mts") & (F.size(y) > 0), F.lit(False))
+        return T.let(options, lambda y: T.let(F.struct(F.to_json(item).alias("t"), slider(y).alias("slider"), y.alias("options")), texts))
+
+    def of_items(items: Column) -> Column:
+        return T.let(F.forall(items, lambda i: A.kind(i).isNotNull()), lambda native: F.flatten(F.transform(items, lambda i: of_item(i, native))))
+
+    # One generator: of a column of its own the optimizer would make filters, which compute the items
+    # again, and before the rows are dealt to all cores.
+    rows = records.where("payload_type = 'json'").select("source_record_id", F.explode(T.let(A.items(A.parse(F.col("payload"))), of_items)).alias("x"))
+    return rows.select("source_record_id", _key(F.col("x.t")).alias("k"), F.col("x.expected").alias("expected"), F.col("x.native").alias("native"))
 
 
 def bag_differences(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

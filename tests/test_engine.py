@@ -206,3 +206,17 @@ def test_audit_of_odd_tables(spark):
     facts = F.from_json(F.to_json(F.struct(*[nothing.get(n, F.lit(None).cast("string")).alias(n) for n in names])), A.FACT_DDL)
     got = audit.item_faults(records, one.select("source_record_id", F.lit(0).cast("long").alias("at"), facts.alias("facts"), F.parse_json("j").alias("raw"))).collect()
     assert [(r.source_record_id, r.error) for r in got] == [("b", "raw_offer is no item of the response")]
+
+
+def test_items_are_read_once(spark):
+    from millrace.functions import tree as J
+    from millrace.operators import audit
+
+    rows = [("a", '[{"name":"x"},{"offer":{"b":2,"a":1}}]'), ("b", '{"items":[]}'), ("c", None), ("d", "{" + '"data":{' * 6 + '"list":[{"z":4}]' + "}" * 7)]
+    d = spark.createDataFrame(rows, "source_record_id string, payload string").withColumn("payload_type", F.lit("json"))
+    found = audit.item_sources(S.spread(d))
+    assert sorted((r.source_record_id, r.expected, r.native) for r in found.collect()) == [("a", True, False), ("a", True, False), ("d", True, False)]
+    assert [r[0] for r in d.orderBy("source_record_id").select(J.numbers_under(A.parse("payload"), ["b", "z"])).collect()] == [[2.0], [], [], [4.0]]
+    # No filter computes the items again, before the rows are dealt to all cores.
+    for needed in (found, found.where("native"), found.where("expected")):
+        assert needed._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1
