@@ -28,6 +28,7 @@ REVERSED = r"(?iuU)(?:мес(?:яц)?|month)\s+(?:всего\s+|за\s+|for\s+)?
 SCRIPT_SPEED = r"""(?iuU)speed(?:OwnHouse)?[\\"]*\s*:\s*[\\"]*(\d+(?:[.,]\d+)?)"""
 SCRIPT_PRICE = r"""(?iuU)price(?:OwnHouse)?[\\"]*\s*:\s*[\\"]*(\d+(?:[.,]\d+)?)"""
 SCRIPT_MARK = r"""(?iuU)speed(?:OwnHouse)?[\\"]*\s*:"""
+PRICE_SIGN = r"(?iuU)мес|month|price"
 DUAL_SPEED = r"(?iuU)(?<!\d)(\d+(?:[.,]\d+)?)\s*/\s*\d+(?:[.,]\d+)?\s*(мбит|гбит|mbps|gbps)"
 SPEED = r"(?iuU)(?<!\d)(\d+(?:[.,]\d+)?)\s*(мбит|гбит|mbps|gbps)"
 STANDALONE = r"(?iuU)^(\d[\d \t ]{0,8}(?:[.,]\d+)?)(?:\s*(?:₽|руб(?:\.|лей)?))?$"
@@ -257,40 +258,45 @@ def monthly_prices(block: Column) -> Column:
     come amounts whose period stands on another line, bare month cells beside a speed,
     "month for N" phrases, and script fields.
     """
-    raw = F.split(block, "\n")
     empty = F.array().cast("array<double>")
 
-    def barred(i):
-        above = F.slice(raw, F.greatest(F.lit(1), i - 1), F.least(F.lit(2), i))
-        return F.exists(F.when(i > 0, above).otherwise(F.array().cast("array<string>")), lambda x: x.rlike(ANCILLARY) & ~x.rlike(INCLUDED))
-
     def amount(x):
         parsed = plain_double(x)
         # "695 645": an old and a current price, not thousands.
         last = plain_double(F.element_at(F.split(x, r"[ \t ]+"), -1))
         return F.when((parsed > 100_000) & x.rlike(r"[ \t ]"), last).otherwise(parsed)
 
-    def of_line(x, i):
-        fine = x.rlike(MONTHLY) & ~x.rlike(r"(?iuU)^Можно\s+добавить") & ~x.rlike(ANCILLARY) & ~barred(i)
-        return F.when(fine, F.transform(F.regexp_extract_all(x, _lit(MONTHLY), F.lit(1)), amount)).otherwise(empty)
+    def of_lines(raw):
+        def barred(i):
+            above = F.slice(raw, F.greatest(F.lit(1), i - 1), F.least(F.lit(2), i))
+            return F.exists(F.when(i > 0, above).otherwise(F.array().cast("array<string>")), lambda x: x.rlike(ANCILLARY) & ~x.rlike(INCLUDED))
+
+        def of_line(x, i):
+            fine = x.rlike(MONTHLY) & ~x.rlike(r"(?iuU)^Можно\s+добавить") & ~x.rlike(ANCILLARY) & ~barred(i)
+            return F.when(fine, F.transform(F.regexp_extract_all(x, _lit(MONTHLY), F.lit(1)), amount)).otherwise(empty)
+
+        return F.filter(F.flatten(F.transform(raw, of_line)), lambda x: x.isNotNull())
 
-    first = F.filter(F.flatten(F.transform(raw, of_line)), lambda x: x.isNotNull())
-    ls = lines(block)
+    def of_periods(ls):
+        def split_line(x, i):
+            money = lambda y: plain_double(F.nullif(F.regexp_extract(y, CURRENCY_END, 1), F.lit("")))
+            a = F.when(x.rlike(PERIOD_LINE), F.array(F.coalesce(money(F.get(ls, i - 1)), money(F.get(ls, i - 2)))))
+            b = F.when(x.rlike(UNIT_LINE) & F.get(ls, i - 1).rlike(BARE_NUMBER), F.array(plain_double(F.get(ls, i - 1))))
+            return F.concat(F.coalesce(a, empty), F.coalesce(b, empty))
 
-    def split_line(x, i):
-        before = F.get(ls, i - 1)
-        two = F.get(ls, i - 2)
-        money = lambda y: plain_double(F.nullif(F.regexp_extract(y, CURRENCY_END, 1), F.lit("")))
-        a = F.when(x.rlike(PERIOD_LINE), F.array(F.coalesce(money(before), money(two))))
-        b = F.when(x.rlike(UNIT_LINE) & before.rlike(BARE_NUMBER), F.array(plain_double(before)))
-        return F.concat(F.coalesce(a, empty), F.coalesce(b, empty))
+        cells = F.filter(ls, lambda x: x.rlike(MONTH_CELL))
+        beside = lambda xs: F.when(F.size(xs) == 0, empty).when(F.size(speeds(block)) > 0, F.transform(xs, lambda x: plain_double(F.regexp_extract(x, MONTH_CELL, 1)))).otherwise(empty)
+        return F.concat(F.flatten(F.transform(ls, split_line)), let(cells, beside))
 
-    joined = F.flatten(F.transform(ls, split_line))
-    cells = F.when(F.size(speeds(block)) > 0, F.transform(F.filter(ls, lambda x: x.rlike(MONTH_CELL)), lambda x: plain_double(F.regexp_extract(x, MONTH_CELL, 1)))).otherwise(empty)
-    back = doubles(F.regexp_extract_all(block, _lit(REVERSED), F.lit(1)))
-    script = F.when(block.rlike(SCRIPT_MARK), doubles(F.regexp_extract_all(block, _lit(SCRIPT_PRICE), F.lit(1)))).otherwise(empty)
-    more = F.filter(F.concat(joined, cells, back, script), lambda x: x.isNotNull())
-    return F.concat(first, F.array_except(F.array_distinct(more), first))
+    # Bound, so that lines are cut once and not again at each of them.
+    def found(first):
+        back = doubles(F.regexp_extract_all(block, _lit(REVERSED), F.lit(1)))
+        script = F.when(block.rlike(SCRIPT_MARK), doubles(F.regexp_extract_all(block, _lit(SCRIPT_PRICE), F.lit(1)))).otherwise(empty)
+        more = F.filter(F.concat(let(lines(block), of_periods), back, script), lambda x: x.isNotNull())
+        return F.concat(first, F.array_except(F.array_distinct(more), first))
+
+    # Every rule needs a word for the period or a script's field.
+    return F.when(~block.rlike(PRICE_SIGN), empty).otherwise(let(let(F.split(block, "\n"), of_lines), found))
 
 
 def commercial_name(ls: Column) -> Column:
@@ -315,11 +321,18 @@ def commercial_name(ls: Column) -> Column:
 def standalone_old_price(ls: Column, current: Column) -> Column:
     """A larger amount alone on a line near the current price: up to three lines above it (nearest first), else up to three below."""
     alone = lambda x: plain_double(F.nullif(F.regexp_extract(x, STANDALONE, 1), F.lit("")))
-    larger = lambda x: F.when(alone(x) > current, alone(x))
 
-    def at(x, i):
-        here = F.array_contains(monthly_prices(F.concat_ws("\n", x, F.get(ls, i + 1))), current)
-        near = [larger(F.get(ls, i - j)) for j in (1, 2, 3)] + [larger(F.get(ls, i + j)) for j in (1, 2, 3)]
-        return F.when(F.coalesce(here, F.lit(False)), F.coalesce(*near))
+    def sought(b):
+        def at(x, i):
+            near = F.coalesce(*[F.get(b["larger"], i - j) for j in (1, 2, 3)], *[F.get(b["larger"], i + j) for j in (1, 2, 3)])
+            here = let(F.concat_ws("\n", x, F.get(b["ls"], i + 1)), lambda two: F.array_contains(monthly_prices(two), current))
+            # Prices are sought last, and only where an amount is near.
+            return F.when(near.isNotNull(), F.when(F.coalesce(here, F.lit(False)), near))
+
+        return F.get(F.filter(F.transform(b["ls"], at), lambda x: x.isNotNull()), F.lit(0))
+
+    def told(b):
+        return F.when(F.exists(b["larger"], lambda x: x.isNotNull()), sought(b))
 
-    return F.get(F.filter(F.transform(ls, at), lambda x: x.isNotNull()), F.lit(0))
+    larger = lambda xs: F.struct(xs.alias("ls"), F.transform(xs, lambda x: let(alone(x), lambda v: F.when(v > current, v))).alias("larger"))
+    return let(let(ls, larger), told)

@@ -220,3 +220,13 @@ def test_items_are_read_once(spark):
     # No filter computes the items again, before the rows are dealt to all cores.
     for needed in (found, found.where("native"), found.where("expected")):
         assert needed._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1
+
+
+def test_lines_are_cut_once_for_prices(spark):
+    d = spark.createDataFrame([("Тариф\n1 500\n900 ₽ в месяц\nмес",), ("500\n695\xa0645 руб/мес\n840",), ("Тариф\n100 Мбит/с\n1 500",), ("мес\n700",), (None,)], "x string")
+    x = F.col("x")
+    got = d.select(T.monthly_prices(x).alias("m"), T.standalone_old_price(T.lines(x), F.lit(645.0)).alias("a"), T.standalone_old_price(T.lines(x), F.lit(900.0)).alias("b"))
+    assert [tuple(r) for r in got.collect()] == [([900.0], None, 1500.0), ([645.0], 840.0, None), ([], None, None), ([], None, None), (None, None, None)]
+    # The pattern of line ends stands where a text is cut: not in what is done with each of its lines.
+    cuts = lambda c: d.select(c)._jdf.queryExecution().analyzed().toString().count(r"\r\n|\n|\r")
+    assert cuts(T.monthly_prices(x).alias("c")) == 1 and cuts(T.standalone_old_price(T.lines(x), F.lit(645.0)).alias("c")) == 2
