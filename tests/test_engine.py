@@ -219,7 +219,7 @@ def test_items_are_read_once(spark):
     assert [r[0] for r in d.orderBy("source_record_id").select(J.numbers_under(A.parse("payload"), ["b", "z"])).collect()] == [[2.0], [], [], [4.0]]
     # No filter computes the items again, before the rows are dealt to all cores.
     for needed in (found, found.where("native"), found.where("expected")):
-        assert needed._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1
+        assert needed._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
 
 
 def test_lines_are_cut_once_for_prices(spark):
